@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import math
+from collections.abc import Sequence
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,27 +18,35 @@ MAX_HOT_KEYS = 1_000
 
 
 def hot_keys(
-    df: DataFrame,
+    frames: Sequence[DataFrame],
     key: str,
     rows_per_task: int = ROWS_PER_TASK,
     share: float = DETECTION_SHARE,
     max_keys: int = MAX_HOT_KEYS,
-) -> dict[str, int]:
-    """Keys that deserve more than one task, with the number of tasks each should get.
+) -> list[dict[str, int]]:
+    """For each frame the keys that deserve more than one task, with the number of tasks each should get.
 
-    Reads one column of a row sample and counts it with map-side combining. The answer only steers how rows
-    are spread: any answer gives the same join result, so sampling here loses nothing.
+    One job reads the key column of a row sample and counts it with map-side combining. The answer only steers
+    how rows are spread: any answer gives the same join result, so sampling here loses nothing.
     """
-    rows = df if share >= 1 else df.sample(share, seed=7)
+
+    def keys(i: int, df: DataFrame) -> DataFrame:
+        rows = df.select(F.lit(i).alias("frame"), F.col(key).alias("key"))
+        return rows if share >= 1 else rows.sample(share, seed=7)
+
     heavy = (
-        rows.where(F.col(key).isNotNull())
-        .groupBy(key)
+        reduce(DataFrame.unionByName, [keys(i, df) for i, df in enumerate(frames)])
+        .where(F.col("key").isNotNull())
+        .groupBy("frame", "key")
         .agg(F.count(F.lit(1)).alias("n"))
         .where(F.col("n") > rows_per_task * share)
         .orderBy(F.desc("n"))
         .limit(max_keys)
     )
-    return {row[key]: -int(-row["n"] // (rows_per_task * share)) for row in heavy.collect()}
+    found: list[dict[str, int]] = [{} for _ in frames]
+    for row in heavy.collect():  # at most max_keys rows
+        found[row["frame"]][row["key"]] = math.ceil(row["n"] / (rows_per_task * share))
+    return found
 
 
 def salted_join(

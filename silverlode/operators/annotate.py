@@ -32,7 +32,6 @@ Reviews may be in Portuguese; judge the meaning. The star rating is a hint, the
 """
 
 # Annotation fields and their types.
-ANNOTATION = "review_id string, sentiment string, confidence double, primary_topic string, needs_human_review boolean"
 ANNOTATION_COLUMNS = {
     "sentiment_label": "string",
     "annotation_confidence": "double",
@@ -40,7 +39,7 @@ ANNOTATION_COLUMNS = {
     "needs_human_review": "boolean",
 }
 # Answers are read as text fields first: a value of the wrong type spoils its own annotation, not the answer.
-_RAW_ITEM = "map<string,string>"
+_ITEMS = "array<map<string,string>>"
 
 Annotator = Callable[[Sequence[str]], Sequence[str]]
 
@@ -73,7 +72,7 @@ def build_prompts(batches: DataFrame) -> DataFrame:
     def block(review, index):
         return F.concat(
             F.lit("\nReview "), (index + 1).cast("string"),
-            F.lit("\n  review_id: "), review["review_id"],
+            F.lit(":\n  review_id: "), review["review_id"],
             F.lit("\n  rating: "), F.coalesce(review["rating"].cast("string"), F.lit("")),
             F.lit("\n  text: "), review["review_text"], F.lit("\n"),
         )
@@ -103,21 +102,25 @@ def apply_annotator(prompts: DataFrame, annotator: Annotator) -> DataFrame:
 def read_responses(responses: DataFrame) -> DataFrame:
     """Find the array of annotations in each answer: the answer itself, or the first list inside an object.
 
-    Adds ``items`` (JSON text of the list, an empty list when there is none), ``warning`` for an answer without
-    a list, and sets ``error`` for text that is no JSON.
+    Adds ``items`` (one map of text per annotation), ``warning`` for an answer without a list, which counts as
+    empty, and ``error`` for text that is no JSON or a list of something else than objects.
     """
     text = F.trim("response")
-    parsed = F.try_parse_json(text)
-    values = F.map_values(F.from_json(text, "map<string,string>"))
-    inner = F.filter(values, lambda v: v.startswith("["))
-    items = F.when(text.startswith("["), text).when(text.startswith("{"), F.try_element_at(inner, F.lit(1)))
-    broken = F.col("error").isNull() & parsed.isNull()
+    members = F.map_values(F.from_json(text, "map<string,variant>"))
+    first_list = F.try_element_at(F.filter(members, lambda v: F.schema_of_variant(v).startswith("ARRAY")), F.lit(1))
+    listed = F.when(text.startswith("["), text).when(text.startswith("{"), F.to_json(first_list))
     return (
-        responses.withColumn("error", F.when(broken, "response is not JSON").otherwise(F.col("error")))
-        .withColumn("items", F.when(F.col("error").isNull(), F.coalesce(items, F.lit("[]"))))
+        responses.withColumn("_parsed", F.try_parse_json(text).isNotNull())
+        .withColumn("_list", listed)
+        .withColumn("items", F.when(F.col("_parsed"), F.from_json(F.coalesce("_list", F.lit("[]")), _ITEMS)))
         .withColumn(
-            "warning", F.when(F.col("error").isNull() & items.isNull(), "response holds no list")
+            "error",
+            F.when(F.col("error").isNotNull(), F.col("error"))
+            .when(~F.col("_parsed"), "response is not JSON")
+            .when(F.col("items").isNull(), "list items are not objects"),
         )
+        .withColumn("warning", F.when(F.col("error").isNull() & F.col("_list").isNull(), "response holds no list"))
+        .drop("_parsed", "_list")
     )
 
 
@@ -132,7 +135,7 @@ def parse_annotations(responses: DataFrame) -> DataFrame:
     return (
         read_responses(responses)
         .where(F.col("error").isNull())
-        .select("batch_id", F.posexplode(F.from_json("items", f"array<{_RAW_ITEM}>")).alias("place", "item"))
+        .select("batch_id", F.posexplode("items").alias("place", "item"))
         .select(
             "batch_id",
             "place",

@@ -141,21 +141,16 @@ def customer_location(customers: DataFrame) -> DataFrame:
 
 
 def assemble(
-    orders: DataFrame,
-    customers: DataFrame,
-    items: DataFrame,
-    reviews: DataFrame,
-    payments: DataFrame,
-    churn_days: int = CHURN_DAYS,
+    orders: DataFrame, customers: DataFrame, items: DataFrame, reviews: DataFrame, payments: DataFrame
 ) -> DataFrame:
-    """All features of a customer before encoding and filling.
+    """All aggregates per customer, before recency, encoding and filling. Orders without a customer form one row
+    with a NULL key, since their dates count for the reference date.
 
     Spend and ratings join the orders as one row per order and are summed in the same aggregate as the order
     features, so the orders are shuffled once by order and once by customer.
     """
     order_rows = (
-        _known_customers(orders)
-        .select("order_id", "customer_key", "order_date", "days_to_deliver", "delivered_on_time")
+        orders.select("order_id", "customer_key", "order_date", "days_to_deliver", "delivered_on_time")
         .join(_spend_per_order(items), "order_id", "left")
         .join(_ratings_per_order(reviews), "order_id", "left")
     )
@@ -163,32 +158,44 @@ def assemble(
         *_order_dates(), *_order_aggregates(), *_spend_aggregates(), *_review_aggregates()
     )
     return (
-        _recency(reference_date(orders), per_customer, churn_days)
-        .withColumn("late_delivery_rate", _late_rate())
+        per_customer.withColumn("late_delivery_rate", _late_rate())
         .join(primary_payment(orders, payments), "customer_key", "left")
         .join(customer_location(customers), "customer_key", "left")
-        .drop("first_order_date", "last_order_date")
     )
 
 
-def category_codes(df: DataFrame, column: str, code: str) -> tuple[DataFrame, bool]:
-    """The distinct values of ``column`` with their place 0, 1, 2... in sorted order, and whether they are few."""
-    values = df.where(F.col(column).isNotNull()).select(column).distinct()
-    if values.limit(SMALL_CATEGORY_LIST + 1).count() <= SMALL_CATEGORY_LIST:
-        place = F.row_number().over(Window.orderBy(column))
-        return values.select(column, (place - 1).alias(code)), True
-    return number_rows(values, [column], "_n").select(column, (F.col("_n") - 1).cast("int").alias(code)), False
+def category_codes(df: DataFrame, column: str, code: str, few: bool) -> DataFrame:
+    """The distinct values of ``column`` with their place 0, 1, 2... in sorted order.
 
+    ``few`` values are ranked in one task, otherwise they are ranked in ranges.
+    """
+    values = df.where(F.col(column).isNotNull()).select(column).distinct()
+    if few:
+        return values.select(column, (F.row_number().over(Window.orderBy(column)) - 1).alias(code))
+    return number_rows(values, [column], "_n").select(column, (F.col("_n") - 1).cast("int").alias(code))
 
-def encode_category(df: DataFrame, column: str, code: str) -> DataFrame:
-    """Add the sorted code of ``column``; NULL becomes -1. ``df`` is read twice, so materialise it first."""
-    codes, few = category_codes(df, column, code)
-    return df.join(F.broadcast(codes) if few else codes, column, "left").withColumn(code, F.coalesce(code, F.lit(-1)))
 
+def encode_categories(
+    source: DataFrame, codes: dict[str, str], df: DataFrame | None = None, small: int = SMALL_CATEGORY_LIST
+) -> DataFrame:
+    """Add to ``df`` (by default ``source``) the sorted code of each column of ``codes`` (column -> code name);
+    NULL becomes -1.
 
-def impute(df: DataFrame) -> DataFrame:
-    """Fill what customers lack: a neutral rating, zero counts and sums, the median delivery time."""
-    median = exact_median(df, "avg_days_to_deliver", "_median")
+    The values come from ``source``, a written table, whose number of values is checked first.
+    """
+    sizes = source.agg(*[F.approx_count_distinct(c, 0.02).alias(c) for c in codes]).first()
+    coded = source if df is None else df
+    for column, code in codes.items():
+        few = sizes[column] <= small
+        table = category_codes(source, column, code, few)
+        coded = coded.join(F.broadcast(table) if few else table, column, "left")
+        coded = coded.withColumn(code, F.coalesce(code, F.lit(-1)))
+    return coded
+
+
+def impute(df: DataFrame, source: DataFrame | None = None) -> DataFrame:
+    """Fill what customers lack: a neutral rating, zero counts and sums, the median delivery time of ``source``."""
+    median = exact_median(df if source is None else source, "avg_days_to_deliver", "_median")
     return (
         df.crossJoin(F.broadcast(median))  # one row
         .withColumn("avg_days_to_deliver", F.coalesce("avg_days_to_deliver", "_median"))
@@ -207,10 +214,12 @@ def build_features(
 ) -> DataFrame:
     """The feature store, one row per customer with an order.
 
-    The assembled features are materialised once; encoding and the median read single columns of that table.
+    The assembled aggregates are materialised once; the reference date, the codes and the median each read single
+    columns of that table.
     """
-    features = materialize(assemble(orders, customers, items, reviews, payments, churn_days), "features")
-    features = impute(features)
-    features = encode_category(features, "primary_payment_type", "payment_type_encoded")
-    features = encode_category(features, "state_code", "state_encoded")
-    return features.select(*FEATURE_STORE_COLUMNS)
+    assembled = materialize(assemble(orders, customers, items, reviews, payments), "features")
+    reference = assembled.agg(F.max("last_order_date").alias("reference_date"))
+    known = _known_customers(assembled)
+    filled = impute(_recency(reference, known, churn_days), known)
+    codes = {"primary_payment_type": "payment_type_encoded", "state_code": "state_encoded"}
+    return encode_categories(known, codes, filled).select(*FEATURE_STORE_COLUMNS)

@@ -158,20 +158,18 @@ def one_review_per_order(reviews: DataFrame) -> DataFrame:
     return reviews.withColumn("_nth", F.row_number().over(first)).where(F.col("_nth") == 1).drop("_nth")
 
 
-def order_lines(
+def _matched_lines(
     orders: DataFrame,
     items: DataFrame,
     reviews: DataFrame,
-    rates: DataFrame,
     single_review: bool = False,
     rows_per_task: int = ROWS_PER_TASK,
     detection_share: float = DETECTION_SHARE,
 ) -> DataFrame:
-    """The fact rows before numbering: each order line, once per review of its order, with USD amounts.
+    """Order lines with their order, once per review of the order.
 
-    Inputs as staged. Lines, orders and reviews meet on ``order_id``, so one shuffle of each serves both
-    joins; an order holding very many lines or reviews is cut into pieces first. Without a local-currency
-    rate there is no row, since the rate is cross-joined (one row at most).
+    Lines, orders and reviews meet on ``order_id``, so one shuffle of each serves both joins; an order holding
+    very many lines or reviews is cut into pieces first.
     """
     review_columns = (one_review_per_order(reviews) if single_review else reviews).select(
         "order_id",
@@ -186,32 +184,43 @@ def order_lines(
         "order_id", "order_item_id", "product_key", "item_price_brl", "freight_cost_brl",
         F.col("total_item_cost_brl").alias("total_amount_brl"),
     )
-    hot_lines = hot_keys(items, "order_id", rows_per_task, detection_share)
-    hot_reviews = {} if single_review else hot_keys(reviews, "order_id", rows_per_task, detection_share)
+    many = [items] if single_review else [items, reviews]
+    hot = hot_keys(many, "order_id", rows_per_task, detection_share)
 
-    lines = salted_join(item_columns, order_columns, "order_id", "inner", hot_lines)
-    lines = salted_join(lines, review_columns, "order_id", "left", hot_lines, hot_reviews)
+    lines = salted_join(item_columns, order_columns, "order_id", "inner", hot[0])
+    return salted_join(lines, review_columns, "order_id", "left", hot[0], {} if single_review else hot[1])
+
+
+def _with_usd(lines: DataFrame, rates: DataFrame) -> DataFrame:
+    """Add the date key and the USD amounts. Without a local-currency rate no row is left."""
     rate = F.col("brl_per_usd")
 
     def in_usd(column: str) -> Column:
         return F.round(F.col(column) / rate, 2)
 
-    return (
-        lines.crossJoin(F.broadcast(rates.select("brl_per_usd").limit(1)))
-        .withColumns(
-            {
-                "date_key": date_key(F.col("order_date")),
-                "item_price_usd": in_usd("item_price_brl"),
-                "freight_cost_usd": in_usd("freight_cost_brl"),
-                "total_amount_usd": in_usd("total_amount_brl"),
-                "exchange_rate_used": rate,
-            }
-        )
-        .select(*FACT_COLUMNS[1:])
+    return lines.crossJoin(F.broadcast(rates.select("brl_per_usd").limit(1))).withColumns(
+        {
+            "date_key": date_key(F.col("order_date")),
+            "item_price_usd": in_usd("item_price_brl"),
+            "freight_cost_usd": in_usd("freight_cost_brl"),
+            "total_amount_usd": in_usd("total_amount_brl"),
+            "exchange_rate_used": rate,
+        }
     )
 
 
+def order_lines(orders: DataFrame, items: DataFrame, reviews: DataFrame, rates: DataFrame, **options) -> DataFrame:
+    """The fact rows without surrogate key: each order line, once per review of its order. Inputs as staged.
+
+    Options: ``single_review``, and ``rows_per_task`` and ``detection_share`` for the splitting of hot orders.
+    """
+    return _with_usd(_matched_lines(orders, items, reviews, **options), rates).select(*FACT_COLUMNS[1:])
+
+
 def fact_orders(orders: DataFrame, items: DataFrame, reviews: DataFrame, rates: DataFrame, **options) -> DataFrame:
-    """``order_lines`` with the surrogate key ``fact_id`` = 1..n by order and line."""
-    lines = order_lines(orders, items, reviews, rates, **options)
-    return number_rows(lines, ["order_id", "order_item_id"], "fact_id").select(*FACT_COLUMNS)
+    """``order_lines`` with the surrogate key ``fact_id`` = 1..n by order and line.
+
+    Rows are numbered before the derived amounts are added, which follow from columns already ordered by.
+    """
+    lines = number_rows(_matched_lines(orders, items, reviews, **options), ["order_id", "order_item_id"], "fact_id")
+    return _with_usd(lines, rates).select(*FACT_COLUMNS)

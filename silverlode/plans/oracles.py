@@ -512,7 +512,7 @@ _oracle(
 )
 _oracle(
     "long_category_codes",
-    "SELECT c_name, row_number() OVER (ORDER BY c_name) - 1 AS code FROM (SELECT DISTINCT c_name FROM customer)",
+    "SELECT c_name, CAST(row_number() OVER (ORDER BY c_name) - 1 AS INTEGER) AS code FROM (SELECT DISTINCT c_name FROM customer)",
 )
 _oracle("delivery_median", "SELECT median_days FROM middle_days")
 _oracle(

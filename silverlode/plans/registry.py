@@ -8,8 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.columns import risk_tier
-from ..functions.numbering import number_rows
 from ..functions.scratch import materialize, scratch_path
 from ..functions.selection import exact_median
 from ..operators import annotate, churn, features, gold, mapping, metrics, quality, silver
@@ -307,14 +305,13 @@ def customer_location(t: Tables) -> DataFrame:
 
 @query
 def category_codes(t: Tables) -> DataFrame:
-    return features.category_codes(t["part"], "p_brand", "code")[0]
+    return features.category_codes(t["part"], "p_brand", "code", few=True)
 
 
 @query
 def long_category_codes(t: Tables) -> DataFrame:
     """Codes of a column with as many values as rows, ranked in ranges rather than in one task."""
-    values = t["customer"].select("c_name").distinct()
-    return number_rows(values, ["c_name"], "n").select("c_name", (F.col("n") - 1).alias("code"))
+    return features.category_codes(t["customer"], "c_name", "code", few=False)
 
 
 @query
@@ -370,7 +367,16 @@ def model_auc(t: Tables) -> DataFrame:
 def churn_scores(t: Tables) -> DataFrame:
     """Features, split, balanced forest, scores of every customer."""
     table = materialize(feature_store(t), "feature_store")
-    return churn.train_and_score(table)[0]
+    model = churn.train(churn.split(table).where(~F.col("is_test")))
+    return churn.score(churn.predict(model, table))
+
+
+@query
+def churn_evaluation(t: Tables) -> DataFrame:
+    """Accuracy and AUC of a forest on the held-out fifth."""
+    table = materialize(feature_store(t), "feature_store")
+    measured = churn.train_and_score(table, trees=20)[1]
+    return table.agg(F.count(F.lit(1)).alias("customers")).select("customers", *[F.lit(v).alias(k) for k, v in measured.items()])
 
 
 @query
