@@ -454,7 +454,7 @@ def fact_orders_one_review(t: Tables) -> DataFrame:
 
 @query
 def fact_lines_salted(t: Tables) -> DataFrame:
-    """The fact rows with every order of more than five lines or two reviews cut into pieces."""
+    """The fact rows with every order of more than two lines or reviews cut into pieces."""
     return gold.order_lines(*star_sources(t), rows_per_task=2, detection_share=1.0).groupBy("status_code").agg(
         F.count(F.lit(1)).alias("n"), F.sum("total_amount_brl").alias("brl"), F.sum("review_rating").alias("stars")
     )

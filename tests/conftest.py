@@ -1,0 +1,37 @@
+import os
+import sys
+
+import pytest
+from pyspark.sql import SparkSession
+
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+sys.path.insert(0, ROOT)
+
+
+@pytest.fixture(scope="session")
+def spark(tmp_path_factory):
+    builder = (
+        SparkSession.builder.master("local[8]")
+        .config("spark.driver.memory", "4g")
+        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.warehouse.dir", str(tmp_path_factory.mktemp("warehouse")))
+        .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
+    )
+    session = builder.getOrCreate()
+    session.sparkContext.setLogLevel("ERROR")
+    if session.conf.get("spark.checkpoint.dir", None) is None:
+        session.conf.set("spark.checkpoint.dir", str(tmp_path_factory.mktemp("checkpoints")))
+    yield session
+    session.stop()
+
+
+@pytest.fixture
+def frame(spark):
+    """Build a small DataFrame from rows and a DDL schema."""
+
+    def build(rows, schema):
+        return spark.createDataFrame(rows, schema)
+
+    return build
