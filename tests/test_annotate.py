@@ -1,0 +1,114 @@
+import json
+
+import pytest
+
+from silverlode.operators import annotate as a
+
+REVIEWS = "review_id string, order_id string, rating int, review_text string"
+
+
+def reviews(spark, n=23):
+    rows = [(f"rev_{i:03d}", "o", i % 5 + 1, f"text {i}") for i in range(n)]
+    return spark.createDataFrame([*rows, ("blank", "o", 1, "  "), ("none", "o", 1, None)], REVIEWS)
+
+
+def answers(spark, *texts):
+    return spark.createDataFrame([(i, 1, text, None) for i, text in enumerate(texts)], "batch_id bigint, batch_size int, response string, error string")
+
+
+def test_queue_takes_waiting_reviews_with_text(spark):
+    done = spark.createDataFrame([("rev_000", "positive"), ("rev_001", None)], "review_id string, sentiment_label string")
+    queue = a.annotation_queue(reviews(spark), done, limit=None)
+    ids = {r["review_id"] for r in queue.collect()}
+    assert len(ids) == 22 and "rev_000" not in ids and "rev_001" in ids and "blank" not in ids
+    assert [r["review_id"] for r in a.annotation_queue(reviews(spark), limit=2).collect()] == ["rev_000", "rev_001"]
+
+
+def test_batches_hold_ten_in_order(spark):
+    batches = a.make_batches(a.annotation_queue(reviews(spark), limit=None)).orderBy("batch_id").collect()
+    assert [len(b["reviews"]) for b in batches] == [10, 10, 3]
+    assert [r["review_id"] for b in batches for r in b["reviews"]] == [f"rev_{i:03d}" for i in range(23)]
+
+
+def test_prompt_holds_reviews_and_contract(spark):
+    prompt = a.build_prompts(a.make_batches(a.annotation_queue(reviews(spark, 2), limit=None))).first()["prompt"]
+    for word in ("rev_000", "rev_001", "text 1", "Review 2:", *a.SENTIMENTS, *a.TOPICS, "review_id", "needs_human_review"):
+        assert word in prompt
+
+
+def test_annotator_errors_mark_their_batch(spark):
+    def annotator(prompts):
+        if "rev_000" in prompts[0]:
+            raise TimeoutError("slow")
+        return ["[]"] * len(prompts)
+
+    prompts = a.build_prompts(a.make_batches(a.annotation_queue(reviews(spark), limit=None)))
+    rows = a.apply_annotator(prompts, annotator).orderBy("batch_id").collect()
+    assert [r["error"] for r in rows] == ["TimeoutError: slow", None, None]
+    assert [r["batch_size"] for r in rows] == [10, 10, 3]
+
+
+GOOD = {"review_id": "r1", "sentiment": "positive", "confidence": 0.9, "primary_topic": "delivery", "needs_human_review": False}
+
+
+@pytest.mark.parametrize(
+    "text, found, error, warning",
+    [
+        (json.dumps([GOOD]), 1, None, None),
+        (json.dumps({"n": 1, "annotations": [GOOD, GOOD]}), 2, None, None),
+        (json.dumps({"z": "[not a list]", "y": {"q": [1]}, "b": [GOOD], "a": []}), 1, None, None),
+        ('{"x": 1}', 0, None, "response holds no list"),
+        ("42", 0, None, "response holds no list"),
+        ("[]", 0, None, None),
+        ("[{bad", 0, "response is not JSON", None),
+        (None, 0, "response is not JSON", None),
+        ("[1, 2]", 0, "list items are not objects", None),
+    ],
+)
+def test_answers_of_every_shape(spark, text, found, error, warning):
+    df = answers(spark, text)
+    row = a.read_responses(df).first()
+    assert (row["error"], row["warning"]) == (error, warning)
+    assert a.parse_annotations(df).count() == found
+
+
+def test_fields_and_defaults(spark):
+    text = json.dumps([GOOD, {"review_id": "r2"}, {"review_id": "r3", "confidence": None}, {"review_id": "r4", "needs_human_review": True, "confidence": "0.5"}])
+    rows = {r["review_id"]: r for r in a.parse_annotations(answers(spark, text)).collect()}
+    assert (rows["r1"]["sentiment_label"], rows["r1"]["annotation_confidence"], rows["r1"]["primary_topic"]) == ("positive", 0.9, "delivery")
+    assert (rows["r2"]["annotation_confidence"], rows["r2"]["needs_human_review"], rows["r2"]["sentiment_label"]) == (0.0, False, None)
+    assert rows["r3"]["item_error"] and not rows["r1"]["item_error"]
+    assert rows["r4"]["needs_human_review"] is True and rows["r4"]["annotation_confidence"] == 0.5
+
+
+def test_last_annotation_wins_and_replaces(spark):
+    first = json.dumps([GOOD, {**GOOD, "sentiment": "neutral"}])
+    new = a.last_per_review(a.parse_annotations(answers(spark, first, json.dumps([{**GOOD, "review_id": "r2"}]))))
+    assert {r["review_id"]: r["sentiment_label"] for r in new.collect()} == {"r1": "neutral", "r2": "positive"}
+    existing = spark.createDataFrame([("r1", "negative", 0.1, "other", True), ("r0", "positive", 0.2, "other", False)],
+        "review_id string, sentiment_label string, annotation_confidence double, primary_topic string, needs_human_review boolean")
+    merged = {r["review_id"]: r["sentiment_label"] for r in a.upsert_annotations(existing, new).collect()}
+    assert merged == {"r0": "positive", "r1": "neutral", "r2": "positive"}
+
+
+def test_annotated_reviews_keep_what_they_carry(spark):
+    df = a.with_annotation_columns(reviews(spark, 2))
+    assert a.with_annotation_columns(df).columns == df.columns
+    new = a.last_per_review(a.parse_annotations(answers(spark, json.dumps([{**GOOD, "review_id": "rev_001"}]))))
+    rows = {r["review_id"]: r["primary_topic"] for r in a.annotated_reviews(df, new).collect()}
+    assert rows["rev_001"] == "delivery" and rows["rev_000"] is None and len(rows) == 4
+
+
+def test_summary_counts_saved_matched_and_errors(spark):
+    df = answers(spark, json.dumps([GOOD, {**GOOD, "review_id": "unknown"}]), "[{bad", '{"x": 1}')
+    known = spark.createDataFrame([("r1",)], "review_id string")
+    assert a.run_summary(df, a.parse_annotations(df), known).first().asDict() == {
+        "reviews_processed": 3, "batches_with_errors": 1, "batches_without_list": 1,
+        "annotations_saved": 2, "matched": 1, "unmatched": 1, "success_rate": pytest.approx(2 / 3),
+    }
+
+
+def test_annotation_checks(spark):
+    text = json.dumps([GOOD, {**GOOD, "review_id": "r2", "sentiment": "angry", "confidence": 1.5}])
+    rows = {r["check"]: r["passed"] for r in a.check_annotations(a.last_per_review(a.parse_annotations(answers(spark, text)))).collect()}
+    assert list(rows.values()).count(False) == 2
