@@ -13,10 +13,11 @@ from .scratch import materialize
 _POSITION_BITS = 33
 
 
-def number_rows(df: DataFrame, order_by: Sequence[str], name: str) -> DataFrame:
-    """Add ``name`` = 1..n in the order of ``order_by``, ties broken by every remaining column.
+def number_rows(df: DataFrame, order_by: Sequence[str], name: str, ties: Sequence[str] | None = None) -> DataFrame:
+    """Add ``name`` = 1..n in the order of ``order_by``, ties broken by ``ties`` (default: every other column).
 
-    The result equals ``row_number()`` over an unpartitioned window with that full ordering (NULLs first).
+    The result equals ``row_number()`` over an unpartitioned window with that full ordering (NULLs first). Leave
+    long texts out of ``ties``: Spark finds the ranges from a sample of the ordering columns on the driver.
 
     Rows are range-partitioned on the full ordering, so one hot leading key spreads over many tasks; the
     originating partition number comes last and lets even exact copies be split. Each row's place within its
@@ -24,7 +25,9 @@ def number_rows(df: DataFrame, order_by: Sequence[str], name: str) -> DataFrame:
     ranges however often a task is retried. The offsets table has one row per range partition (at most
     ``spark.sql.shuffle.partitions``), which is why it may be broadcast.
     """
-    ordering = [*order_by, *(c for c in df.columns if c not in order_by), "_origin"]
+    if ties is None:
+        ties = [c for c in df.columns if c not in order_by]
+    ordering = [*order_by, *ties, "_origin"]
     placed = (
         df.withColumn("_origin", F.spark_partition_id())
         .repartitionByRange(*[F.col(c).asc_nulls_first() for c in ordering])

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numbering import number_rows
-from ..functions.scratch import materialize
+from ..sources.tables import append_table
 from .quality import Check, no_nulls, run_checks, values_between, values_in
 
 # Batch size, queue length, and the words an annotation may use.
@@ -58,7 +58,7 @@ def annotation_queue(reviews: DataFrame, annotations: DataFrame | None = None, l
 
 def make_batches(queue: DataFrame, size: int = BATCH_SIZE) -> DataFrame:
     """``batch_id`` and up to ``size`` reviews each, numbered in id order."""
-    numbered = number_rows(queue.select("review_id", "rating", "review_text"), ["review_id"], "position")
+    numbered = number_rows(queue.select("review_id", "rating", "review_text"), ["review_id"], "position", ["rating"])
     review = F.struct("position", "review_id", "rating", "review_text")
     return (
         numbered.withColumn("batch_id", F.expr(f"(position - 1) div {size}"))
@@ -81,8 +81,12 @@ def build_prompts(batches: DataFrame) -> DataFrame:
     return batches.select("batch_id", F.size("reviews").alias("batch_size"), prompt.alias("prompt"))
 
 
-def apply_annotator(prompts: DataFrame, annotator: Annotator) -> DataFrame:
-    """Run the caller's function over the prompts in Arrow batches. A failing call marks its own batch only."""
+def apply_annotator(prompts: DataFrame, annotator: Annotator, tasks: int | None = None) -> DataFrame:
+    """Run the caller's function over the prompts in Arrow batches. A failing call marks its own batch only.
+
+    ``tasks`` is the number of parallel callers: annotators wait on a network, so the size of the prompts says
+    nothing about it.
+    """
 
     def ask(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -96,6 +100,8 @@ def apply_annotator(prompts: DataFrame, annotator: Annotator) -> DataFrame:
                     errors.append(f"{type(error).__name__}: {error}")
             yield frame[["batch_id", "batch_size"]].assign(response=answers, error=errors)
 
+    if tasks is not None:
+        prompts = prompts.repartition(tasks, "batch_id")
     return prompts.mapInPandas(ask, "batch_id bigint, batch_size int, response string, error string")
 
 
@@ -167,6 +173,18 @@ def upsert_annotations(existing: DataFrame, new: DataFrame) -> DataFrame:
     return kept.select(*columns).unionByName(new.select(*columns))
 
 
+def append_annotations(new: DataFrame, table: str) -> None:
+    """Add a run's annotations to the annotation table, which is never rewritten."""
+    append_table(new.select("review_id", *ANNOTATION_COLUMNS, F.current_timestamp().alias("annotated_at")), table)
+
+
+def current_annotations(log: DataFrame) -> DataFrame:
+    """The annotation in force for each review: the one appended last."""
+    fields = F.struct(*ANNOTATION_COLUMNS)
+    newest = F.max_by(fields, "annotated_at").alias("last")
+    return log.groupBy("review_id").agg(newest).select("review_id", "last.*")
+
+
 def with_annotation_columns(reviews: DataFrame) -> DataFrame:
     """Add the annotation columns a reviews table lacks, all NULL."""
     missing = {c: F.lit(None).cast(t) for c, t in ANNOTATION_COLUMNS.items() if c not in reviews.columns}

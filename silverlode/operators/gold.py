@@ -16,6 +16,11 @@ CALENDAR = ("2016-01-01", "2019-12-31")
 LIGHT_UP_TO, MEDIUM_UP_TO = 500, 5000
 SEGMENTS = {"high": "At Risk", "medium": "Watch", "low": "Loyal"}
 
+# What can tell two fact rows of the same order line apart; the order's own columns cannot.
+LINE_COLUMNS = (
+    "product_key", "item_price_brl", "freight_cost_brl", "total_amount_brl", "review_rating", "sentiment_label", "review_topic",
+)
+
 FACT_COLUMNS = (
     "fact_id", "order_id", "customer_key", "product_key", "date_key", "order_item_id", "status_code",
     "order_date", "delivered_date", "days_to_deliver", "delivered_on_time", "item_price_brl",
@@ -222,5 +227,6 @@ def fact_orders(orders: DataFrame, items: DataFrame, reviews: DataFrame, rates:
 
     Rows are numbered before the derived amounts are added, which follow from columns already ordered by.
     """
-    lines = number_rows(_matched_lines(orders, items, reviews, **options), ["order_id", "order_item_id"], "fact_id")
+    lines = _matched_lines(orders, items, reviews, **options)
+    lines = number_rows(lines, ["order_id", "order_item_id"], "fact_id", LINE_COLUMNS)
     return _with_usd(lines, rates).select(*FACT_COLUMNS)

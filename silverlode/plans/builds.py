@@ -6,13 +6,14 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..functions.scratch import drop_scratch
+from ..functions.scratch import drop_scratch, materialize
 from ..operators import annotate, churn, features, gold, metrics, quality
 from ..operators.silver import SILVER_TABLES
 from ..sources.csv import load_all_csv, total_rows
 from ..sources.rates import append_rates, flatten_rates, read_payloads
 from ..sources.tables import as_view, create_layers, layer, overwrite_table
 
+ANNOTATIONS_TABLE = "silver.review_annotations"
 STATUS_SCHEMA = "table string, status string, rows bigint, error string"
 
 
@@ -46,8 +47,8 @@ def staging(spark: SparkSession) -> dict[str, DataFrame]:
     """The staging relations over the current tables, also registered as views."""
     silver = {t: spark.table(layer("silver", t)) for t in SILVER_TABLES}
     reviews = annotate.with_annotation_columns(silver["reviews"])
-    if spark.catalog.tableExists("silver.review_annotations"):
-        reviews = annotate.annotated_reviews(reviews, spark.table("silver.review_annotations"))
+    if spark.catalog.tableExists(ANNOTATIONS_TABLE):
+        reviews = annotate.annotated_reviews(reviews, annotate.current_annotations(spark.table(ANNOTATIONS_TABLE)))
     staged = {
         "stg_orders": gold.stg_orders(silver["orders"]),
         "stg_customers": gold.stg_customers(silver["customers"]),
@@ -90,20 +91,19 @@ def check_gold(spark: SparkSession) -> DataFrame:
     return results
 
 
-def annotate_reviews(spark: SparkSession, annotator: annotate.Annotator, limit: int | None = annotate.QUEUE_LIMIT) -> DataFrame:
-    """Annotate waiting reviews, merge the answers into the annotation table, return the run summary."""
-    table = "silver.review_annotations"
+def annotate_reviews(
+    spark: SparkSession, annotator: annotate.Annotator, limit: int | None = annotate.QUEUE_LIMIT, tasks: int | None = None
+) -> DataFrame:
+    """Annotate waiting reviews, append the answers to the annotation table, return the run summary."""
     reviews = spark.table("silver.reviews")
-    existing = spark.table(table) if spark.catalog.tableExists(table) else None
-    queue = annotate.annotation_queue(reviews, existing, limit)
+    done = spark.table(ANNOTATIONS_TABLE) if spark.catalog.tableExists(ANNOTATIONS_TABLE) else None
+    queue = annotate.annotation_queue(reviews, done, limit)
     prompts = annotate.build_prompts(annotate.make_batches(queue))
-    # Answers cost money: they are materialised, so no later step calls the annotator again.
-    responses = annotate.materialize(annotate.apply_annotator(prompts, annotator), "responses")
+    # Answers cost money: they are written, so no later step or retry calls the annotator again.
+    responses = materialize(annotate.apply_annotator(prompts, annotator, tasks), "responses")
     parsed = annotate.parse_annotations(responses)
-    new = annotate.last_per_review(parsed).join(reviews.select("review_id"), "review_id", "left_semi")
-    merged = new if existing is None else annotate.upsert_annotations(existing, new)
-    merged = annotate.materialize(merged, "annotations")  # the table cannot be read and replaced in one job
-    overwrite_table(merged, table)
+    known = annotate.last_per_review(parsed).join(reviews.select("review_id"), "review_id", "left_semi")
+    annotate.append_annotations(known, ANNOTATIONS_TABLE)
     return annotate.run_summary(responses, parsed, reviews)
 
 

@@ -112,3 +112,18 @@ def test_annotation_checks(spark):
     text = json.dumps([GOOD, {**GOOD, "review_id": "r2", "sentiment": "angry", "confidence": 1.5}])
     rows = {r["check"]: r["passed"] for r in a.check_annotations(a.last_per_review(a.parse_annotations(answers(spark, text)))).collect()}
     assert list(rows.values()).count(False) == 2
+
+
+def test_appended_annotations_keep_the_newest(spark):
+    spark.sql("CREATE DATABASE IF NOT EXISTS silver")
+    for sentiment in ("neutral", "negative"):
+        new = a.last_per_review(a.parse_annotations(answers(spark, json.dumps([{**GOOD, "sentiment": sentiment}]))))
+        a.append_annotations(new, "silver.log_test")
+    log = spark.table("silver.log_test")
+    assert log.count() == 2
+    assert [(r["review_id"], r["sentiment_label"]) for r in a.current_annotations(log).collect()] == [("r1", "negative")]
+
+
+def test_annotator_tasks(spark):
+    prompts = a.build_prompts(a.make_batches(a.annotation_queue(reviews(spark), limit=None)))
+    assert a.apply_annotator(prompts, lambda p: ["[]"] * len(p), tasks=3).count() == 3
