@@ -13,29 +13,55 @@ from pyspark.sql import functions as F
 ROWS_PER_TASK = 2_000_000
 # Share of rows read to find hot keys. At 2 million rows per key the sample still holds about 20,000 of them.
 DETECTION_SHARE = 0.01
+# Inputs smaller than this are not searched for hot keys: joining all of them in one task would do no harm.
+MIN_BYTES = 1 << 30
+# More files than this count as large without adding up their sizes.
+MAX_FILES_SIZED = 256
 # Longest list of hot keys taken to the driver; keys beyond it join like any other key.
 MAX_HOT_KEYS = 1_000
 
 
+def reads_less_than(df: DataFrame, limit: int) -> bool:
+    """Whether the files behind ``df`` add up to less than ``limit`` bytes; False when that is not known."""
+    files = df.inputFiles()
+    if not 0 < len(files) <= MAX_FILES_SIZED:
+        return False
+    spark = df.sparkSession
+    configuration = spark._jsc.hadoopConfiguration()
+    total = 0
+    for file in files:
+        path = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(file))
+        total += path.getFileSystem(configuration).getFileStatus(path).getLen()
+        if total >= limit:
+            return False
+    return True
+
+
 def hot_keys(
     frames: Sequence[DataFrame],
     key: str,
     rows_per_task: int = ROWS_PER_TASK,
     share: float = DETECTION_SHARE,
     max_keys: int = MAX_HOT_KEYS,
+    min_bytes: int = MIN_BYTES,
 ) -> list[dict[str, int]]:
     """For each frame the keys that deserve more than one task, with the number of tasks each should get.
 
     One job reads the key column of a row sample and counts it with map-side combining. The answer only steers
-    how rows are spread: any answer gives the same join result, so sampling here loses nothing.
+    how rows are spread: any answer gives the same join result, so sampling here loses nothing. Frames over less
+    than ``min_bytes`` of input are not searched.
     """
+    found: list[dict[str, int]] = [{} for _ in frames]
+    searched = [i for i, df in enumerate(frames) if not reads_less_than(df, min_bytes)]
+    if not searched:
+        return found
 
     def keys(i: int, df: DataFrame) -> DataFrame:
         rows = df.select(F.lit(i).alias("frame"), F.col(key).alias("key"))
         return rows if share >= 1 else rows.sample(share, seed=7)
 
     heavy = (
-        reduce(DataFrame.unionByName, [keys(i, df) for i, df in enumerate(frames)])
+        reduce(DataFrame.unionByName, [keys(i, frames[i]) for i in searched])
         .where(F.col("key").isNotNull())
         .groupBy("frame", "key")
         .agg(F.count(F.lit(1)).alias("n"))
@@ -43,7 +69,6 @@ def hot_keys(
         .orderBy(F.desc("n"))
         .limit(max_keys)
     )
-    found: list[dict[str, int]] = [{} for _ in frames]
     for row in heavy.collect():  # at most max_keys rows
         found[row["frame"]][row["key"]] = math.ceil(row["n"] / (rows_per_task * share))
     return found

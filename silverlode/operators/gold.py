@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import MONEY, date_key
 from ..functions.numbering import number_rows
-from ..functions.skew import ROWS_PER_TASK, DETECTION_SHARE, hot_keys, salted_join
+from ..functions.skew import hot_keys, salted_join
 
 LOCAL_CURRENCY = "BRL"
 
@@ -168,8 +168,7 @@ def _matched_lines(
     items: DataFrame,
     reviews: DataFrame,
     single_review: bool = False,
-    rows_per_task: int = ROWS_PER_TASK,
-    detection_share: float = DETECTION_SHARE,
+    hot_options: dict | None = None,
 ) -> DataFrame:
     """Order lines with their order, once per review of the order.
 
@@ -190,7 +189,7 @@ def _matched_lines(
         F.col("total_item_cost_brl").alias("total_amount_brl"),
     )
     many = [items] if single_review else [items, reviews]
-    hot = hot_keys(many, "order_id", rows_per_task, detection_share)
+    hot = hot_keys(many, "order_id", **(hot_options or {}))
 
     lines = salted_join(item_columns, order_columns, "order_id", "inner", hot[0])
     return salted_join(lines, review_columns, "order_id", "left", hot[0], {} if single_review else hot[1])
@@ -217,7 +216,7 @@ def _with_usd(lines: DataFrame, rates: DataFrame) -> DataFrame:
 def order_lines(orders: DataFrame, items: DataFrame, reviews: DataFrame, rates: DataFrame, **options) -> DataFrame:
     """The fact rows without surrogate key: each order line, once per review of its order. Inputs as staged.
 
-    Options: ``single_review``, and ``rows_per_task`` and ``detection_share`` for the splitting of hot orders.
+    Options: ``single_review``, and ``hot_options`` for the search for hot orders (see ``hot_keys``).
     """
     return _with_usd(_matched_lines(orders, items, reviews, **options), rates).select(*FACT_COLUMNS[1:])
 

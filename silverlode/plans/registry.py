@@ -79,12 +79,21 @@ def star_sources(t: Tables) -> tuple[DataFrame, ...]:
     )
 
 
+_SILVER = {"orders": orders, "customers": customers, "order_items": items, "reviews": reviews, "exchange_rates": current_rates}
+
+
+def stored(t: Tables, name: str) -> DataFrame:
+    """A silver table written first, for queries that read it more than once."""
+    return materialize(_SILVER[name](t), name)
+
+
 def rule_scores(t: Tables) -> DataFrame:
     """A score table from a plain rule (the late rate as probability), so that SQL can compute it too."""
-    labels = features.churn_labels(orders(t)).select("customer_key", "churned")
+    table = stored(t, "orders")
+    labels = features.churn_labels(table).select("customer_key", "churned")
     late = F.col("late_delivery_rate")
     return (
-        features.order_features(orders(t))
+        features.order_features(table)
         .join(labels, "customer_key")
         .select("customer_key", "churned", late.alias("churn_probability"), (late > 0.3).cast("int").alias("predicted_churn"))
     )
@@ -209,15 +218,12 @@ def mapping_conformance(t: Tables) -> DataFrame:
     return result.select("table", "target_col", "null_count", "problem")
 
 
-_SILVER = {"orders": orders, "customers": customers, "order_items": items, "reviews": reviews, "exchange_rates": current_rates}
-
-
 # --- quality ---
 
 
 @query
 def quality_orders(t: Tables) -> DataFrame:
-    return quality.run_checks(orders(t), "orders", quality.orders_suite())
+    return quality.run_checks(stored(t, "orders"), "orders", quality.orders_suite())
 
 
 @query
@@ -227,7 +233,7 @@ def quality_order_items(t: Tables) -> DataFrame:
 
 @query
 def quality_reviews(t: Tables) -> DataFrame:
-    return quality.run_checks(reviews(t), "reviews", quality.reviews_suite())
+    return quality.run_checks(stored(t, "reviews"), "reviews", quality.reviews_suite())
 
 
 @query
@@ -240,17 +246,17 @@ def quality_failures(t: Tables) -> DataFrame:
         quality.row_count(1, 10),
         quality.no_nulls("no_such_column"),
     ]
-    return quality.run_checks(items(t), "order_items", checks)
+    return quality.run_checks(stored(t, "order_items"), "order_items", checks)
 
 
 @query
 def quality_summary(t: Tables) -> DataFrame:
-    return quality.summarize(quality.validate(orders(t), items(t), reviews(t)))
+    return quality.summarize(quality.validate(stored(t, "orders"), items(t), stored(t, "reviews")))
 
 
 @query
 def quality_overall(t: Tables) -> DataFrame:
-    return quality.overall(quality.validate(orders(t), items(t), reviews(t)))
+    return quality.overall(quality.validate(stored(t, "orders"), items(t), stored(t, "reviews")))
 
 
 @query
@@ -455,7 +461,7 @@ def fact_orders_one_review(t: Tables) -> DataFrame:
 @query
 def fact_lines_salted(t: Tables) -> DataFrame:
     """The fact rows with every order of more than two lines or reviews cut into pieces."""
-    return gold.order_lines(*star_sources(t), rows_per_task=2, detection_share=1.0).groupBy("status_code").agg(
+    return gold.order_lines(*star_sources(t), hot_options={"rows_per_task": 2, "share": 1.0, "min_bytes": 0}).groupBy("status_code").agg(
         F.count(F.lit(1)).alias("n"), F.sum("total_amount_brl").alias("brl"), F.sum("review_rating").alias("stars")
     )
 

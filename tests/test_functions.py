@@ -11,7 +11,7 @@ from silverlode.functions.columns import elapsed_days, risk_tier
 from silverlode.functions.numbering import number_rows
 from silverlode.functions.scratch import drop_scratch, materialize, scratch_root
 from silverlode.functions.selection import exact_median, lowest_share
-from silverlode.functions.skew import hot_keys, salted_join
+from silverlode.functions.skew import hot_keys, reads_less_than, salted_join
 
 few = settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 
@@ -102,6 +102,14 @@ def test_salting_spreads_a_hot_key_of_exact_copies(spark):
     assert sum(sizes) == 6_000 and len(sizes) > 2
 
 
+def test_small_inputs_are_not_searched(spark):
+    df = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").where("l_tax > 0").select("l_orderkey")
+    assert reads_less_than(df, 1 << 30) and not reads_less_than(df, 1000)
+    assert not reads_less_than(spark.range(1), 1 << 30)
+    assert hot_keys([df], "l_orderkey", 1, 1.0) == [{}]
+    assert len(hot_keys([df], "l_orderkey", 1, 1.0, min_bytes=0)[0]) == 1000
+
+
 def test_salted_join_without_hot_keys_is_the_plain_join(frame):
     left, right = frame([("a", 1)], "k string, x int"), frame([("a", 2)], "k string, y int")
     assert hot_keys([left, right], "k") == [{}, {}]
