@@ -26,13 +26,23 @@ def scratch_root(spark: SparkSession) -> str:
     return _local_root[application]
 
 
+def _application_folder(spark: SparkSession):
+    path = spark._jvm.org.apache.hadoop.fs.Path(
+        f"{scratch_root(spark)}/silverlode/{spark.sparkContext.applicationId}"
+    )
+    return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new path of this application; a fresh name per call, so nothing is ever overwritten."""
-    return f"{scratch_root(spark)}/silverlode/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
+    folder, files = _application_folder(spark)
+    files.mkdirs(folder)
+    files.deleteOnExit(folder)
+    return f"{folder.toString()}/{label}-{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` once and return a scan of the written table."""
+    """Write ``df`` once and return a scan of the written table. It lasts as long as the application."""
     spark = df.sparkSession
     path = scratch_path(spark, label)
     df.write.parquet(path)
@@ -40,8 +50,6 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
 
 
 def drop_scratch(spark: SparkSession) -> bool:
-    """Delete what this application materialised. Call it when its results have been written or read."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(
-        f"{scratch_root(spark)}/silverlode/{spark.sparkContext.applicationId}"
-    )
-    return path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    """Delete what this application materialised, for long-running applications: call it between runs."""
+    folder, files = _application_folder(spark)
+    return files.delete(folder, True)

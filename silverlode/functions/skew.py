@@ -23,7 +23,7 @@ MAX_HOT_KEYS = 1_000
 
 def reads_less_than(df: DataFrame, limit: int) -> bool:
     """Whether the files behind ``df`` add up to less than ``limit`` bytes; False when that is not known."""
-    files = df.inputFiles()
+    files = df._jdf.inputFiles()  # the array stays in the JVM, however long it is
     if not 0 < len(files) <= MAX_FILES_SIZED:
         return False
     spark = df.sparkSession

@@ -379,6 +379,12 @@ _oracle(
     """SELECT CAST(CAST(fetched_at AS DATE) AS TIMESTAMP) AS fetch_date, 2 * count(*) AS n, count(DISTINCT target_currency) AS currencies
        FROM snapshots GROUP BY 1""",
 )
+_oracle(
+    "rate_feed",
+    """SELECT base_currency, target_currency, count(*) AS n, min(CAST(exchange_rate AS DOUBLE)) AS lowest,
+              max(CAST(exchange_rate AS DOUBLE)) AS highest, max(rate_timestamp) AS newest
+       FROM snapshots GROUP BY 1, 2""",
+)
 _oracle(
     "rate_sample",
     """SELECT 'usd' AS base_currency, 'BRL' AS target_currency, value + 1 AS exchange_rate, ts AS rate_timestamp, ts AS fetched_at

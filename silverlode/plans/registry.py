@@ -14,6 +14,7 @@ from ..operators import annotate, churn, features, gold, mapping, metrics, quali
 from ..sources import adapters, csv, rates
 from ..sources.adapters import Tables
 from ..sources.tables import describe_table
+from ..streaming.rates_feed import feed_rates
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -141,6 +142,20 @@ def rate_history_appended(t: Tables) -> DataFrame:
     return history.groupBy("fetch_date").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("target_currency").alias("currencies"))
 
 
+@query
+def rate_feed(t: Tables) -> DataFrame:
+    """Payloads landed as files and taken up by the stream, in two calls of which the second finds nothing new."""
+    landing, history, checkpoint = (scratch_path(t.spark, name) for name in ("landing", "history", "progress"))
+    adapters.rate_payloads(t).select("payload").write.text(landing)
+    for _ in range(2):
+        feed_rates(t.spark, landing, history, checkpoint, one_per_line=True).awaitTermination()
+    fed = t.spark.read.parquet(history)
+    return fed.groupBy("base_currency", "target_currency").agg(
+        F.count(F.lit(1)).alias("n"), F.min("exchange_rate").alias("lowest"), F.max("exchange_rate").alias("highest"),
+        F.max("rate_timestamp").alias("newest"),
+    )
+
+
 @query
 def rate_sample(t: Tables) -> DataFrame:
     return rates.sample_currencies(adapters.raw_exchange_rates(t).withColumn("target_currency", F.upper("target_currency")))

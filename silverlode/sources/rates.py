@@ -14,9 +14,9 @@ HISTORY_TABLE = layer("bronze", "raw_exchange_rates")
 SAMPLE_CURRENCIES = ("BRL", "EUR", "GBP", "LKR")
 
 
-def read_payloads(spark: SparkSession, path: str) -> DataFrame:
-    """Landed payload files, one JSON document each."""
-    return spark.read.text(path, wholetext=True).withColumnRenamed("value", "payload")
+def read_payloads(spark: SparkSession, path: str, one_per_line: bool = False) -> DataFrame:
+    """Landed payloads: one JSON document per file, or per line."""
+    return spark.read.text(path, wholetext=not one_per_line).withColumnRenamed("value", "payload")
 
 
 def flatten_rates(payloads: DataFrame, fetched_at: Column | None = None) -> DataFrame:

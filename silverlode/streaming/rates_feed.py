@@ -9,12 +9,14 @@ from pyspark.sql.streaming import StreamingQuery
 from ..sources.rates import flatten_rates
 
 
-def feed_rates(spark: SparkSession, landing: str, history: str, checkpoint: str) -> StreamingQuery:
+def feed_rates(
+    spark: SparkSession, landing: str, history: str, checkpoint: str, one_per_line: bool = False
+) -> StreamingQuery:
     """Append the payload files that arrived since the last call to the Parquet folder ``history`` and stop.
 
     ``checkpoint`` remembers which files were taken, so a rerun after a failure neither loses nor repeats one.
     """
-    payloads = spark.readStream.text(landing, wholetext=True).withColumnRenamed("value", "payload")
+    payloads = spark.readStream.text(landing, wholetext=not one_per_line).withColumnRenamed("value", "payload")
     rates = flatten_rates(payloads).withColumn("fetch_date", F.to_date("fetched_at"))
     return (
         rates.writeStream.format("parquet")
