@@ -63,7 +63,13 @@ def test_the_whole_run(spark, raw_files, payloads, tmp_path):
     assert builds.annotate_reviews(spark, keyword_annotator()).first()["annotations_saved"] == 0
     builds.build_silver(spark, {s: spark.table(f"bronze.{s}") for s, _ in builds.SILVER_TABLES.values()})
     assert builds.staging(spark)["stg_reviews"].where("sentiment_label IS NOT NULL").count() > 0
-    assert builds.build_gold(spark, partition_fact=True) == lines
+
+    written = {}
+    builds.build_gold(spark, partition_fact=True, write=lambda df, name, parts=None: written.update({name: (df, parts)}))
+    assert {name: parts for name, (_, parts) in written.items()} == {
+        "gold.dim_customer": None, "gold.dim_product": None, "gold.dim_date": None, "gold.fact_orders": ["date_key"],
+    }
+    assert written["gold.fact_orders"][0].count() == lines
 
 
 def test_one_bad_silver_table_does_not_stop_the_others(spark):
