@@ -76,51 +76,49 @@ def hot_keys(
 
 def salted_join(
     left: DataFrame,
-    right: DataFrame,
+    rights: Sequence[tuple[DataFrame, str]],
     key: str,
-    how: str,
     left_hot: dict[str, int],
-    right_hot: dict[str, int] | None = None,
+    last_hot: dict[str, int] | None = None,
 ) -> DataFrame:
-    """``left.join(right, key, how)`` for ``inner`` and ``left``, hot keys cut into pieces on both sides.
+    """``left.join(right, key, how)`` for each ``(right, how)`` in turn, hot keys cut into pieces.
 
-    The left rows of a hot key are dealt into pieces and the right rows of that key are copied to each piece;
-    a key that is hot on the right is dealt and copied the other way round. Without hot keys this is the plain
-    join and costs nothing more.
+    The left rows of a hot key are dealt into pieces and the right rows of that key are copied to each piece. A
+    key hot in the last right frame (``last_hot``) is dealt there and its left rows are copied. All joins use the
+    same keys, so the left rows are shuffled once. Without hot keys these are the plain joins.
     """
-    if how not in ("inner", "left"):
-        raise ValueError(f"salted_join handles inner and left joins, got {how!r}")
-    right_hot = right_hot or {}
-    if not left_hot and not right_hot:
-        return left.join(right, key, how)
+    if any(how not in ("inner", "left") for _, how in rights):
+        raise ValueError("salted_join handles inner and left joins")
+    last_hot = last_hot or {}
+    if not left_hot and not last_hot:
+        return reduce(lambda joined, right: joined.join(right[0], key, right[1]), rights, left)
 
     pieces = left.sparkSession.createDataFrame(
-        [(k, left_hot.get(k, 1), right_hot.get(k, 1)) for k in {**left_hot, **right_hot}],
-        f"`{key}` {left.schema[key].dataType.simpleString()}, _left_pieces int, _right_pieces int",
+        [(k, left_hot.get(k, 1), last_hot.get(k, 1)) for k in {**left_hot, **last_hot}],
+        f"`{key}` {left.schema[key].dataType.simpleString()}, _left_pieces int, _last_pieces int",
     )
-    columns = [key, *(c for c in left.columns if c != key), *(c for c in right.columns if c != key)]
 
     def with_pieces(df: DataFrame) -> DataFrame:
         # at most 2 * MAX_HOT_KEYS rows
-        return df.join(F.broadcast(pieces), key, "left").fillna(1, ["_left_pieces", "_right_pieces"])
-
-    dealt_left = (
-        with_pieces(left)
-        .withColumn("_l", _deal(left, "_left_pieces"))
-        .withColumn("_r", F.explode(F.sequence(F.lit(0), F.col("_right_pieces") - 1)))
-    )
-    dealt_right = (
-        with_pieces(right)
-        .withColumn("_r", _deal(right, "_right_pieces"))
-        .withColumn("_l", F.explode(F.sequence(F.lit(0), F.col("_left_pieces") - 1)))
-        .drop("_left_pieces", "_right_pieces")
-        .withColumn("_hit", F.lit(True))
-    )
-    joined = dealt_left.join(dealt_right, [key, "_l", "_r"], how)
-    if how == "left":
-        # A left row copied to several right pieces finds its matches in some of them. A key hot on the right
+        return df.join(F.broadcast(pieces), key, "left").fillna(1, ["_left_pieces", "_last_pieces"])
+
+    def copied_to(count: str) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.col(count) - 1))
+
+    columns = [key, *(c for c in left.columns if c != key)]
+    joined = with_pieces(left).withColumn("_l", _deal(left, "_left_pieces")).withColumn("_r", copied_to("_last_pieces"))
+    for i, (right, how) in enumerate(rights, 1):
+        columns += [c for c in right.columns if c != key]
+        piece = with_pieces(right).withColumn("_l", copied_to("_left_pieces"))
+        if i < len(rights):
+            piece = piece.withColumn("_r", copied_to("_last_pieces"))
+        else:
+            piece = piece.withColumn("_r", _deal(right, "_last_pieces")).withColumn("_hit", F.lit(True))
+        joined = joined.join(piece.drop("_left_pieces", "_last_pieces"), [key, "_l", "_r"], how)
+    if rights[-1][1] == "left":
+        # A left row copied to several pieces of the last frame finds its matches in some of them. A key hot there
         # has matches for certain, so its unmatched copies are leftovers of the copying.
-        joined = joined.where((F.col("_right_pieces") == 1) | F.col("_hit"))
+        joined = joined.where((F.col("_last_pieces") == 1) | F.col("_hit"))
     return joined.select(*columns)
 
 

@@ -191,8 +191,8 @@ def _matched_lines(
     many = [items] if single_review else [items, reviews]
     hot = hot_keys(many, "order_id", **(hot_options or {}))
 
-    lines = salted_join(item_columns, order_columns, "order_id", "inner", hot[0])
-    return salted_join(lines, review_columns, "order_id", "left", hot[0], {} if single_review else hot[1])
+    joins = [(order_columns, "inner"), (review_columns, "left")]
+    return salted_join(item_columns, joins, "order_id", hot[0], {} if single_review else hot[1])
 
 
 def _with_usd(lines: DataFrame, rates: DataFrame) -> DataFrame:

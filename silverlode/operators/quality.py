@@ -112,8 +112,10 @@ def _problem(df: DataFrame, check: Check) -> str | None:
 def _outside(df: DataFrame, check: Check) -> Column:
     """True where a value is not one of the allowed ones; NULL where there is no value."""
     column = F.col(check.column)
-    numeric = isinstance(df.schema[check.column].dataType, T.NumericType)
-    if numeric and all(isinstance(v, (int, float)) for v in check.allowed):
+    kind = df.schema[check.column].dataType
+    flags = all(isinstance(v, bool) for v in check.allowed)
+    numbers = not flags and all(isinstance(v, (int, float)) for v in check.allowed)
+    if (isinstance(kind, T.NumericType) and numbers) or (isinstance(kind, T.BooleanType) and flags):
         return ~column.isin(*check.allowed)
     return ~column.cast("string").isin(*[str(v) for v in check.allowed])
 

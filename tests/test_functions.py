@@ -12,6 +12,7 @@ from silverlode.functions.numbering import number_rows
 from silverlode.functions.scratch import drop_scratch, materialize, scratch_root
 from silverlode.functions.selection import exact_median, lowest_share
 from silverlode.functions.skew import hot_keys, reads_less_than, salted_join
+from silverlode.operators.silver import dedup
 
 few = settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 
@@ -81,7 +82,7 @@ def test_salted_join_equals_the_plain_join(spark, how, left_limit, right_limit):
     left_hot = hot_keys([left], "k", left_limit, 1.0)[0]
     right_hot = hot_keys([right], "k", right_limit, 1.0)[0]
     assert left_hot or right_hot
-    got, expected = salted_join(left, right, "k", how, left_hot, right_hot), left.join(right, "k", how)
+    got, expected = salted_join(left, [(right, how)], "k", left_hot, right_hot), left.join(right, "k", how)
     assert got.columns == expected.columns
     assert got.exceptAll(expected).count() == 0 and expected.exceptAll(got).count() == 0
 
@@ -94,7 +95,7 @@ def test_salting_spreads_a_hot_key_of_exact_copies(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
-        joined = salted_join(left, right, "k", "inner", *hot)
+        joined = salted_join(left, [(right, "inner")], "k", *hot)
         sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
@@ -113,9 +114,41 @@ def test_small_inputs_are_not_searched(spark):
 def test_salted_join_without_hot_keys_is_the_plain_join(frame):
     left, right = frame([("a", 1)], "k string, x int"), frame([("a", 2)], "k string, y int")
     assert hot_keys([left, right], "k") == [{}, {}]
-    assert salted_join(left, right, "k", "inner", {}).collect() == [("a", 1, 2)]
+    assert salted_join(left, [(right, "inner")], "k", {}).collect() == [("a", 1, 2)]
     with pytest.raises(ValueError):
-        salted_join(left, right, "k", "full", {})
+        salted_join(left, [(right, "full")], "k", {})
+
+
+@pytest.mark.parametrize("hows", [("inner", "left"), ("left", "inner"), ("left", "left")])
+def test_two_salted_joins_shuffle_the_left_once(spark, hows):
+    left, last = _skewed(spark)
+    middle = left.select("k").distinct().where("k <> '3'").withColumn("name", F.upper("k"))
+    hot = hot_keys([left, last], "k", 3, 1.0)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = salted_join(left, [(middle, hows[0]), (last, hows[1])], "k", *hot)
+        expected = left.join(middle, "k", hows[0]).join(last, "k", hows[1])
+        assert got.exceptAll(expected).count() == 0 and expected.exceptAll(got).count() == 0
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("hashpartitioning(k") == 4  # each frame on its way to the joins, and the distinct of the middle
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+@few
+@given(st.lists(st.tuples(st.sampled_from(["a", "b", None]), st.integers(0, 3)), max_size=30))
+def test_numbering_of_any_rows(spark, rows):
+    df = spark.createDataFrame(rows, "k string, v int").repartition(3)
+    numbered = sorted(tuple(r) for r in number_rows(df, ["k"], "n").collect())
+    assert [r[0] for r in numbered] == list(range(1, len(rows) + 1))
+    assert [r[1:] for r in numbered] == sorted(rows, key=lambda r: (r[0] is not None, r[0] or "", r[1]))
+
+
+@few
+@given(st.lists(st.tuples(st.sampled_from(["a", "b", None]), st.integers(0, 3)), max_size=30))
+def test_dedup_of_any_rows(spark, rows):
+    df = spark.createDataFrame(rows, "k string, v int").repartition(3)
+    assert {tuple(r) for r in dedup(df, "k").collect()} == {(k, min(v for x, v in rows if x == k)) for k, _ in rows}
 
 
 def test_elapsed_days_rounds_down(frame):

@@ -29,6 +29,14 @@ def test_values_in(frame):
     assert not bad.passed and "UNKNOWN" in bad.message
 
 
+@pytest.mark.parametrize(
+    "value, kind, allowed, passed",
+    [(1, "int", (1, 2), True), (3, "int", (1, 2), False), (True, "boolean", (True,), True), (True, "boolean", (False,), False), (1, "int", ("1",), True)],
+)
+def test_values_in_of_any_type(frame, value, kind, allowed, passed):
+    assert one(frame([(value,)], f"x {kind}"), q.values_in("x", allowed)).passed is passed
+
+
 def test_values_in_shows_at_most_five(frame):
     bad = one(frame([(i,) for i in range(50)] * 2, "x int"), q.values_in("x", [100]))
     assert bad.violations == 100 and bad.message.endswith("such as: 0, 1, 2, 3, 4")
