@@ -111,12 +111,14 @@ def read_responses(responses: DataFrame) -> DataFrame:
     Adds ``items`` (one map of text per annotation), ``warning`` for an answer without a list, which counts as
     empty, and ``error`` for text that is no JSON or a list of something else than objects.
     """
-    text = F.trim("response")
+    text = F.btrim("response", F.lit(" \t\r\n"))
+    # The parser stops at the end of the first value; text after it makes the answer no JSON.
+    whole = F.when(text.startswith("["), text.endswith("]")).when(text.startswith("{"), text.endswith("}")).otherwise(True)
     members = F.map_values(F.from_json(text, "map<string,variant>"))
     first_list = F.try_element_at(F.filter(members, lambda v: F.schema_of_variant(v).startswith("ARRAY")), F.lit(1))
     listed = F.when(text.startswith("["), text).when(text.startswith("{"), F.to_json(first_list))
     return (
-        responses.withColumn("_parsed", F.try_parse_json(text).isNotNull())
+        responses.withColumn("_parsed", F.try_parse_json(text).isNotNull() & whole)
         .withColumn("_list", listed)
         .withColumn("items", F.when(F.col("_parsed"), F.from_json(F.coalesce("_list", F.lit("[]")), _ITEMS)))
         .withColumn(

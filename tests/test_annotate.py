@@ -62,6 +62,10 @@ GOOD = {"review_id": "r1", "sentiment": "positive", "confidence": 0.9, "primary_
         ("[]", 0, None, None),
         ("[{bad", 0, "response is not JSON", None),
         (None, 0, "response is not JSON", None),
+        ("\n " + json.dumps([GOOD]) + "\n", 1, None, None),
+        (json.dumps([GOOD]) + " as asked", 0, "response is not JSON", None),
+        ("```json\n[]\n```", 0, "response is not JSON", None),
+        ('[{"review_id": "a", "review_id": "b"}]', 0, "response is not JSON", None),
         ("[1, 2]", 0, "list items are not objects", None),
     ],
 )
