@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import simhash
+from . import shards, simhash, tokens, vafile
 from .common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +21,43 @@ def query(function: Query) -> Query:
     return function
 
 
+def tokenizer_path(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query
+def op2_va_file_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vafile.top_k(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
+ORACLES["op2_va_file_top_k"] = """
+WITH v AS (
+    SELECT vec_id, [floor(256 * x::DOUBLE) FOR x IN embedding] AS vec
+    FROM embeddings
+    WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+), scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.vec, c.vec) AS BIGINT) AS score
+    FROM v AS q JOIN v AS c ON q.vec_id <> c.vec_id
+    WHERE q.vec_id % 50 = 0
+)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM scored
+QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 5
+"""
+
+
+@query
+def op5_sampled_splitters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shards.assign_shards(read(spark, sf_dir, "documents"), shards=40)
+
+
+@query
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.count_tokens(read(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
+
+
 @query
 def op9_simhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read(spark, sf_dir, "documents"))

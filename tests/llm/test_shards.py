@@ -1,0 +1,58 @@
+import zlib
+from collections import defaultdict
+
+from silverlode.llm import shards
+from silverlode.llm.registry import QUERIES
+
+SMALL = "/root/testdata/sf0.001"
+
+
+def check(rows, docs, count, keep):
+    assert len(rows) == len(docs)
+    want = sorted((len((t or "").encode()) + 16, zlib.crc32((t or "").encode())) for _, t in docs)
+    assert sorted((r["size"], r.text_crc32) for r in rows) == want
+    by, together, groups = defaultdict(list), defaultdict(set), defaultdict(int)
+    for r in rows:
+        assert r.law == "bytes" and r.grown_shard is None and 0 <= r.shard < count
+        by[r.shard].append(r)
+        together[r.text_crc32].add(r.shard)
+        groups[r.text_crc32] += r["size"]
+    total = sum(r["size"] for r in rows)
+    for members in by.values():
+        assert sorted(r.slot for r in members) == list(range(len(members)))
+    for crc, size in groups.items():
+        if size <= keep * total / count:
+            assert len(together[crc]) == 1
+    largest = max(r["size"] for r in rows)
+    for shard in range(count):
+        assert abs(sum(r["size"] for r in by[shard]) - total / count) <= max(2 * largest, 2 * keep * total / count) + 1
+
+
+def test_hot_text_is_dealt_out(spark):
+    docs = [(i, "copy " * 20) for i in range(600)] + [(1000 + i, f"text {i} " * (i % 30 + 1)) for i in range(900)]
+    docs += [(5000 + i, f"pair {i // 2}") for i in range(400)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(5)
+    rows = shards.assign_shards(df, shards=8, ranges_per_shard=16).collect()
+    check(rows, docs, 8, 0.02)
+    assert len({r.shard for r in rows if r.doc_id < 600}) > 2
+
+
+def test_edge_rows(spark):
+    docs = [(1, None), (1, None), (None, ""), (2, "é"), (None, "b"), (3, "x" * 100000), (3, "x" * 100000)]
+    df = spark.createDataFrame([(d, t, 1, "z") for d, t in docs], "doc_id long, text string, size int, shard string")
+    check(shards.assign_shards(df, shards=3).collect(), docs, 3, 0.02)
+    assert shards.assign_shards(df.limit(0), shards=3).count() == 0
+
+
+def test_query(spark):
+    docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()]
+    check(QUERIES["op5_sampled_splitters"](spark, SMALL).collect(), docs, 40, 0.02)
+
+
+def test_overfull_range_is_subdivided(spark):
+    docs = [(i, "same") for i in range(4000)] + [(10000 + i, f"other {i}") for i in range(100)]
+    rows = spark.createDataFrame(docs, "doc_id long, text string").selectExpr(
+        "doc_id", "20L AS size", "crc32(text) AS text_crc32", "doc_id AS place"
+    )
+    _, sizes = shards.split_ranges(rows, 20 * len(docs), 64)
+    assert max(sizes.values()) < 20 * len(docs) / 8
