@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import shards, simhash, tokens, vafile
+from . import decontaminate, shards, simhash, tokens, vafile
 from .common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -61,3 +61,8 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_simhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read(spark, sf_dir, "documents"))
+
+
+@query
+def op10_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
