@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, shards, simhash, tokens, vafile
-from .common import read
+from . import decontaminate, langid, quality, shards, simhash, tokens, vafile
+from .common import held_out, read
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -48,11 +48,26 @@ QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <=
 """
 
 
+@query
+def op3_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
+    kept_back = held_out(F.col("doc_id"), 4, 2)
+    model = quality.train(docs, labels.where(~kept_back))
+    return quality.score_texts(docs, model, kept_back)
+
+
 @query
 def op5_sampled_splitters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.assign_shards(read(spark, sf_dir, "documents"), shards=40)
 
 
+@query
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    kept_back = held_out(F.col("doc_id"), 3, 1)
+    return langid.identify(docs, langid.train(docs.where(~kept_back)), kept_back)
+
+
 @query
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.count_tokens(read(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))

@@ -1,0 +1,60 @@
+import random
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from silverlode.llm import quality
+from silverlode.llm.registry import QUERIES
+
+SMALL = "/root/testdata/sf0.01"
+
+
+def good(rng):
+    return " ".join("".join(rng.choices("ka lo mi tu ra se".split(), k=rng.randint(1, 4))) for _ in range(60)) + "."
+
+
+def bad(rng):
+    return " ".join("".join(rng.choices("ka lo mi tu ra se".split(), k=2)).upper() + rng.choice(["!!", "***"]) for _ in range(60))
+
+
+def test_curve_is_monotone_and_honest():
+    rng = np.random.default_rng(1)
+    differences = rng.normal(0, 1, 4000)
+    labels = (rng.random(4000) < 1 / (1 + np.exp(-(2 * differences + 0.5)))).astype(int)
+    slope, offset = quality.fit_curve(differences, labels)
+    assert abs(slope - 2) < 0.2 and abs(offset - 0.5) < 0.2
+    assert quality.fit_curve(np.zeros(4), np.array([1, 1, 1, 0]))[0] >= 0
+
+
+def test_separates_unseen_texts():
+    rng = random.Random(1)
+    rows = [(make(rng), label) for _ in range(120) for make, label in ((good, 1), (bad, 0))]
+    model = quality.fit(rows)
+    sides = quality.compressor(model.good), quality.compressor(model.bad)
+    scores = [(model.score(quality.difference(make(rng), *sides)), label) for _ in range(50) for make, label in ((good, 1), (bad, 0))]
+    assert all((score >= 0.7) == bool(label) for score, label in scores)
+
+
+def test_edge_rows(spark):
+    rng = random.Random(2)
+    rows = [(i, good(rng) if i % 2 else bad(rng)) for i in range(80)]
+    docs = spark.createDataFrame([(d, t, 0.1, 5) for d, t in rows], "doc_id long, text string, score double, quality int")
+    marks = [(i, i % 2) for i in range(80)] + [(None, 1), (900, 1), (3, None), (4, 7), (5, 1)]
+    labels = spark.createDataFrame([(d, q, "x") for d, q in marks], "doc_id long, quality int, text string")
+    model = quality.train(docs, labels)
+    odd = spark.createDataFrame([(1, None), (1, None), (None, ""), (7, good(rng) * 500), (8, bad(rng) * 500)], "doc_id long, text string")
+    out = quality.score_texts(odd, model, F.lit(False)).collect()
+    assert out[0].score == out[1].score == out[2].score and [r.predicted for r in out[3:]] == [1, 0]
+    assert all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.7) for r in out)
+    assert quality.score_texts(odd.limit(0), model, F.lit(True)).count() == 0
+    untaught = quality.train(docs, labels.limit(0))
+    assert {r.score for r in quality.score_texts(odd, untaught, F.lit(True)).collect()} == {0.5}
+
+
+def test_query_held_out_accuracy(spark):
+    out = QUERIES["op3_compression_quality"](spark, SMALL)
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    assert out.count() == docs.count()
+    labels = spark.read.parquet(f"{SMALL}/labels.parquet")
+    rows = out.where("held_out").join(labels, "doc_id").collect()
+    assert np.mean([r.predicted == r.quality for r in rows]) > 0.9
