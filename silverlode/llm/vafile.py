@@ -250,7 +250,8 @@ def top_k(vectors: DataFrame, is_query, k: int = 5, scale: int = 256, bits: int
     def meet(vector_columns: list[str], asking: DataFrame) -> DataFrame:
         left = placed.select("cell", "query_block", *vector_columns)
         right = asking.select("*", every_cell)
-        return left.join(right, ["cell", "query_block"]).drop("cell", "query_block")
+        # merged, never broadcast: the side of the queries is copied to every cell of the grid
+        return left.join(right.hint("merge"), ["cell", "query_block"]).drop("cell", "query_block")
 
     scanned = meet(["ids", "cells"], questions).mapInArrow(
         _floors(grids, k), "dims long, query_id long, bounds array<double>"

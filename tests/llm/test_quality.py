@@ -42,7 +42,7 @@ def test_edge_rows(spark):
     marks = [(i, i % 2) for i in range(80)] + [(None, 1), (900, 1), (3, None), (4, 7), (5, 1)]
     labels = spark.createDataFrame([(d, q, "x") for d, q in marks], "doc_id long, quality int, text string")
     model = quality.train(docs, labels)
-    odd = spark.createDataFrame([(1, None), (1, None), (None, ""), (7, good(rng) * 500), (8, bad(rng) * 500)], "doc_id long, text string")
+    odd = spark.createDataFrame([(1, None), (1, None), (None, ""), (7, " ".join(good(rng) for _ in range(300))), (8, " ".join(bad(rng) for _ in range(300)))], "doc_id long, text string")
     out = quality.score_texts(odd, model, F.lit(False)).collect()
     assert out[0].score == out[1].score == out[2].score and [r.predicted for r in out[3:]] == [1, 0]
     assert all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.7) for r in out)
