@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, langid, quality, shards, simhash, tokens, vafile
+from . import decontaminate, langid, packing, quality, shards, simhash, tokens, vafile
 from .common import held_out, read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -61,6 +61,11 @@ def op5_sampled_splitters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.assign_shards(read(spark, sf_dir, "documents"), shards=40)
 
 
+@query
+def op6_variable_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(packing.word_tokens(read(spark, sf_dir, "documents")))
+
+
 @query
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
