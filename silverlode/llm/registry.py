@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, langid, packing, quality, shards, simhash, tokens, vafile
+from . import decontaminate, langid, packing, pii, quality, shards, simhash, tokens, vafile
 from .common import held_out, read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -56,6 +56,12 @@ def op3_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_texts(docs, model, kept_back)
 
 
+@query
+def op4_semi_markov_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return pii.find(docs, pii.train(docs))
+
+
 @query
 def op5_sampled_splitters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.assign_shards(read(spark, sf_dir, "documents"), shards=40)
