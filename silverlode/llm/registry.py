@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, langid, packing, pii, quality, shards, simhash, tokens, vafile
+from . import brown, decontaminate, langid, packing, pii, quality, shards, simhash, tokens, vafile
 from .common import held_out, read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,6 +27,14 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+@query
+def op1_brown_class_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    kept_back = held_out(F.col("doc_id"), 7, 2)
+    model, counts = brown.train(docs.where(~kept_back).select("text"))
+    return brown.score(docs, model, counts, kept_back)
+
+
 @query
 def op2_va_file_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vafile.top_k(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
