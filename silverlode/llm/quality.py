@@ -6,7 +6,8 @@ sizes, per byte of text, is the raw score. A logistic curve over it, fitted on l
 dictionaries, makes it a probability of good quality.
 
 Learning uses a bounded sample: about ``per_class`` labelled rows of each class, by a hash of the id; three in four build
-the dictionaries, one in four fits the curve. Scoring compresses every text whole.
+the dictionaries, one in four fits the curve. A sampled text of more than ``PER_TEXT`` pieces teaches by that many, spread
+evenly over it, which bounds what reaches the driver. Scoring compresses every text whole.
 """
 
 from __future__ import annotations
@@ -27,6 +28,7 @@ PIECE = 1024
 LEVEL = 3
 DICTIONARY_BYTES = 110_000
 LEAST_SAMPLES = 8
+PER_TEXT = 16
 
 
 def pieces(raw: bytes) -> list[bytes]:
@@ -102,6 +104,13 @@ def fit(rows: list[tuple[str, int]]) -> Model:
     return model
 
 
+def spread_pieces(text: Column) -> Column:
+    """A text itself, or ``PER_TEXT`` pieces at even distances joined, where it has more."""
+    length = F.length(text)
+    cut = F.transform(F.sequence(F.lit(0), F.lit(PER_TEXT - 1)), lambda k: F.substring(text, F.floor(k * length / PER_TEXT).cast("int") + 1, F.lit(PIECE)))
+    return F.when(length > PER_TEXT * PIECE, F.array_join(cut, "")).otherwise(text)
+
+
 def train(docs: DataFrame, labels: DataFrame, per_class: int = 3000) -> Model:
     """Learn from rows of ``labels`` with quality 0 or 1 whose document is in ``docs``; null texts teach nothing."""
     known = labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull())
@@ -110,7 +119,7 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = 3000) -> Model:
         docs.where(F.col("text").isNotNull())
         .select("doc_id", F.col("text").cast("string"))
         .join(F.broadcast(chosen), "doc_id")  # at most 4 * per_class rows
-        .select("doc_id", "text", "quality")
+        .select("doc_id", spread_pieces(F.col("text")).alias("text"), "quality")
         .limit(4 * per_class)
         .collect()
     )

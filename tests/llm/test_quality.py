@@ -58,3 +58,10 @@ def test_query_held_out_accuracy(spark):
     labels = spark.read.parquet(f"{SMALL}/labels.parquet")
     rows = out.where("held_out").join(labels, "doc_id").collect()
     assert np.mean([r.predicted == r.quality for r in rows]) > 0.9
+
+
+def test_long_texts_teach_by_spread_pieces(spark):
+    long = "".join(f"{k:07d}|" for k in range(20_000))
+    rows = spark.createDataFrame([(long,), ("short",), (None,)], "text string").select(quality.spread_pieces(F.col("text")).alias("t")).collect()
+    assert rows[0].t == "".join(long[k * len(long) // 16 : k * len(long) // 16 + 1024] for k in range(16))
+    assert [r.t for r in rows[1:]] == ["short", None]
