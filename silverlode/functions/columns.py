@@ -13,19 +13,19 @@ DAY_MICROS = 86_400_000_000
 ON_ERROR = ("fail", "null")
 
 
-def _check_on_error(on_error: str) -> None:
+def check_on_error(on_error: str) -> None:
     if on_error not in ON_ERROR:
         raise ValueError(f"on_error must be one of {ON_ERROR}, got {on_error!r}")
 
 
 def parse_timestamp(name: str, on_error: str = "fail") -> Column:
     """Text to timestamp. ``fail`` raises on malformed text under ANSI, ``null`` yields NULL."""
-    _check_on_error(on_error)
+    check_on_error(on_error)
     return F.to_timestamp(name) if on_error == "fail" else F.try_to_timestamp(F.col(name))
 
 
 def parse_as(name: str, type_name: str, on_error: str = "fail") -> Column:
-    _check_on_error(on_error)
+    check_on_error(on_error)
     column = F.col(name)
     return column.cast(type_name) if on_error == "fail" else column.try_cast(type_name)
 

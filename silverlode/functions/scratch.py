@@ -1,44 +1,59 @@
 """Materialise an intermediate result so that later steps read it instead of recomputing it.
 
 The result is written as Parquet to the shared folder named by ``spark.checkpoint.dir``, so it outlives the
-loss of any executor and, unlike an RDD checkpoint, can be read with column pruning.
+loss of any executor and, unlike an RDD checkpoint, can be read with column pruning. Where that is unset, a folder
+under the warehouse is taken, which a cluster shares as well.
 """
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
-_local_root: dict[str, str] = {}
+_scope: ContextVar[str | None] = ContextVar("scratch_scope", default=None)
 
 
 def scratch_root(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    application = spark.sparkContext.applicationId
-    if application not in _local_root:
-        _local_root[application] = tempfile.mkdtemp(prefix="silverlode-")
-    return _local_root[application]
+    return root.rstrip("/") if root else f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
 
 
-def _application_folder(spark: SparkSession):
-    path = spark._jvm.org.apache.hadoop.fs.Path(
-        f"{scratch_root(spark)}/silverlode/{spark.sparkContext.applicationId}"
-    )
-    return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
+def _folder(spark: SparkSession, path: str):
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder, folder.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _application_path(spark: SparkSession) -> str:
+    return f"{scratch_root(spark)}/silverlode/{spark.sparkContext.applicationId}"
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new path of this application; a fresh name per call, so nothing is ever overwritten."""
-    folder, files = _application_folder(spark)
+    """A new path of the scope in force, or of the application; a fresh name per call, so nothing is ever overwritten."""
+    folder, files = _folder(spark, _application_path(spark))
     files.mkdirs(folder)
     files.deleteOnExit(folder)
-    return f"{folder.toString()}/{label}-{uuid.uuid4().hex}"
+    return f"{_scope.get() or folder.toString()}/{label}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[str]:
+    """What is materialised inside lies in a folder of its own, deleted at the end, also when an error ends it.
+
+    DataFrames over materialised tables must not be used after the scope; those of other scopes and of the application
+    are left alone.
+    """
+    path = f"{_application_path(spark)}/scope-{uuid.uuid4().hex}"
+    token = _scope.set(path)
+    try:
+        yield path
+    finally:
+        _scope.reset(token)
+        folder, files = _folder(spark, path)
+        files.delete(folder, True)
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
@@ -50,6 +65,6 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
 
 
 def drop_scratch(spark: SparkSession) -> bool:
-    """Delete what this application materialised, for long-running applications: call it between runs."""
-    folder, files = _application_folder(spark)
+    """Delete all this application materialised outside of scopes and in them: for its very end."""
+    folder, files = _folder(spark, _application_path(spark))
     return files.delete(folder, True)

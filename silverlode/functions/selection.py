@@ -9,39 +9,28 @@ from pyspark.sql import functions as F
 def exact_median(df: DataFrame, column: str, name: str) -> DataFrame:
     """One row with the interpolated median of a double column, NULL if it holds no value.
 
-    Values are first reduced to (value, count) with map-side combining. Counts per whole number locate the one
-    or two whole numbers that hold the middle ranks, and only the distinct values within those are ranked.
-    The per-whole-number window runs over as many rows as there are whole numbers in the data; for day counts
-    that is bounded by the calendar (under eight million).
+    An approximate percentile brackets the middle: its error, one in 10,000 ranks, is well inside the bracket of two in
+    1,000. Values below the bracket are counted, values inside are reduced to (value, count) and ranked. So
+    one task sees at most about one in 250 of the distinct values.
     """
+    values = df.where(F.col(column).isNotNull()).select(F.col(column).cast("double").alias("v"))
+    bracket = values.agg(
+        F.percentile_approx("v", [0.498, 0.502], 10_000).alias("ends"), F.count(F.lit(1)).alias("total")
+    ).select(
+        F.col("ends")[0].alias("low_end"),
+        F.col("ends")[1].alias("high_end"),
+        F.expr("(total + 1) div 2").alias("low_rank"),
+        F.expr("(total + 2) div 2").alias("high_rank"),
+    )
+    marked = values.crossJoin(F.broadcast(bracket))  # one row
+    # everything below the bracket is one group, ranked first
     counted = (
-        df.where(F.col(column).isNotNull())
-        .groupBy(F.col(column).cast("double").alias("v"))
+        marked.where(F.col("v") <= F.col("high_end"))
+        .groupBy(F.when(F.col("v") >= F.col("low_end"), F.col("v")).alias("v"), "low_rank", "high_rank")
         .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("whole", F.floor("v"))
-    )
-    before = Window.orderBy("whole").rowsBetween(Window.unboundedPreceding, -1)
-    everything = Window.partitionBy()
-    wholes = (
-        counted.groupBy("whole")
-        .agg(F.sum("n").alias("whole_n"))
-        .select(
-            "whole",
-            "whole_n",
-            F.coalesce(F.sum("whole_n").over(before), F.lit(0)).alias("skipped"),
-            F.sum("whole_n").over(everything).alias("total"),
-        )
-        .withColumn("low_rank", F.expr("(total + 1) div 2"))
-        .withColumn("high_rank", F.expr("(total + 2) div 2"))
-        .where("high_rank > skipped AND low_rank <= skipped + whole_n")
-        .select("whole", "skipped", "low_rank", "high_rank")
-    )
-    up_to = Window.partitionBy("whole").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = (
-        counted.join(F.broadcast(wholes), "whole")  # one or two rows
-        .withColumn("last", F.col("skipped") + F.sum("n").over(up_to))
-        .withColumn("first", F.col("last") - F.col("n") + 1)
     )
+    up_to = Window.orderBy(F.asc_nulls_first("v")).rowsBetween(Window.unboundedPreceding, 0)
+    ranked = counted.withColumn("last", F.sum("n").over(up_to)).withColumn("first", F.col("last") - F.col("n") + 1)
     low = F.min(F.when(F.col("low_rank").between(F.col("first"), F.col("last")), F.col("v")))
     high = F.min(F.when(F.col("high_rank").between(F.col("first"), F.col("last")), F.col("v")))
     return ranked.agg(((low + high) / 2).alias(name))
@@ -53,8 +42,9 @@ def lowest_share(
     """Flag exactly ``round(share * n)`` rows per group: those with the lowest (``rank_by``, ``tie``).
 
     ``rank_by`` is a whole number spread evenly over [0, 2^32). Counts per (group, cell) find the cell in which
-    the cut falls, so rows are only ever sorted within a cell, about n / ``cells`` of them. Groups must be few,
-    as class labels are: the cuts, one row per group, are broadcast.
+    the cut falls, and only the rows of that cell, about n / ``cells`` of them, are ranked; all others are compared with
+    the last row taken, without a shuffle. Groups must be few, as class labels are: the cuts, one row per group, are
+    broadcast.
     """
     placed = df.withColumn("_cell", F.expr(f"`{rank_by}` div {(1 << 32) // cells}"))
     before = Window.partitionBy(group).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
@@ -67,12 +57,14 @@ def lowest_share(
         .where("_wanted > _skipped AND _wanted <= _skipped + _n")
         .select(F.col(group), F.col("_cell").alias("_cut"), (F.col("_wanted") - F.col("_skipped")).alias("_take"))
     )
-    within_cell = Window.partitionBy(group, "_cell").orderBy(rank_by, tie)
-    chosen = (F.col("_cell") < F.col("_cut")) | (
-        (F.col("_cell") == F.col("_cut")) & (F.col("_position") <= F.col("_take"))
-    )
-    return (
-        placed.withColumn("_position", F.row_number().over(within_cell))
-        .join(F.broadcast(cuts), group, "left")
-        .select(*df.columns, F.coalesce(chosen, F.lit(False)).alias(flag))
+    # only the rows of the cut cells are ranked; the last one taken of each group is a row of its own
+    within_cell = Window.partitionBy(group).orderBy(rank_by, tie)
+    last = (
+        placed.join(F.broadcast(cuts), group)
+        .where(F.col("_cell") == F.col("_cut"))
+        .withColumn("_position", F.row_number().over(within_cell))
+        .where(F.col("_position") == F.col("_take"))
+        .select(group, F.struct(rank_by, tie).alias("_last"))
     )
+    chosen = F.struct(rank_by, tie) <= F.col("_last")
+    return df.join(F.broadcast(last), group, "left").select(*df.columns, F.coalesce(chosen, F.lit(False)).alias(flag))

@@ -2,105 +2,66 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .scratch import materialize
+
 # A key with more rows than this is split. About one comfortable task of order lines.
 ROWS_PER_TASK = 2_000_000
-# Share of rows read to find hot keys. At 2 million rows per key the sample still holds about 20,000 of them.
-DETECTION_SHARE = 0.01
-# Inputs smaller than this are not searched for hot keys: joining all of them in one task would do no harm.
-MIN_BYTES = 1 << 30
-# More files than this count as large without adding up their sizes.
-MAX_FILES_SIZED = 256
-# Longest list of hot keys taken to the driver; keys beyond it join like any other key.
-MAX_HOT_KEYS = 1_000
-
-
-def reads_less_than(df: DataFrame, limit: int) -> bool:
-    """Whether the files behind ``df`` add up to less than ``limit`` bytes; False when that is not known."""
-    files = df._jdf.inputFiles()  # the array stays in the JVM, however long it is
-    if not 0 < len(files) <= MAX_FILES_SIZED:
-        return False
-    spark = df.sparkSession
-    configuration = spark._jsc.hadoopConfiguration()
-    total = 0
-    for file in files:
-        path = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(file))
-        total += path.getFileSystem(configuration).getFileStatus(path).getLen()
-        if total >= limit:
-            return False
-    return True
+# A longer list of hot keys than this is joined by shuffle instead of broadcast.
+BROADCAST_KEYS = 100_000
 
 
 def hot_keys(
-    frames: Sequence[DataFrame],
-    key: str,
-    rows_per_task: int = ROWS_PER_TASK,
-    share: float = DETECTION_SHARE,
-    max_keys: int = MAX_HOT_KEYS,
-    min_bytes: int = MIN_BYTES,
-) -> list[dict[str, int]]:
-    """For each frame the keys that deserve more than one task, with the number of tasks each should get.
-
-    One job reads the key column of a row sample and counts it with map-side combining. The answer only steers
-    how rows are spread: any answer gives the same join result, so sampling here loses nothing. Frames over less
-    than ``min_bytes`` of input are not searched.
+    left: DataFrame, last: DataFrame | None, key: str, rows_per_task: int = ROWS_PER_TASK, last_rows_per_task: int | None = None
+) -> DataFrame:
+    """Keys that deserve more than one task, with the tasks their rows in ``left`` and in ``last`` should get.
+
+    The key columns are counted exactly, with map-side combining. The list is a written table of at most one row per
+    ``rows_per_task`` rows of input.
     """
-    found: list[dict[str, int]] = [{} for _ in frames]
-    searched = [i for i, df in enumerate(frames) if not reads_less_than(df, min_bytes)]
-    if not searched:
-        return found
-
-    def keys(i: int, df: DataFrame) -> DataFrame:
-        rows = df.select(F.lit(i).alias("frame"), F.col(key).alias("key"))
-        return rows if share >= 1 else rows.sample(share, seed=7)
-
-    heavy = (
-        reduce(DataFrame.unionByName, [keys(i, frames[i]) for i in searched])
-        .where(F.col("key").isNotNull())
-        .groupBy("frame", "key")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .where(F.col("n") > rows_per_task * share)
-        .orderBy(F.desc("n"))
-        .limit(max_keys)
+    frames = [(left, 1, 0)] + ([(last, 0, 1)] if last is not None else [])
+    rows = [df.select(F.col(key), F.lit(a).alias("_a"), F.lit(b).alias("_b")) for df, a, b in frames]
+    counted = (
+        reduce(DataFrame.unionByName, rows)
+        .where(F.col(key).isNotNull())
+        .groupBy(key)
+        .agg(F.sum("_a").alias("_a"), F.sum("_b").alias("_b"))
     )
-    for row in heavy.collect():  # at most max_keys rows
-        found[row["frame"]][row["key"]] = math.ceil(row["n"] / (rows_per_task * share))
-    return found
+    pieces = counted.select(
+        key,
+        F.greatest(F.lit(1), F.ceil(F.col("_a") / rows_per_task)).cast("int").alias("_left_pieces"),
+        F.greatest(F.lit(1), F.ceil(F.col("_b") / (last_rows_per_task or rows_per_task))).cast("int").alias("_last_pieces"),
+    )
+    return materialize(pieces.where("_left_pieces > 1 OR _last_pieces > 1"), "hot-keys")
 
 
 def salted_join(
     left: DataFrame,
     rights: Sequence[tuple[DataFrame, str]],
     key: str,
-    left_hot: dict[str, int],
-    last_hot: dict[str, int] | None = None,
+    hot: DataFrame,
 ) -> DataFrame:
     """``left.join(right, key, how)`` for each ``(right, how)`` in turn, hot keys cut into pieces.
 
-    The left rows of a hot key are dealt into pieces and the right rows of that key are copied to each piece. A
-    key hot in the last right frame (``last_hot``) is dealt there and its left rows are copied. All joins use the
-    same keys, so the left rows are shuffled once. Without hot keys these are the plain joins.
+    ``hot`` is what ``hot_keys`` found in ``left`` and the last right frame. The left rows of a hot key are dealt into
+    pieces and the right rows of that key are copied to each piece. A key hot in the last right frame is dealt there and its
+    left rows are copied. All joins use the same keys, so the left rows are shuffled once. Where no key is hot these are
+    the plain joins.
     """
     if any(how not in ("inner", "left") for _, how in rights):
         raise ValueError("salted_join handles inner and left joins")
-    last_hot = last_hot or {}
-    if not left_hot and not last_hot:
+    found = hot.limit(BROADCAST_KEYS + 1).count()
+    if not found:
         return reduce(lambda joined, right: joined.join(right[0], key, right[1]), rights, left)
-
-    pieces = left.sparkSession.createDataFrame(
-        [(k, left_hot.get(k, 1), last_hot.get(k, 1)) for k in {**left_hot, **last_hot}],
-        f"`{key}` {left.schema[key].dataType.simpleString()}, _left_pieces int, _last_pieces int",
-    )
+    pieces = F.broadcast(hot) if found <= BROADCAST_KEYS else hot
 
     def with_pieces(df: DataFrame) -> DataFrame:
-        # at most 2 * MAX_HOT_KEYS rows
-        return df.join(F.broadcast(pieces), key, "left").fillna(1, ["_left_pieces", "_last_pieces"])
+        return df.join(pieces, key, "left").fillna(1, ["_left_pieces", "_last_pieces"])
 
     def copied_to(count: str) -> Column:
         return F.explode(F.sequence(F.lit(0), F.col(count) - 1))

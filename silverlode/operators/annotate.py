@@ -109,11 +109,16 @@ def read_responses(responses: DataFrame) -> DataFrame:
     """Find the array of annotations in each answer: the answer itself, or the first list inside an object.
 
     Adds ``items`` (one map of text per annotation), ``warning`` for an answer without a list, which counts as
-    empty, and ``error`` for text that is no JSON or a list of something else than objects.
+    empty, and ``error`` for text that is no JSON or a list of something else than objects. An object that repeats a key
+    says two things at once and counts as no JSON.
     """
     text = F.btrim("response", F.lit(" \t\r\n"))
-    # The parser stops at the end of the first value; text after it makes the answer no JSON.
-    whole = F.when(text.startswith("["), text.endswith("]")).when(text.startswith("{"), text.endswith("}")).otherwise(True)
+    # The parser stops at the end of the first value. Put into an object before a key only this text can have, the
+    # answer must be one value and nothing else for that key, and just two keys, to come out again.
+    mark = F.md5(text)
+    wrapped = F.concat(F.lit('{"v":'), text, F.lit(',"'), mark, F.lit('":1}'))
+    keys = F.map_keys(F.try_variant_get(F.try_parse_json(wrapped), "$", "map<string,variant>"))
+    whole = F.coalesce((F.size(keys) == 2) & F.array_contains(keys, mark), F.lit(False))
     members = F.map_values(F.from_json(text, "map<string,variant>"))
     first_list = F.try_element_at(F.filter(members, lambda v: F.schema_of_variant(v).startswith("ARRAY")), F.lit(1))
     listed = F.when(text.startswith("["), text).when(text.startswith("{"), F.to_json(first_list))

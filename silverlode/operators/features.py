@@ -6,7 +6,7 @@ the orders, so neither a busy order nor a busy customer ever sends its raw rows
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import elapsed_days
@@ -19,10 +19,6 @@ CHURN_DAYS = 180
 # Values used where a customer has none.
 DEFAULT_RATING = 3.0
 
-# Category lists up to this length are ranked in one task and broadcast; longer ones are ranked in ranges and
-# joined by shuffle.
-SMALL_CATEGORY_LIST = 10_000
-
 FEATURE_STORE_COLUMNS = (
     "customer_key", "churned", "days_since_last_order", "customer_lifetime_days", "total_orders",
     "avg_days_to_deliver", "late_delivery_count", "late_delivery_rate", "total_spend", "avg_order_value",
@@ -121,6 +117,18 @@ def review_features(orders: DataFrame, reviews: DataFrame) -> DataFrame:
     return customers.join(_ratings_per_order(reviews), "order_id").groupBy("customer_key").agg(*_review_aggregates())
 
 
+def _types_per_order(payments: DataFrame) -> DataFrame:
+    """The payment types of an order with how often each occurs: one row, as long as there are types."""
+    counted = payments.groupBy("order_id", "payment_type").agg(F.count(F.lit(1)).alias("n"))
+    return counted.groupBy("order_id").agg(F.collect_list(F.struct("payment_type", "n")).alias("types"))
+
+
+def _mode() -> Column:
+    """Over rows (payment_type, n): most frequent first, then by name; a NULL type never counts."""
+    rank = F.struct((-F.col("n")).alias("n"), "payment_type")
+    return F.min(F.when(F.col("payment_type").isNotNull(), rank))["payment_type"]
+
+
 def primary_payment(orders: DataFrame, payments: DataFrame) -> DataFrame:
     """Most frequent payment type per customer, the lowest name among equals; NULL when every type is NULL."""
     customers = _known_customers(orders).select("order_id", "customer_key")
@@ -130,10 +138,7 @@ def primary_payment(orders: DataFrame, payments: DataFrame) -> DataFrame:
         .groupBy("customer_key", "payment_type")
         .agg(F.sum("n").alias("n"))
     )
-    # Most frequent first, then by name; a NULL type never counts.
-    rank = F.struct((-F.col("n")).alias("n"), "payment_type")
-    best = F.min(F.when(F.col("payment_type").isNotNull(), rank))
-    return counted.groupBy("customer_key").agg(best["payment_type"].alias("primary_payment_type"))
+    return counted.groupBy("customer_key").agg(_mode().alias("primary_payment_type"))
 
 
 def customer_location(customers: DataFrame) -> DataFrame:
@@ -146,49 +151,66 @@ def assemble(
     """All aggregates per customer, before recency, encoding and filling. Orders without a customer form one row
     with a NULL key, since their dates count for the reference date.
 
-    Spend and ratings join the orders as one row per order and are summed in the same aggregate as the order
-    features, so the orders are shuffled once by order and once by customer.
+    Spend, ratings and payment types join the orders as one row per order and are folded in the same aggregate as the
+    order features, so the orders are shuffled once by order and once by customer.
     """
     order_rows = (
         orders.select("order_id", "customer_key", "order_date", "days_to_deliver", "delivered_on_time")
         .join(_spend_per_order(items), "order_id", "left")
         .join(_ratings_per_order(reviews), "order_id", "left")
+        .join(_types_per_order(payments), "order_id", "left")
     )
-    per_customer = order_rows.groupBy("customer_key").agg(
-        *_order_dates(), *_order_aggregates(), *_spend_aggregates(), *_review_aggregates()
+    # one row per customer and payment type of an order; all but the first carry no other figures
+    figures = ["order_id", "order_date", "days_to_deliver", "delivered_on_time", "order_cost", "order_lines",
+               "order_rating", "order_ratings", "order_reviews"]
+    typed = order_rows.select(
+        "customer_key",
+        F.posexplode_outer("types").alias("nth", "type"),
+        *figures,
+    ).select(
+        "customer_key",
+        "type.payment_type",
+        "type.n",
+        *[F.when(F.coalesce("nth", F.lit(0)) == 0, F.col(c)).alias(c) for c in figures],
     )
-    return (
-        per_customer.withColumn("late_delivery_rate", _late_rate())
-        .join(primary_payment(orders, payments), "customer_key", "left")
-        .join(customer_location(customers), "customer_key", "left")
+    per_type = typed.groupBy("customer_key", "payment_type").agg(
+        F.sum("n").alias("n"),
+        *_order_dates(),
+        F.count("order_id").alias("orders"),
+        F.sum("days_to_deliver").alias("days"),
+        F.count("days_to_deliver").alias("deliveries"),
+        F.count_if(~F.col("delivered_on_time")).alias("late"),
+        *[F.sum(c).alias(c) for c in ("order_cost", "order_lines", "order_rating", "order_ratings", "order_reviews")],
     )
+    per_customer = per_type.groupBy("customer_key").agg(
+        F.min("first_order_date").alias("first_order_date"),
+        F.max("last_order_date").alias("last_order_date"),
+        F.sum("orders").alias("total_orders"),
+        F.try_divide(F.sum("days").cast("double"), F.sum("deliveries").cast("double")).alias("avg_days_to_deliver"),
+        F.sum("late").alias("late_delivery_count"),
+        *_spend_aggregates(),
+        *_review_aggregates(),
+        _mode().alias("primary_payment_type"),
+    )
+    return per_customer.withColumn("late_delivery_rate", _late_rate()).join(customer_location(customers), "customer_key", "left")
 
 
-def category_codes(df: DataFrame, column: str, code: str, few: bool) -> DataFrame:
-    """The distinct values of ``column`` with their place 0, 1, 2... in sorted order.
-
-    ``few`` values are ranked in one task, otherwise they are ranked in ranges.
-    """
+def category_codes(df: DataFrame, column: str, code: str) -> DataFrame:
+    """The distinct values of ``column`` with their place 0, 1, 2... in sorted order, ranked in ranges."""
     values = df.where(F.col(column).isNotNull()).select(column).distinct()
-    if few:
-        return values.select(column, (F.row_number().over(Window.orderBy(column)) - 1).alias(code))
     return number_rows(values, [column], "_n").select(column, (F.col("_n") - 1).cast("int").alias(code))
 
 
-def encode_categories(
-    source: DataFrame, codes: dict[str, str], df: DataFrame | None = None, small: int = SMALL_CATEGORY_LIST
-) -> DataFrame:
+def encode_categories(source: DataFrame, codes: dict[str, str], df: DataFrame | None = None) -> DataFrame:
     """Add to ``df`` (by default ``source``) the sorted code of each column of ``codes`` (column -> code name);
     NULL becomes -1.
 
-    The values come from ``source``, a written table, whose number of values is checked first.
+    The values come from ``source``, a written table. The join is left to adaptive execution, which knows how long the
+    list of values came out.
     """
-    sizes = source.agg(*[F.approx_count_distinct(c, 0.02).alias(c) for c in codes]).first()
     coded = source if df is None else df
     for column, code in codes.items():
-        few = sizes[column] <= small
-        table = category_codes(source, column, code, few)
-        coded = coded.join(F.broadcast(table) if few else table, column, "left")
+        coded = coded.join(category_codes(source, column, code), column, "left")
         coded = coded.withColumn(code, F.coalesce(code, F.lit(-1)))
     return coded
 

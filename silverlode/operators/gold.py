@@ -151,6 +151,12 @@ def calendar_span(spark: SparkSession, first_day: str = CALENDAR[0], last_day: s
     return spark.range(1).select(F.lit(first_day).cast("date").alias("first_day"), F.lit(last_day).cast("date").alias("last_day"))
 
 
+def fixed_and(span: DataFrame, first_day: str = CALENDAR[0], last_day: str = CALENDAR[1]) -> DataFrame:
+    """The fixed calendar, widened where the given span goes beyond it, so that every day of the data has a row."""
+    first, last = F.lit(first_day).cast("date"), F.lit(last_day).cast("date")
+    return span.select(F.least("first_day", first).alias("first_day"), F.greatest("last_day", last).alias("last_day"))
+
+
 def span_of(df: DataFrame, column: str) -> DataFrame:
     """The calendar span a date column covers."""
     day = F.col(column).cast("date")
@@ -188,11 +194,10 @@ def _matched_lines(
         "order_id", "order_item_id", "product_key", "item_price_brl", "freight_cost_brl",
         F.col("total_item_cost_brl").alias("total_amount_brl"),
     )
-    many = [items] if single_review else [items, reviews]
-    hot = hot_keys(many, "order_id", **(hot_options or {}))
+    hot = hot_keys(item_columns, None if single_review else review_columns, "order_id", **(hot_options or {}))
 
     joins = [(order_columns, "inner"), (review_columns, "left")]
-    return salted_join(item_columns, joins, "order_id", hot[0], {} if single_review else hot[1])
+    return salted_join(item_columns, joins, "order_id", hot)
 
 
 def _with_usd(lines: DataFrame, rates: DataFrame) -> DataFrame:

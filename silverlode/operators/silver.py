@@ -50,19 +50,31 @@ def require_columns(
     return count_rows(count_rows(df, before, "rows").where(present), after, "rows")
 
 
-def cleaning_losses(df: DataFrame, key: str, required: Sequence[str]) -> DataFrame:
-    """One row: rows read, rows left by ``dedup`` and rows left by ``require_columns`` after it."""
-    unique = dedup(df, key)
-    return (
-        df.agg(F.count(F.lit(1)).alias("rows_read"))
-        .crossJoin(unique.agg(F.count(F.lit(1)).alias("rows_unique")))
-        .crossJoin(require_columns(unique, required).agg(F.count(F.lit(1)).alias("rows_kept")))
-        .select(
-            "rows_read",
-            (F.col("rows_read") - F.col("rows_unique")).alias("duplicates_removed"),
-            (F.col("rows_unique") - F.col("rows_kept")).alias("nulls_dropped"),
-            "rows_kept",
+def cleaning_losses(df: DataFrame, key: str | None, required: Sequence[str]) -> DataFrame:
+    """One row: rows read, rows ``dedup`` removes, rows ``require_columns`` drops after it, rows kept.
+
+    Counted exactly. Without a key nothing is deduplicated.
+    """
+    if key is None:
+        present = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in required], F.lit(True))
+        read, kept = F.count(F.lit(1)), F.count_if(present)
+        return df.agg(
+            read.alias("rows_read"), F.lit(0).cast("long").alias("duplicates_removed"), (read - kept).alias("nulls_dropped"), kept.alias("rows_kept")
         )
+    # the survivor of a key is the least row, as in ``dedup``; a struct of all columns finds it with map-side combining
+    others = [c for c in df.columns if c != key]
+    per_key = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(*others, F.lit(0))).alias("first"))
+    present = reduce(lambda a, b: a & b, [(F.col(c) if c == key else F.col(f"first.`{c}`")).isNotNull() for c in required])
+    counted = per_key.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("rows_read"),
+        F.count(F.lit(1)).alias("rows_unique"),
+        F.count_if(present).alias("rows_kept"),
+    )
+    return counted.select(
+        "rows_read",
+        (F.col("rows_read") - F.col("rows_unique")).alias("duplicates_removed"),
+        (F.col("rows_unique") - F.col("rows_kept")).alias("nulls_dropped"),
+        "rows_kept",
     )
 
 
@@ -117,3 +129,12 @@ SILVER_TABLES = {
     "reviews": ("raw_reviews", clean_reviews),
     "exchange_rates": ("raw_exchange_rates", latest_rates),
 }
+
+# Silver table -> (key deduplicated on, columns that must not be NULL), as the transforms have them.
+CLEANED_BY = {
+    "orders": ("order_id", ["order_id", "customer_id"]),
+    "customers": ("customer_id", ["customer_id", "customer_unique_id"]),
+    "order_items": (None, ["order_id", "product_id"]),
+    "reviews": ("review_id", ["review_id", "order_id"]),
+    "exchange_rates": (None, []),
+}

@@ -6,15 +6,17 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..functions.scratch import drop_scratch, materialize
+from ..functions.scratch import materialize, scratch_scope
 from ..operators import annotate, churn, features, gold, metrics, quality
-from ..operators.silver import SILVER_TABLES
+from ..operators.silver import CLEANED_BY, SILVER_TABLES, cleaning_losses
 from ..sources.csv import load_all_csv, total_rows
 from ..sources.rates import append_rates, flatten_rates, read_payloads
 from ..sources.tables import as_view, create_layers, layer, overwrite_table
 
 ANNOTATIONS_TABLE = "silver.review_annotations"
-STATUS_SCHEMA = "table string, status string, rows bigint, error string"
+STATUS_SCHEMA = (
+    "table string, status string, rows bigint, error string, rows_read bigint, duplicates_removed bigint, nulls_dropped bigint"
+)
 
 
 class SilverError(RuntimeError):
@@ -26,16 +28,20 @@ class SilverError(RuntimeError):
 
 
 def build_silver(spark: SparkSession, bronze: Mapping[str, DataFrame], write=overwrite_table) -> DataFrame:
-    """Build every silver table. One that fails is reported and does not stop the others; the error comes last."""
+    """Build every silver table. One that fails is reported and does not stop the others; the error comes last.
+
+    One row per table: rows written, rows read, duplicates removed and rows dropped for a NULL, from exact counts.
+    """
     create_layers(spark)
     rows: list[tuple] = []
     for table, (source, transform) in SILVER_TABLES.items():
         try:
             name = layer("silver", table)
             write(transform(bronze[source]), name)
-            rows.append((table, "success", spark.table(name).count(), None))
+            lost = cleaning_losses(bronze[source], *CLEANED_BY[table]).first()
+            rows.append((table, "success", spark.table(name).count(), None, lost[0], lost[1], lost[2]))
         except Exception as error:  # recorded per table
-            rows.append((table, "failed", None, f"{type(error).__name__}: {error}"))
+            rows.append((table, "failed", None, f"{type(error).__name__}: {error}", None, None, None))
     status = spark.createDataFrame(rows, STATUS_SCHEMA)
     failed = [row[0] for row in rows if row[1] == "failed"]
     if failed:
@@ -63,16 +69,24 @@ def staging(spark: SparkSession) -> dict[str, DataFrame]:
     return staged
 
 
-def build_gold(spark: SparkSession, partition_fact: bool = False, write=overwrite_table, **fact_options) -> int:
+def build_gold(
+    spark: SparkSession,
+    partition_fact: bool = False,
+    write=overwrite_table,
+    calendar: tuple[str, str] | None = None,
+    **fact_options,
+) -> int:
     """Write the four gold tables and return the fact rows.
 
+    The calendar has the days given; by default the fixed span and all days of the orders.
     ``partition_fact`` lays the fact out by ``date_key``; a rebalance first gives each day few, even files.
     """
     create_layers(spark)
     staged = staging(spark)
     write(gold.dim_customer(staged["stg_customers"], staged["stg_churn_scores"]), "gold.dim_customer")
     write(gold.dim_product(staged["stg_products"]), "gold.dim_product")
-    write(gold.dim_date(gold.calendar_span(spark)), "gold.dim_date")
+    span = gold.calendar_span(spark, *calendar) if calendar else gold.fixed_and(gold.span_of(staged["stg_orders"], "order_date"))
+    write(gold.dim_date(span), "gold.dim_date")
     fact = gold.fact_orders(
         staged["stg_orders"], staged["stg_order_items"], staged["stg_reviews"], staged["stg_exchange_rates"], **fact_options
     )
@@ -113,12 +127,31 @@ def run_everything(
     csv_folder: str,
     payload_path: str,
     model_path: str,
-    expected_orders: tuple[int, int] = quality.EXPECTED_ORDERS,
+    expected_orders: tuple[int, int] = quality.ANY_ORDERS,
     annotator: annotate.Annotator | None = None,
     model_options: dict | None = None,
-) -> str:
-    """The whole batch run, one metrics row per stage. A failing stage is recorded and ends the run."""
+    annotation_limit: int | None = None,
+    annotation_tasks: int | None = None,
+    calendar: tuple[str, str] | None = None,
+) -> DataFrame:
+    """The whole batch run, one metrics row per stage, and the summary of its model.
+
+    A failing stage is recorded and ends the run. ``annotation_limit`` bounds the reviews annotated in this run; None takes all
+    that wait. What the run materialises lies in a scratch folder of its own that goes with the run.
+    """
     metrics.setup_metrics_table(spark)
+    with scratch_scope(spark):
+        _run_stages(
+            spark, run_id, csv_folder, payload_path, model_path, expected_orders, annotator, model_options or {},
+            annotation_limit, annotation_tasks, calendar,
+        )
+    return metrics.model_summary(spark.table(metrics.METRICS_TABLE), run_id)
+
+
+def _run_stages(
+    spark, run_id, csv_folder, payload_path, model_path, expected_orders, annotator, model_options,
+    annotation_limit, annotation_tasks, calendar,
+) -> None:
 
     with metrics.Stage(spark, run_id, "ingestion_csv") as stage:
         stage.rows = total_rows(load_all_csv(spark, csv_folder))
@@ -147,15 +180,13 @@ def run_everything(
         overwrite_table(table, "ml.feature_store")
         stage.rows = spark.table("ml.feature_store").count()
     with metrics.Stage(spark, run_id, "churn_model") as stage:
-        scores, measured, _ = churn.train_and_score(spark.table("ml.feature_store"), model_path, **(model_options or {}))
+        scores, measured, _ = churn.train_and_score(spark.table("ml.feature_store"), model_path, **model_options)
         overwrite_table(scores, "ml.churn_scores")
         stage.rows = spark.table("ml.churn_scores").count()
         stage.extra.update({name: round(value, 4) for name, value in measured.items()})
     with metrics.Stage(spark, run_id, "restore_annotation_columns") as stage:
         if annotator is not None:
-            stage.rows = annotate_reviews(spark, annotator).first()["annotations_saved"]
+            stage.rows = annotate_reviews(spark, annotator, annotation_limit, annotation_tasks).first()["annotations_saved"]
     with metrics.Stage(spark, run_id, "gold_layer") as stage:
-        stage.rows = build_gold(spark)
+        stage.rows = build_gold(spark, calendar=calendar)
         stage.extra["checks"] = quality.require_quality(check_gold(spark))
-    drop_scratch(spark)
-    return run_id

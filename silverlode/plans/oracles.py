@@ -155,16 +155,16 @@ RELATIONS["customer_dimension"] = """
     FROM silver_customers c LEFT JOIN churn_score_table s USING (customer_key)
 """
 
-RELATIONS["calendar"] = """
+_CALENDAR = """
     SELECT CAST(strftime(d, '%Y%m%d') AS INTEGER) AS date_key, CAST(d AS TIMESTAMP) AS full_date,
            CAST(year(d) AS INTEGER) AS year, CAST(quarter(d) AS INTEGER) AS quarter, CAST(month(d) AS INTEGER) AS month,
            rpad(monthname(d), 9, ' ') AS month_name, CAST(weekofyear(d) AS INTEGER) AS week_of_year,
            CAST(isodow(d) AS INTEGER) AS day_of_week, rpad(dayname(d), 9, ' ') AS day_name,
            isodow(d) IN (6, 7) AS is_weekend, 'Q' || quarter(d) AS quarter_label, strftime(d, '%Y-%m') AS year_month
-    FROM (
-        SELECT CAST(unnest(generate_series(min(order_date), max(order_date), INTERVAL 1 DAY)) AS DATE) AS d FROM silver_orders
-    )
+    FROM (SELECT CAST(unnest(generate_series({first}, {last}, INTERVAL 1 DAY)) AS DATE) AS d FROM {source})
 """
+RELATIONS["order_span"] = "SELECT min(order_date) AS first_day, max(order_date) AS last_day FROM silver_orders"
+RELATIONS["calendar"] = _CALENDAR.format(first="first_day", last="last_day", source="order_span")
 
 RELATIONS["annotated"] = """
     SELECT review_id, CASE WHEN rating >= 4 THEN 'positive' WHEN rating <= 2 THEN 'negative' ELSE 'neutral' END AS sentiment_label,
@@ -599,6 +599,9 @@ _oracle(
 _oracle("dim_customer", "SELECT * FROM customer_dimension")
 _oracle("dim_product", "SELECT * FROM product_dimension")
 _oracle("dim_date", "SELECT * FROM calendar")
+_FIRST, _LAST = "TIMESTAMP '2016-01-01'", "TIMESTAMP '2019-12-31'"
+_oracle("dim_date_fixed", _CALENDAR.format(first=_FIRST, last=_LAST, source="(SELECT 1)"))
+_oracle("dim_date_built", _CALENDAR.format(first=f"least(first_day, {_FIRST})", last=f"greatest(last_day, {_LAST})", source="order_span"))
 _oracle("fact_orders", "SELECT * FROM fact")
 _oracle("fact_orders_one_review", _NUMBERED.format(columns=_FACT_ORDER, lines="single_review_lines"))
 _oracle(
@@ -700,3 +703,97 @@ _oracle(
     """SELECT run_id, status, rows_processed % 100 / 100 AS auc_roc, CAST(0.5 AS DOUBLE) AS accuracy FROM stage_log
        WHERE run_id = '7' AND stage = 'view'""",
 )
+
+_oracle("churn_scores", "SELECT customer_key, churned AS actual_churned, true AS is_probability, true AS tier_agrees, true AS class_agrees FROM labels_by_customer")
+_oracle(
+    "churn_evaluation",
+    """SELECT sum(n)::BIGINT AS customers, sum(CAST(round(0.2 * n) AS BIGINT))::BIGINT AS held_out, true AS high_accuracy, true AS high_auc_roc
+       FROM (SELECT count(*) AS n FROM labels_by_customer GROUP BY churned)""",
+)
+_oracle("feature_importance", "SELECT 'days_since_last_order' AS first_feature, count(*) AS inputs, 1.0::DOUBLE AS total FROM range(11)")
+_oracle("model_saved_and_loaded", "SELECT count(*) AS customers FROM labels_by_customer")
+_oracle(
+    "rate_rejects",
+    """SELECT CASE event_id % 7 WHEN 3 THEN 'BRL' WHEN 5 THEN 'BRL' END AS target_currency,
+              CASE event_id % 7 WHEN 1 THEN 'not JSON' WHEN 2 THEN 'no rates' WHEN 3 THEN 'rate is not a number: much'
+                   WHEN 4 THEN 'no timestamp' WHEN 5 THEN 'rate is not a number: null' ELSE 'no payload' END AS reason, count(*) AS n
+       FROM events WHERE event_id % 7 <> 0 GROUP BY ALL""",
+)
+_oracle(
+    "rates_read_in_spite",
+    """SELECT target_currency, count(*) AS n, sum(rate) AS total
+       FROM (SELECT 'BRL' AS target_currency, CASE WHEN event_id % 7 = 0 THEN event_id END::DOUBLE AS rate FROM events WHERE event_id % 7 IN (0, 3, 5)
+             UNION ALL SELECT 'EUR', 0.5 FROM events WHERE event_id % 7 = 3
+             UNION ALL SELECT 'JPY', 150 FROM events WHERE event_id % 7 = 5)
+       GROUP BY 1""",
+)
+_oracle(
+    "csv_rejects",
+    """SELECT l_orderkey || ',' || l_linenumber || ',a,b' AS line, count(*) AS n FROM lineitem WHERE l_orderkey % 7 = 0 GROUP BY 1""",
+)
+_oracle(
+    "csv_read_in_spite",
+    """SELECT CASE WHEN l_orderkey % 5 <> 0 THEN 'a' END AS comment, count(*) AS n, CAST(sum(l_orderkey) AS BIGINT) AS orders
+       FROM lineitem WHERE l_orderkey % 7 <> 0 GROUP BY 1""",
+)
+_oracle(
+    "response_trailing_text",
+    """SELECT CASE WHEN event_id % 5 < 4 THEN 'response is not JSON' END AS error, count(*) AS n,
+              CAST(sum(CASE WHEN event_id % 5 = 4 THEN 1 ELSE 0 END) AS BIGINT) AS items FROM events GROUP BY 1""",
+)
+_TABLE_COUNTS = (
+    ("raw_orders", "orders"), ("raw_customers", "customer"), ("raw_order_items", "lineitem"),
+    ("raw_products", "part"), ("raw_reviews", "events"), ("raw_payments", "orders"),
+)
+_oracle(
+    "csv_tables_loaded",
+    " UNION ALL ".join(f"SELECT '{name}' AS \"table\", count(*) AS loaded, count(*) AS stored FROM {source}" for name, source in _TABLE_COUNTS)
+    + " UNION ALL SELECT 'raw_nothing', NULL, NULL",
+)
+_STATUS = "SELECT '{name}' AS \"table\", 'success' AS status, ({rows}) AS rows, ({read}) AS rows_read, ({removed}) AS duplicates_removed, ({dropped}) AS nulls_dropped"
+_oracle(
+    "silver_build_status",
+    " UNION ALL ".join(
+        _STATUS.format(name=name, rows=rows, read=read, removed=removed, dropped=dropped)
+        for name, rows, read, removed, dropped in (
+            ("orders", "SELECT count(*) FROM silver_orders", "SELECT count(*) FROM orders", "SELECT count(*) - count(DISTINCT o_orderkey) FROM orders", "SELECT 0"),
+            ("customers", "SELECT count(*) FROM silver_customers", "SELECT 2 * count(*) FROM customer", "SELECT count(*) FROM customer", "SELECT 0"),
+            ("order_items", "SELECT count(*) FROM silver_items", "SELECT count(*) FROM lineitem", "SELECT 0", "SELECT 0"),
+            ("reviews", "SELECT count(*) FROM silver_reviews WHERE CAST(review_id AS BIGINT) % 5 <> 0", "SELECT count(*) FROM events", "SELECT 0",
+             "SELECT count(*) FROM silver_reviews WHERE CAST(review_id AS BIGINT) % 5 = 0"),
+            ("exchange_rates", "SELECT count(*) FROM silver_rates", "SELECT count(*) FROM events", "SELECT 0", "SELECT 0"),
+        )
+    ).replace("SELECT 0)", "SELECT 0::BIGINT)"),
+)
+_oracle(
+    "quality_gate",
+    """SELECT count(*) FILTER (WHERE passed) AS checks_passed, count(*) AS checks_total, NOT bool_and(passed) AS stopped FROM all_checks""",
+)
+_oracle(
+    "layer_tables",
+    """SELECT 'feature_store' AS name, count(*) AS n, sum(total_orders)::BIGINT AS total FROM labels_by_customer
+       UNION ALL SELECT 'churn_scores', count(*), sum(actual_churned)::BIGINT FROM churn_score_table
+       UNION ALL SELECT 'tiered_scores', count(*), sum(predicted_churn)::BIGINT FROM churn_score_table WHERE churn_risk IS NOT NULL
+       UNION ALL SELECT 'sample', 3, 0""",
+)
+_oracle("annotations_waiting", "SELECT review_id, rating FROM silver_reviews WHERE review_text IS NOT NULL AND CAST(review_id AS BIGINT) % 2 = 1")
+_oracle(
+    "metrics_recorded",
+    """SELECT 'count_orders' AS stage, 'success' AS status, count(*) AS rows_processed, true AS timed, NULL::BOOLEAN AS told FROM orders
+       UNION ALL SELECT 'count_parts', 'failed', count(*), true, true FROM part
+       UNION ALL SELECT 'note', 'success', count(*), true, NULL FROM nation""",
+)
+_oracle(
+    "whole_run",
+    """SELECT stage, 'success' AS status, n AS rows_processed FROM (
+           SELECT 'ingestion_csv' AS stage, (SELECT 2 * count(*) FROM orders) + (SELECT count(*) FROM customer) + (SELECT count(*) FROM lineitem)
+                  + (SELECT count(*) FROM part) + (SELECT count(*) FROM events) AS n
+           UNION ALL SELECT 'ingestion_api', 2
+           UNION ALL SELECT 'spark_etl', (SELECT count(*) FROM silver_orders) + (SELECT count(*) FROM silver_customers)
+                  + (SELECT count(*) FROM silver_items) + (SELECT count(*) FROM silver_reviews) + 2
+           UNION ALL SELECT 'data_quality', 3
+           UNION ALL SELECT 'feature_engineering', (SELECT count(*) FROM labels_by_customer)
+           UNION ALL SELECT 'churn_model', (SELECT count(*) FROM labels_by_customer)
+           UNION ALL SELECT 'restore_annotation_columns', 0
+           UNION ALL SELECT 'gold_layer', (SELECT count(*) FROM silver_items JOIN silver_orders USING (order_id) LEFT JOIN silver_reviews USING (order_id)))""",
+)

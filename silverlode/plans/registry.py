@@ -2,19 +2,21 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.scratch import materialize, scratch_path
+from ..functions.scratch import materialize, scratch_path, scratch_root
 from ..functions.selection import exact_median
 from ..operators import annotate, churn, features, gold, mapping, metrics, quality, silver
 from ..sources import adapters, csv, rates
 from ..sources.adapters import Tables
-from ..sources.tables import describe_table
+from ..sources.tables import as_view, create_layers, describe_table, layer, overwrite_table, read_table, sample_rows
 from ..streaming.rates_feed import feed_rates
+from . import builds
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -131,14 +133,24 @@ def rate_history_check(t: Tables) -> DataFrame:
     return rates.verify_rates(rate_snapshots(t))
 
 
+def open_layers(t: Tables) -> None:
+    """The layer databases, in the shared scratch folder unless the application has them already."""
+    create_layers(t.spark, f"{scratch_root(t.spark)}/layers-{t.spark.sparkContext.applicationId}-{uuid.uuid4().hex}")
+
+
+def new_table(t: Tables, layer_name: str, label: str) -> str:
+    """The name of a table nobody has written yet."""
+    open_layers(t)
+    return layer(layer_name, f"{label}_{uuid.uuid4().hex}")
+
+
 @query
 def rate_history_appended(t: Tables) -> DataFrame:
-    """Two appended snapshots read back from the partitioned history."""
-    path = scratch_path(t.spark, "history")
-    snapshot = rate_snapshots(t).withColumn("fetch_date", F.to_date("fetched_at"))
+    """Two appended snapshots read back from the partitioned history table."""
+    table = new_table(t, "bronze", "rate_history")
     for _ in range(2):
-        snapshot.hint("rebalance", "fetch_date").write.mode("append").partitionBy("fetch_date").parquet(path)
-    history = t.spark.read.parquet(path)
+        rates.append_rates(rates.flatten_rates(adapters.rate_payloads(t), F.col("fetched_at")), table)
+    history = read_table(t.spark, table)
     return history.groupBy("fetch_date").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("target_currency").alias("currencies"))
 
 
@@ -161,6 +173,61 @@ def rate_sample(t: Tables) -> DataFrame:
     return rates.sample_currencies(adapters.raw_exchange_rates(t).withColumn("target_currency", F.upper("target_currency")))
 
 
+def broken_payloads(t: Tables) -> DataFrame:
+    """Payloads of every kind that cannot be read whole, built in SQL from the events."""
+    kind = F.col("event_id") % 7
+    number = F.col("event_id").cast("string")
+    good = F.concat(F.lit('{"timestamp": 1711843200, "base": "USD", "rates": {"BRL": '), number, F.lit("}}"))
+    return t["events"].select(
+        F.when(kind == 0, good)
+        .when(kind == 1, F.concat(F.lit('{"timestamp": '), number))
+        .when(kind == 2, F.lit('{"timestamp": 1, "base": "USD"}'))
+        .when(kind == 3, F.lit('{"timestamp": 1, "base": "USD", "rates": {"BRL": "much", "EUR": 0.5}}'))
+        .when(kind == 4, F.lit('{"base": "USD", "rates": {"BRL": 1}}'))
+        .when(kind == 5, F.lit('{"timestamp": 1, "base": "USD", "rates": {"BRL": null, "JPY": 150}}'))
+        .alias("payload")
+    )
+
+
+@query
+def rate_rejects(t: Tables) -> DataFrame:
+    """What could not be read of the payloads, by reason."""
+    return rates.rate_rejects(broken_payloads(t)).groupBy("target_currency", "reason").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query
+def rates_read_in_spite(t: Tables) -> DataFrame:
+    """What is read of the same payloads when errors become NULL."""
+    read = rates.flatten_rates(broken_payloads(t), F.lit(None).cast("timestamp"), on_error="null")
+    return read.groupBy("target_currency").agg(F.count(F.lit(1)).alias("n"), F.sum("exchange_rate").alias("total"))
+
+
+def uneven_lines(t: Tables) -> str:
+    """Order lines as CSV text; every seventh line has a field too many, every fifth is short of its last."""
+    path = scratch_path(t.spark, "csv")
+    line = F.concat_ws(",", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"))
+    comment = F.when(F.col("l_orderkey") % 7 == 0, F.lit(",a,b")).when(F.col("l_orderkey") % 5 == 0, F.lit("")).otherwise(F.lit(",a"))
+    rows = t["lineitem"].select(F.lit(1).alias("at"), F.concat(line, comment).alias("line"))
+    header = t.spark.range(1).select(F.lit(0).alias("at"), F.lit("order,number,comment").alias("line"))
+    # one file, so that it has one header
+    header.unionByName(rows).coalesce(1).sortWithinPartitions("at").select("line").write.text(path)
+    return path
+
+
+@query
+def csv_rejects(t: Tables) -> DataFrame:
+    """Lines with more fields than the header, handed out instead of cut."""
+    refused = csv.csv_rejects(t.spark, uneven_lines(t), line_breaks=False)
+    return refused.groupBy("line").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query
+def csv_read_in_spite(t: Tables) -> DataFrame:
+    """The other lines of the same file; a short line lacks its last field."""
+    rows = csv.read_csv(t.spark, uneven_lines(t), {"order": "bigint", "number": "int"}, line_breaks=False, on_error="null")
+    return rows.groupBy("comment").agg(F.count(F.lit(1)).alias("n"), F.sum("order").alias("orders"))
+
+
 @query
 def table_profile(t: Tables) -> DataFrame:
     return describe_table(t["orders"]).unionByName(describe_table(t["lineitem"])).select("position", "column", "row_count", "null_count")
@@ -238,7 +305,7 @@ def mapping_conformance(t: Tables) -> DataFrame:
 
 @query
 def quality_orders(t: Tables) -> DataFrame:
-    return quality.run_checks(stored(t, "orders"), "orders", quality.orders_suite())
+    return quality.run_checks(stored(t, "orders"), "orders", quality.orders_suite(quality.EXPECTED_ORDERS))
 
 
 @query
@@ -266,12 +333,12 @@ def quality_failures(t: Tables) -> DataFrame:
 
 @query
 def quality_summary(t: Tables) -> DataFrame:
-    return quality.summarize(quality.validate(stored(t, "orders"), items(t), stored(t, "reviews")))
+    return quality.summarize(quality.validate(stored(t, "orders"), items(t), stored(t, "reviews"), quality.EXPECTED_ORDERS))
 
 
 @query
 def quality_overall(t: Tables) -> DataFrame:
-    return quality.overall(quality.validate(stored(t, "orders"), items(t), stored(t, "reviews")))
+    return quality.overall(quality.validate(stored(t, "orders"), items(t), stored(t, "reviews"), quality.EXPECTED_ORDERS))
 
 
 @query
@@ -326,13 +393,13 @@ def customer_location(t: Tables) -> DataFrame:
 
 @query
 def category_codes(t: Tables) -> DataFrame:
-    return features.category_codes(t["part"], "p_brand", "code", few=True)
+    return features.category_codes(t["part"], "p_brand", "code")
 
 
 @query
 def long_category_codes(t: Tables) -> DataFrame:
     """Codes of a column with as many values as rows, ranked in ranges rather than in one task."""
-    return features.category_codes(t["customer"], "c_name", "code", few=False)
+    return features.category_codes(t["customer"], "c_name", "code")
 
 
 @query
@@ -384,27 +451,55 @@ def model_auc(t: Tables) -> DataFrame:
     return scored.agg(F.count(F.lit(1)).alias("n")).withColumn("auc_roc", F.round(F.lit(churn.auc_roc(scored)), 9))
 
 
+_fitted: dict[tuple[str, str], tuple] = {}
+
+
+def fitted(t: Tables) -> tuple:
+    """The split feature table and the forest trained on it, once per application and folder."""
+    key = (t.spark.sparkContext.applicationId, t.folder)
+    if key not in _fitted:
+        table = materialize(churn.split(materialize(feature_store(t), "feature_store")), "split")
+        _fitted[key] = table, churn.train(table.where(~F.col("is_test")))
+    return _fitted[key]
+
+
 @query
 def churn_scores(t: Tables) -> DataFrame:
-    """Features, split, balanced forest, scores of every customer."""
-    table = materialize(feature_store(t), "feature_store")
-    model = churn.train(churn.split(table).where(~F.col("is_test")))
-    return churn.score(churn.predict(model, table))
+    """Every customer scored by the forest. A forest has no SQL form, so each row says whether its parts agree: the score is
+    a probability, the tier and the class are those of the score (either of the two at a rounded limit)."""
+    table, model = fitted(t)
+    scores = churn.score(churn.predict(model, table))
+    p = F.col("churn_score")
+    low, high = churn.risk_tier(p - 0.00005), churn.risk_tier(p + 0.00005)
+    tier = F.col("churn_risk")
+    return scores.select(
+        "customer_key",
+        "actual_churned",
+        p.between(0, 1).alias("is_probability"),
+        (tier.eqNullSafe(low) | tier.eqNullSafe(high)).alias("tier_agrees"),
+        ((F.col("predicted_churn") == (p > 0.5).cast("int")) | (p == 0.5)).alias("class_agrees"),
+    )
 
 
 @query
 def churn_evaluation(t: Tables) -> DataFrame:
-    """Accuracy and AUC of a forest on the held-out fifth."""
-    table = materialize(feature_store(t), "feature_store")
-    measured = churn.train_and_score(table, trees=20)[1]
-    return table.agg(F.count(F.lit(1)).alias("customers")).select("customers", *[F.lit(v).alias(k) for k, v in measured.items()])
+    """Sizes of the two shares, and whether accuracy and AUC on the held-out one are what the label allows."""
+    table, model = fitted(t)
+    measured = churn.evaluate(model, table.where("is_test"))
+    return table.agg(F.count(F.lit(1)).alias("customers"), F.count_if("is_test").alias("held_out")).select(
+        "customers", "held_out", *[F.lit(v > 0.9).alias(f"high_{k}") for k, v in measured.items()]
+    )
 
 
 @query
 def feature_importance(t: Tables) -> DataFrame:
-    table = materialize(feature_store(t), "feature_store")
-    model = churn.train(churn.split(table).where(~F.col("is_test")), trees=20)
-    return churn.top_features(model, t.spark)
+    """The label follows from the recency, so that must come first; importances are shares of 1."""
+    ranked = churn.feature_importance(fitted(t)[1], t.spark)
+    return ranked.agg(
+        F.max_by("feature", "importance").alias("first_feature"),
+        F.count(F.lit(1)).alias("inputs"),
+        F.round(F.sum("importance"), 6).alias("total"),
+    )
 
 
 # --- star schema ---
@@ -455,6 +550,18 @@ def dim_product(t: Tables) -> DataFrame:
     return gold.dim_product(gold.stg_products(adapters.raw_products(t)))
 
 
+@query
+def dim_date_fixed(t: Tables) -> DataFrame:
+    """The fixed calendar of four years."""
+    return gold.dim_date(gold.calendar_span(t.spark))
+
+
+@query
+def dim_date_built(t: Tables) -> DataFrame:
+    """The calendar the gold build writes: the fixed one and all days of the orders."""
+    return gold.dim_date(gold.fixed_and(gold.span_of(orders(t), "order_date")))
+
+
 @query
 def dim_date(t: Tables) -> DataFrame:
     """The calendar of the days the orders cover."""
@@ -476,7 +583,7 @@ def fact_orders_one_review(t: Tables) -> DataFrame:
 @query
 def fact_lines_salted(t: Tables) -> DataFrame:
     """The fact rows with every order of more than two lines or reviews cut into pieces."""
-    return gold.order_lines(*star_sources(t), hot_options={"rows_per_task": 2, "share": 1.0, "min_bytes": 0}).groupBy("status_code").agg(
+    return gold.order_lines(*star_sources(t), hot_options={"rows_per_task": 2}).groupBy("status_code").agg(
         F.count(F.lit(1)).alias("n"), F.sum("total_amount_brl").alias("brl"), F.sum("review_rating").alias("stars")
     )
 
@@ -564,6 +671,22 @@ def response_problems(t: Tables) -> DataFrame:
     return annotate.read_responses(payload_responses(t)).groupBy("error", "warning").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query
+def response_trailing_text(t: Tables) -> DataFrame:
+    """Answers with text after their JSON value, or with a key twice: none of them counts as one."""
+    kind = F.col("event_id") % 5
+    text = (
+        F.when(kind == 0, '[{"review_id": "1"}] oops ]')
+        .when(kind == 1, '{"a": [{"review_id": "1"}]} and {"b": 2}')
+        .when(kind == 2, '[{"review_id": "1"}], [{"review_id": "2"}]')
+        .when(kind == 3, '{"a": [{"review_id": "1"}], "a": [{"review_id": "2"}]}')
+        .otherwise('\n [{"review_id": "1"}]\t')
+    )
+    answers = t["events"].select(F.col("event_id").alias("batch_id"), F.lit(1).alias("batch_size"), text.alias("response"), F.lit(None).cast("string").alias("error"))
+    read = annotate.read_responses(answers)
+    return read.groupBy("error").agg(F.count(F.lit(1)).alias("n"), F.sum(F.coalesce(F.size("items"), F.lit(0))).alias("items"))
+
+
 @query
 def annotation_upsert(t: Tables) -> DataFrame:
     """Annotations from the events replace those the annotator gave; the last one of a review wins."""
@@ -625,3 +748,125 @@ def run_model_summary(t: Tables) -> DataFrame:
         F.to_json(F.struct((F.col("rows_processed") % 100 / 100).alias("auc_roc"), F.lit(0.5).alias("accuracy"))),
     )
     return metrics.model_summary(log, "7", "view")
+
+
+# --- layers, builds and runs: written to catalog tables and read back ---
+
+
+def write_csv_files(t: Tables, lower_prices: bool = False) -> str:
+    """All bronze shapes as CSV files under the names the loader looks for."""
+    folder = scratch_path(t.spark, "csv-files")
+    for table, file in csv.CSV_FILES.items():
+        df = adapters.BRONZE[table](t)
+        if lower_prices and table == "raw_order_items":  # into the range the quality gate allows
+            df = df.withColumn("price", F.round(F.col("price") / 20, 2))
+        df.write.csv(f"{folder}/{file.name}", header=True, quote='"', escape='"', quoteAll=file.line_breaks)
+    return folder
+
+
+@query
+def csv_tables_loaded(t: Tables) -> DataFrame:
+    """Every CSV file that exists loaded twice into its bronze table; the second load replaces the first."""
+    open_layers(t)
+    folder = write_csv_files(t)
+    missing = {"raw_nothing": csv.CsvFile("no_such_file.csv")}
+    for _ in range(2):
+        rows = csv.load_all_csv(t.spark, folder, {**csv.CSV_FILES, **missing})
+    counted = [(name, n, None if n is None else read_table(t.spark, layer("bronze", name)).count()) for name, n in rows.items()]
+    return t.spark.createDataFrame(counted, "table string, loaded bigint, stored bigint")
+
+
+@query
+def silver_build_status(t: Tables) -> DataFrame:
+    """Rows written, read and lost per silver table, from the build itself. A fifth of the reviews has no order."""
+    open_layers(t)
+    bronze = {name: make(t) for name, make in adapters.BRONZE.items()}
+    orphan = F.col("review_id").cast("long") % 5 == 0
+    bronze["raw_reviews"] = bronze["raw_reviews"].withColumn("order_id", F.when(~orphan, F.col("order_id")))
+    bronze["raw_customers"] = bronze["raw_customers"].unionByName(bronze["raw_customers"])
+    return builds.build_silver(t.spark, bronze).drop("error")
+
+
+@query
+def quality_gate(t: Tables) -> DataFrame:
+    """Whether the gate stops a run over these tables, and with which counts."""
+    results = quality.validate(stored(t, "orders"), items(t), stored(t, "reviews"), quality.EXPECTED_ORDERS)
+    try:
+        passed, stopped = quality.require_quality(results), False
+    except quality.QualityError as error:
+        passed, stopped = {"checks_passed": error.passed, "checks_total": error.total}, True
+    row = (passed["checks_passed"], passed["checks_total"], stopped)
+    return t.spark.createDataFrame([row], "checks_passed bigint, checks_total bigint, stopped boolean")
+
+
+@query
+def layer_tables(t: Tables) -> DataFrame:
+    """Feature and score tables written to the ml layer, read back whole, by a view and by a few sample rows."""
+    open_layers(t)
+    store, scores = new_table(t, "ml", "feature_store"), new_table(t, "ml", "churn_scores")
+    overwrite_table(features.build_features(orders(t), customers(t), items(t), reviews(t), payments(t)), store)
+    for _ in range(2):
+        overwrite_table(churn.score(rule_scores(t)), scores)
+    as_view(read_table(t.spark, scores).where("churn_risk IS NOT NULL"), "tiered_scores")
+    parts = [
+        read_table(t.spark, store).agg(F.lit("feature_store").alias("name"), F.count(F.lit(1)).alias("n"), F.sum("total_orders").alias("total")),
+        read_table(t.spark, scores).agg(F.lit("churn_scores").alias("name"), F.count(F.lit(1)).alias("n"), F.sum("actual_churned").alias("total")),
+        t.spark.table("tiered_scores").agg(F.lit("tiered_scores").alias("name"), F.count(F.lit(1)).alias("n"), F.sum("predicted_churn").alias("total")),
+        sample_rows(read_table(t.spark, scores)).agg(F.lit("sample").alias("name"), F.count(F.lit(1)).alias("n"), F.lit(0).cast("long").alias("total")),
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
+
+
+@query
+def model_saved_and_loaded(t: Tables) -> DataFrame:
+    """Customers the loaded model scores exactly as the saved one did."""
+    table, model = fitted(t)
+    path = scratch_path(t.spark, "model")
+    churn.save_model(model, path)
+    columns = ["customer_key", "churn_probability", "predicted_churn"]
+    before = churn.predict(model, table).select(*columns)
+    after = churn.predict(churn.load_model(path), table).select(*columns)
+    return before.join(after, columns).agg(F.count(F.lit(1)).alias("customers"))
+
+
+@query
+def annotations_waiting(t: Tables) -> DataFrame:
+    """The queue that is left when every other review has an annotation."""
+    known = annotations(t).where(F.col("review_id").cast("long") % 2 == 0)
+    return annotate.annotation_queue(reviews(t), known, limit=None).select("review_id", "rating")
+
+
+@query
+def metrics_recorded(t: Tables) -> DataFrame:
+    """A stage that ends well, one that fails, and a single record, read back from the metrics table."""
+    open_layers(t)
+    metrics.setup_metrics_table(t.spark)
+    run = uuid.uuid4().hex
+    with metrics.Stage(t.spark, run, "count_orders") as stage:
+        stage.rows = t["orders"].count()
+    try:
+        with metrics.Stage(t.spark, run, "count_parts") as stage:
+            stage.rows = t["part"].count()
+            raise ValueError("stopped on purpose")
+    except ValueError:
+        pass
+    metrics.record_metric(t.spark, run, "note", "success", t["nation"].count(), 1.5, {"k": 1})
+    log = t.spark.table(metrics.METRICS_TABLE).where(F.col("run_id") == run)
+    seconds = F.col("duration_seconds") >= 0
+    return log.select("stage", "status", "rows_processed", seconds.alias("timed"), F.col("error_message").contains("on purpose").alias("told"))
+
+
+@query
+def whole_run(t: Tables) -> DataFrame:
+    """The monitored run from CSV files and a payload to gold, with its rows per stage."""
+    open_layers(t)
+    for table in ("bronze.raw_exchange_rates", builds.ANNOTATIONS_TABLE):
+        t.spark.sql(f"DROP TABLE IF EXISTS {table}")
+    run = uuid.uuid4().hex
+    landing, model = scratch_path(t.spark, "landing"), scratch_path(t.spark, "model")
+    number = t["orders"].agg(F.count(F.lit(1)).cast("string").alias("n"))
+    payload = F.concat(F.lit('{"timestamp": 1711843200, "base": "USD", "rates": {"BRL": 5.0, "XTS": '), "n", F.lit("}}"))
+    number.select(payload).coalesce(1).write.text(landing)
+    builds.run_everything(t.spark, run, write_csv_files(t, lower_prices=True), landing, model)
+    log = t.spark.table(metrics.METRICS_TABLE).where(F.col("run_id") == run)
+    return log.select("stage", "status", "rows_processed")

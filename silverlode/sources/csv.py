@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.columns import check_on_error
 from .tables import create_layers, layer, overwrite_table
 
 # Spellings read as NULL.
@@ -48,14 +49,57 @@ CSV_FILES = {
 }
 
 
+_LINE = "_whole_line"
+
+
+def _checked_lines(spark: SparkSession, path: str, line_breaks: bool) -> tuple[DataFrame, list[str]]:
+    """All lines as text by the header, with the whole line in ``_LINE`` where it has a wrong number of fields.
+
+    Every file must carry the columns of the first header, in its order; another header is an error.
+    """
+    options = {"header": True, "multiLine": line_breaks, "quote": '"', "escape": '"'}
+    names = spark.read.csv(path, inferSchema=False, **options).columns
+    schema = ", ".join(f"`{name.replace('`', '``')}` STRING" for name in [*names, _LINE])
+    # with pruned columns the reader would not count the fields of a line
+    lines = spark.read.option("columnPruning", False).csv(
+        path, schema=schema, enforceSchema=False, mode="PERMISSIVE", columnNameOfCorruptRecord=_LINE, **options
+    )
+    return lines, names
+
+
+def _surplus(names: list[str]) -> Column:
+    """A line with more fields than the header. Only malformed lines are looked at: their commas outside quotes tell."""
+    bare = F.regexp_replace(_LINE, '"(?:[^"]|"")*"', "")
+    return F.col(_LINE).isNotNull() & (F.length(bare) - F.length(F.replace(bare, F.lit(","))) >= len(names))
+
+
+def csv_rejects(spark: SparkSession, path: str, line_breaks: bool = True) -> DataFrame:
+    """The lines ``read_csv`` refuses, as ``line``."""
+    lines, names = _checked_lines(spark, path, line_breaks)
+    # a scan must name another column besides the malformed line, so the first one is asked for what does not matter
+    line = F.when(F.col(f"`{names[0]}`").isNull(), F.concat(_LINE, F.lit(""))).otherwise(F.col(_LINE))
+    return lines.where(_surplus(names)).select(line.alias("line"))
+
+
 def read_csv(
-    spark: SparkSession, path: str, types: Mapping[str, str] | None = None, line_breaks: bool = True
+    spark: SparkSession,
+    path: str,
+    types: Mapping[str, str] | None = None,
+    line_breaks: bool = True,
+    on_error: str = "fail",
 ) -> DataFrame:
     """Read a CSV file or folder with a header, columns by name, without an inference pass over the data.
 
-    Quotes are doubled inside quoted text. NA spellings become NULL in every column.
+    Quotes are doubled inside quoted text. NA spellings become NULL in every column, as do fields a short line lacks. A
+    line with more fields than the header raises; with ``on_error="null"`` it is left out and ``csv_rejects`` lists it.
     """
-    raw = spark.read.csv(path, header=True, multiLine=line_breaks, quote='"', escape='"', inferSchema=False)
+    check_on_error(on_error)
+    raw, names = _checked_lines(spark, path, line_breaks)
+    refused = _surplus(names)
+    if on_error == "fail":
+        message = F.concat(F.lit("CSV line with more fields than the header: "), F.left(_LINE, F.lit(200)))
+        refused = F.when(refused, F.raise_error(message).cast("boolean")).otherwise(F.lit(False))
+    raw = raw.where(~refused)
     types = types or {}
 
     def column(name: str):
@@ -63,7 +107,7 @@ def read_csv(
         value = F.when(~text.isin(*NA_SPELLINGS), text)
         return (value.cast(types[name]) if name in types else value).alias(name)
 
-    return raw.select(*[column(c) for c in raw.columns])
+    return raw.select(*[column(c) for c in names])
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:

@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.columns import check_on_error
 from .tables import append_table, create_layers, layer
 
-PAYLOAD_SCHEMA = "timestamp bigint, base string, rates map<string,double>"
+# Rates are read as text, so one that is no number does not take the others of its payload with it.
+PAYLOAD_SCHEMA = "timestamp bigint, base string, rates map<string,string>"
 HISTORY_TABLE = layer("bronze", "raw_exchange_rates")
 
 # Currencies looked at after a load.
@@ -19,19 +21,61 @@ def read_payloads(spark: SparkSession, path: str, one_per_line: bool = False) ->
     return spark.read.text(path, wholetext=not one_per_line).withColumnRenamed("value", "payload")
 
 
-def flatten_rates(payloads: DataFrame, fetched_at: Column | None = None) -> DataFrame:
-    """One row per currency of each payload. ``fetched_at`` defaults to the time of the run."""
-    parsed = F.from_json("payload", PAYLOAD_SCHEMA)
-    fetched = F.current_timestamp() if fetched_at is None else fetched_at
+def _payload_problem() -> Column:
+    """What keeps a payload from being read, NULL for a good one. ``p`` is the parsed payload."""
     return (
-        payloads.select(parsed.alias("p"), fetched.alias("fetched_at"))
-        .select(
-            F.col("p.base").alias("base_currency"),
-            F.explode("p.rates").alias("target_currency", "exchange_rate"),
-            F.timestamp_seconds("p.timestamp").alias("rate_timestamp"),
-            "fetched_at",
-        )
+        F.when(F.col("payload").isNull(), "no payload")
+        .when(F.try_parse_json("payload").isNull(), "not JSON")
+        .when(F.col("p.rates").isNull(), "no rates")
+        .when(F.col("p.timestamp").isNull(), "no timestamp")
+        .when(F.col("p.base").isNull(), "no base currency")
+    )
+
+
+def _rate_problem(rate: Column) -> Column:
+    return F.when(rate.try_cast("double").isNull(), F.concat(F.lit("rate is not a number: "), F.coalesce(rate, F.lit("null"))))
+
+
+def flatten_rates(payloads: DataFrame, fetched_at: Column | None = None, on_error: str = "fail") -> DataFrame:
+    """One row per currency of each payload. ``fetched_at`` defaults to the time of the run.
+
+    ``on_error="fail"`` raises on the first payload or rate that cannot be read. ``"null"`` leaves unreadable payloads
+    out and gives unreadable rates as NULL; ``rate_rejects`` lists both.
+    """
+    check_on_error(on_error)
+    fetched = F.current_timestamp() if fetched_at is None else fetched_at
+    parsed = payloads.select("payload", F.from_json("payload", PAYLOAD_SCHEMA).alias("p"), fetched.alias("fetched_at"))
+    problem = _payload_problem()
+    if on_error == "fail":
+        message = F.concat(F.lit("rate payload: "), problem, F.lit(": "), F.coalesce(F.left("payload", F.lit(200)), F.lit("null")))
+        rates = F.when(problem.isNotNull(), F.raise_error(message)).otherwise(F.col("p.rates"))
+    else:
+        rates = F.when(problem.isNull(), F.col("p.rates"))
+    rows = parsed.select("p", "fetched_at", F.explode(rates).alias("target_currency", "text"))
+    rate = F.col("text").try_cast("double")
+    if on_error == "fail":
+        wrong = _rate_problem(F.col("text"))
+        rate = F.when(wrong.isNotNull(), F.raise_error(F.concat("target_currency", F.lit(" "), wrong))).otherwise(rate)
+    return rows.select(
+        F.col("p.base").alias("base_currency"),
+        "target_currency",
+        rate.alias("exchange_rate"),
+        F.timestamp_seconds("p.timestamp").alias("rate_timestamp"),
+        "fetched_at",
+    )
+
+
+def rate_rejects(payloads: DataFrame) -> DataFrame:
+    """What ``flatten_rates`` with ``on_error="null"`` could not read: payload, currency (NULL: all of it), reason."""
+    parsed = payloads.select("payload", F.from_json("payload", PAYLOAD_SCHEMA).alias("p")).withColumn("reason", _payload_problem())
+    whole = parsed.where(F.col("reason").isNotNull()).select("payload", F.lit(None).cast("string").alias("target_currency"), "reason")
+    single = (
+        parsed.where(F.col("reason").isNull())
+        .select("payload", F.explode("p.rates").alias("target_currency", "text"))
+        .select("payload", "target_currency", _rate_problem(F.col("text")).alias("reason"))
+        .where(F.col("reason").isNotNull())
     )
+    return whole.unionByName(single)
 
 
 def append_rates(rates: DataFrame, table: str = HISTORY_TABLE) -> None:

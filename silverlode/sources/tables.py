@@ -15,9 +15,11 @@ def layer(name: str, table: str) -> str:
     return f"{name}.{table}"
 
 
-def create_layers(spark: SparkSession) -> None:
+def create_layers(spark: SparkSession, root: str | None = None) -> None:
+    """Create the layers that do not exist yet, under ``root`` or else in the warehouse."""
     for name in LAYERS:
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}")
+        place = f" LOCATION '{root}/{name}'" if root else ""
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}{place}")
 
 
 def overwrite_table(df: DataFrame, table: str, partition_by: list[str] | None = None) -> None:

@@ -81,10 +81,20 @@ def test_feature_store(spark):
 
 def test_long_category_lists_are_ranked_in_ranges(spark):
     df = spark.createDataFrame([("b",), ("a",), (None,), ("c",), ("a",)], "x string")
-    for small_list in (10, 0):
-        coded = f.encode_categories(df, {"x": "code"}, small=small_list)
-        assert {r["x"]: r["code"] for r in coded.collect()} == {"a": 0, "b": 1, "c": 2, None: -1}
-        assert coded.count() == 5
+    coded = f.encode_categories(df, {"x": "code"})
+    assert {r["x"]: r["code"] for r in coded.collect()} == {"a": 0, "b": 1, "c": 2, None: -1}
+    assert coded.count() == 5
+
+
+def test_the_orders_are_shuffled_once_by_order_and_once_by_customer(spark):
+    schema = "order_id string, customer_key string, order_date timestamp, days_to_deliver int, delivered_on_time boolean"
+    orders = f.materialize(spark.createDataFrame([], schema), "orders")
+    items = spark.createDataFrame([], "order_id string, total_item_cost_brl decimal(10,2)")
+    reviews = spark.createDataFrame([], "order_id string, review_id string, rating int")
+    payments = spark.createDataFrame([], "order_id string, payment_type string")
+    customers = spark.createDataFrame([], "customer_key string, state_code string")
+    plan = f.assemble(orders, customers, items, reviews, payments)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 1
 
 
 def test_features_against_pandas(spark):

@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from silverlode.functions.columns import elapsed_days, risk_tier
 from silverlode.functions.numbering import number_rows
-from silverlode.functions.scratch import drop_scratch, materialize, scratch_root
+from silverlode.functions.scratch import drop_scratch, materialize, scratch_root, scratch_scope
 from silverlode.functions.selection import exact_median, lowest_share
-from silverlode.functions.skew import hot_keys, reads_less_than, salted_join
+from silverlode.functions.skew import hot_keys, salted_join
 from silverlode.operators.silver import dedup
 
 few = settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
@@ -79,10 +79,9 @@ def _skewed(spark):
 @pytest.mark.parametrize("left_limit, right_limit", [(20, 10**6), (10**6, 3), (20, 3), (2, 1)])
 def test_salted_join_equals_the_plain_join(spark, how, left_limit, right_limit):
     left, right = _skewed(spark)
-    left_hot = hot_keys([left], "k", left_limit, 1.0)[0]
-    right_hot = hot_keys([right], "k", right_limit, 1.0)[0]
-    assert left_hot or right_hot
-    got, expected = salted_join(left, [(right, how)], "k", left_hot, right_hot), left.join(right, "k", how)
+    hot = hot_keys(left, right, "k", left_limit, right_limit)
+    assert hot.count()
+    got, expected = salted_join(left, [(right, how)], "k", hot), left.join(right, "k", how)
     assert got.columns == expected.columns
     assert got.exceptAll(expected).count() == 0 and expected.exceptAll(got).count() == 0
 
@@ -90,12 +89,12 @@ def test_salted_join_equals_the_plain_join(spark, how, left_limit, right_limit):
 def test_salting_spreads_a_hot_key_of_exact_copies(spark):
     left = spark.range(0, 6_000, 1, 32).select(F.lit("hot").alias("k"))
     right = spark.createDataFrame([("hot", 1)], "k string, v int")
-    hot = hot_keys([left, right], "k", 500, 1.0)
-    assert hot == [{"hot": 12}, {}]
+    hot = hot_keys(left, right, "k", 500)
+    assert [tuple(r) for r in hot.collect()] == [("hot", 12, 1)]
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
-        joined = salted_join(left, [(right, "inner")], "k", *hot)
+        joined = salted_join(left, [(right, "inner")], "k", hot)
         sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
@@ -103,30 +102,23 @@ def test_salting_spreads_a_hot_key_of_exact_copies(spark):
     assert sum(sizes) == 6_000 and len(sizes) > 2
 
 
-def test_small_inputs_are_not_searched(spark):
-    df = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").where("l_tax > 0").select("l_orderkey")
-    assert reads_less_than(df, 1 << 30) and not reads_less_than(df, 1000)
-    assert not reads_less_than(spark.range(1), 1 << 30)
-    assert hot_keys([df], "l_orderkey", 1, 1.0) == [{}]
-    assert len(hot_keys([df], "l_orderkey", 1, 1.0, min_bytes=0)[0]) == 1000
-
-
 def test_salted_join_without_hot_keys_is_the_plain_join(frame):
     left, right = frame([("a", 1)], "k string, x int"), frame([("a", 2)], "k string, y int")
-    assert hot_keys([left, right], "k") == [{}, {}]
-    assert salted_join(left, [(right, "inner")], "k", {}).collect() == [("a", 1, 2)]
+    hot = hot_keys(left, right, "k")
+    assert hot.count() == 0
+    assert salted_join(left, [(right, "inner")], "k", hot).collect() == [("a", 1, 2)]
     with pytest.raises(ValueError):
-        salted_join(left, [(right, "full")], "k", {})
+        salted_join(left, [(right, "full")], "k", hot)
 
 
 @pytest.mark.parametrize("hows", [("inner", "left"), ("left", "inner"), ("left", "left")])
 def test_two_salted_joins_shuffle_the_left_once(spark, hows):
     left, last = _skewed(spark)
     middle = left.select("k").distinct().where("k <> '3'").withColumn("name", F.upper("k"))
-    hot = hot_keys([left, last], "k", 3, 1.0)
+    hot = hot_keys(left, last, "k", 3)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        got = salted_join(left, [(middle, hows[0]), (last, hows[1])], "k", *hot)
+        got = salted_join(left, [(middle, hows[0]), (last, hows[1])], "k", hot)
         expected = left.join(middle, "k", hows[0]).join(last, "k", hows[1])
         assert got.exceptAll(expected).count() == 0 and expected.exceptAll(got).count() == 0
         plan = got._jdf.queryExecution().executedPlan().toString()
@@ -170,4 +162,28 @@ def test_materialize_reads_what_it_wrote_from_the_shared_folder(spark):
     assert written.schema.simpleString() == df.schema.simpleString()
     assert written.exceptAll(df).count() == 0
     assert all(scratch_root(spark).removeprefix("file:") in f for f in written.inputFiles())
+
+
+def test_a_scope_deletes_its_own_folder_only(spark):
+    held = materialize(spark.range(5), "held")
+    with scratch_scope(spark) as folder:
+        inside = materialize(spark.range(3), "inside")
+        assert folder in inside.inputFiles()[0] and inside.count() == 3
+    assert held.count() == 5
+    with pytest.raises(Exception, match="(?i)exist|not found"):
+        spark.read.parquet(inside.inputFiles()[0]).count()
+    with pytest.raises(ZeroDivisionError), scratch_scope(spark) as failed:
+        materialize(spark.range(3), "inside")
+        1 / 0
+    path = spark._jvm.org.apache.hadoop.fs.Path(failed)
+    assert not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+
+
+def test_scratch_falls_back_to_the_warehouse(spark, monkeypatch):
+    monkeypatch.setattr(type(spark.conf), "get", lambda self, key, *d, old=type(spark.conf).get: None if key == "spark.checkpoint.dir" else old(self, key, *d))
+    assert scratch_root(spark).startswith(spark.conf.get("spark.sql.warehouse.dir").rstrip("/"))
+
+
+def test_dropping_all_scratch(spark):
+    materialize(spark.range(1), "gone")
     assert drop_scratch(spark)

@@ -75,7 +75,7 @@ def test_fact_with_a_hot_order(spark):
     stars = [(f"r{i}", "o2" if i % 3 == 0 else f"o{i % 40}", i % 5 + 1, DAY) for i in range(90)]
     sources = orders(spark, [(f"o{i}", f"c{i % 7}") for i in range(40)]), items(spark, many), reviews(spark, stars), rates(spark)
     plain = gold.fact_orders(*sources)
-    cut = gold.fact_orders(*sources, hot_options={"rows_per_task": 20, "share": 1.0})
+    cut = gold.fact_orders(*sources, hot_options={"rows_per_task": 20})
     assert plain.count() == cut.count() and plain.exceptAll(cut).count() == 0
     window = Window.orderBy("order_id", "order_item_id")
     checked = plain.withColumn("low", F.rank().over(window)).withColumn("ties", F.count("*").over(Window.partitionBy("order_id", "order_item_id")))

@@ -40,11 +40,5 @@ def test_query(spark, duck, name):
     assert got == want
 
 
-@pytest.mark.parametrize("name, rows", [("churn_scores", 150), ("churn_evaluation", 1), ("feature_importance", 5)])
-def test_model_query(spark, name, rows):
-    out = QUERIES[name](spark, SMALL).toPandas()
-    assert len(out) == rows
-    if name == "churn_scores":
-        assert out["churn_score"].between(0, 1).all() and out["customer_key"].is_unique
-    if name == "churn_evaluation":
-        assert out["auc_roc"].between(0.5, 1).all() and out["accuracy"].between(0.5, 1).all()
+def test_every_query_has_a_counterpart():
+    assert set(ORACLES) == set(QUERIES)
