@@ -41,7 +41,7 @@ ANNOTATION_COLUMNS = {
 # Answers are read as text fields first: a value of the wrong type spoils its own annotation, not the answer.
 _ITEMS = "array<map<string,string>>"
 
-Annotator = Callable[[Sequence[str]], Sequence[str]]
+Annotator = Callable[[Sequence[str]], Sequence["str | Exception"]]
 
 
 def annotation_queue(reviews: DataFrame, annotations: DataFrame | None = None, limit: int | None = QUEUE_LIMIT) -> DataFrame:
@@ -82,22 +82,30 @@ def build_prompts(batches: DataFrame) -> DataFrame:
 
 
 def apply_annotator(prompts: DataFrame, annotator: Annotator, tasks: int | None = None) -> DataFrame:
-    """Run the caller's function over the prompts in Arrow batches. A failing call marks its own batch only.
+    """Run the caller's function over the prompts, a whole Arrow batch to a call.
+
+    It returns one answer, or one exception, per prompt. When a call for several prompts raises, they are asked one by
+    one, so an error marks its own batch only.
 
     ``tasks`` is the number of parallel callers: annotators wait on a network, so the size of the prompts says
     nothing about it.
     """
 
     def ask(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def call(prompts: list[str]) -> list:
+            try:
+                given = list(annotator(prompts))
+                if len(given) != len(prompts):
+                    raise ValueError(f"{len(given)} answers to {len(prompts)} prompts")
+                return given
+            except Exception as error:  # the annotator is foreign code
+                return [error] if len(prompts) == 1 else [one for prompt in prompts for one in call([prompt])]
+
         for frame in frames:
-            answers, errors = [], []
-            for prompt in frame["prompt"]:
-                try:
-                    answers.append(annotator([prompt])[0])
-                    errors.append(None)
-                except Exception as error:  # the annotator is foreign code
-                    answers.append(None)
-                    errors.append(f"{type(error).__name__}: {error}")
+            given = call(frame["prompt"].tolist()) if len(frame) else []
+            failed = [isinstance(one, Exception) for one in given]
+            answers = [None if bad else one for one, bad in zip(given, failed)]
+            errors = [f"{type(one).__name__}: {one}" if bad else None for one, bad in zip(given, failed)]
             yield frame[["batch_id", "batch_size"]].assign(response=answers, error=errors)
 
     if tasks is not None:

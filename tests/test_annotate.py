@@ -38,7 +38,7 @@ def test_prompt_holds_reviews_and_contract(spark):
 
 def test_annotator_errors_mark_their_batch(spark):
     def annotator(prompts):
-        if "rev_000" in prompts[0]:
+        if any("rev_000" in prompt for prompt in prompts):
             raise TimeoutError("slow")
         return ["[]"] * len(prompts)
 
@@ -128,6 +128,20 @@ def test_appended_annotations_keep_the_newest(spark):
     assert [(r["review_id"], r["sentiment_label"]) for r in a.current_annotations(log).collect()] == [("r1", "negative")]
 
 
+def test_annotator_gets_batches_and_may_answer_with_errors(spark):
+    def annotator(prompts):
+        return [ValueError("odd") if "rev_010" in p else f"[] of {len(prompts)}" for p in prompts]
+
+    prompts = a.build_prompts(a.make_batches(a.annotation_queue(reviews(spark), limit=None))).coalesce(1)
+    rows = a.apply_annotator(prompts, annotator).orderBy("batch_id").collect()
+    assert [(r["response"], r["error"]) for r in rows] == [("[] of 3", None), (None, "ValueError: odd"), ("[] of 3", None)]
+
+
+@pytest.mark.parametrize("text", ['[{"review_id": "1"}] oops ]', '{"a": [{"review_id": "1"}]} and {"b": 2}', '[{"a": "1"}], [{"a": "2"}]', '[1], "x": 2', '{"a": [], "a": []}', '[]}', ""])
+def test_text_around_the_json_is_an_error(spark, text):
+    assert a.read_responses(answers(spark, text)).first()["error"] == "response is not JSON"
+
+
 def test_annotator_tasks(spark):
     prompts = a.build_prompts(a.make_batches(a.annotation_queue(reviews(spark), limit=None)))
     assert a.apply_annotator(prompts, lambda p: ["[]"] * len(p), tasks=3).count() == 3

@@ -138,6 +138,17 @@ def test_jdbc_options():
     assert jdbc.write_options("jdbc:x:y", "t", connections=4)["numPartitions"] == "4"
 
 
+def test_text_ranges_meet_every_row_once(spark):
+    values = spark.createDataFrame([(v,) for v in ("", "a", "b", "m'x", "m'y", "z", None)], "k string")
+    for bounds in (["b"], ["m'x", "b"], ["a", "a", "z"]):
+        parts = jdbc.text_ranges("k", bounds)
+        assert len(parts) == len(set(bounds)) + 1
+        assert sum(values.where(part).count() for part in parts) == 7
+    assert jdbc.text_ranges("k", []) == []
+    with pytest.raises(ValueError):
+        jdbc.read_jdbc(spark, "jdbc:x:y", "t", partitioning=jdbc.Partitioning("i", 0, 1, 2), predicates=["1 = 1"])
+
+
 def test_layers(spark):
     tables.create_layers(spark)
     assert {"bronze", "silver", "gold", "ml", "monitoring"} <= {d.name for d in spark.catalog.listDatabases()}
