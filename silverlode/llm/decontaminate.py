@@ -53,8 +53,9 @@ def _slot_table(hashes: DataFrame) -> bytes:
 
 
 def _maybe(hashed: Column, table: Column) -> Column:
-    hits = [F.substring(table, _slot(hashed, p) + 1, F.lit(1)) == F.lit(b"\x01") for p in range(PROBES)]
-    return hits[0] & hits[1] & hits[2]
+    # the table is named once, as it is written out wherever the plan is
+    slots = F.array(*[_slot(hashed, p) for p in range(PROBES)])
+    return F.forall(slots, lambda slot: F.substring(table, slot + 1, F.lit(1)) == F.lit(b"\x01"))
 
 
 def _blocks(mark: Column, radius: int) -> Column:

@@ -124,13 +124,10 @@ def fit(
         steps = (1 + np.sqrt(squares[at])) / rate + l2
         return np.where(np.abs(pull) > l1, (np.sign(pull) * l1 - pull) / steps, 0.0)
 
-    vectors = {}
     for _ in range(epochs):
         for r in learn:
             name, places, found = rows[r]
-            if r not in vectors:
-                vectors[r] = (np.append(places, BUCKETS), np.append(model.vector(places, found), 1.0))
-            at, values = vectors[r]
+            at, values = np.append(places, BUCKETS), np.append(model.vector(places, found), 1.0)
             weights = current(at)
             error = softmax(values @ weights)
             error[number[name]] -= 1
@@ -158,7 +155,7 @@ def sample(labelled: DataFrame, label: str, per_label: int, labels: int = 1000)
     return labelled.where(place < rate).limit(2 * per_label * max(1, len(sizes)))
 
 
-def train(labelled: DataFrame, per_language: int = 1000) -> Model:
+def train(labelled: DataFrame, per_language: int = 500) -> Model:
     """Train on ``labelled`` (``doc_id``, ``text``, ``lang``). Rows with a null language are left out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -166,17 +163,18 @@ def train(labelled: DataFrame, per_language: int = 1000) -> Model:
             for start in range(0, batch.num_rows, 256):
                 part = batch.slice(start, 256)
                 found = [ngram_counts(text.as_py()) for text in part.column(1)]
-                arrays = [part.column(0)] + [pa.array([f[k].tolist() for f in found], pa.list_(pa.int64())) for k in (0, 1)]
+                arrays = [part.column(0)] + [pa.array([f[k].tolist() for f in found], pa.list_(pa.int32())) for k in (0, 1)]
                 yield pa.RecordBatch.from_arrays(arrays, ["lang", "places", "found"])
 
     chosen = sample(labelled.where(F.col("lang").isNotNull()).select("doc_id", "text", "lang"), "lang", per_language)
     counted = chosen.select(F.col("lang").cast("string"), F.col("text").cast("string")).mapInArrow(
-        run, "lang string, places array<long>, found array<long>"
+        run, "lang string, places array<int>, found array<int>"
     )
     rows = []
     for batch in counted.toArrow().to_batches():
         for lang, places, found in zip(*batch.columns):
-            rows.append((lang.as_py(), np.array(places.values), np.array(found.values)))
+            # views of the received buffers, not copies
+            rows.append((lang.as_py(), places.values.to_numpy(), found.values.to_numpy()))
     rows.sort(key=lambda row: (row[0], len(row[1]), row[1].tobytes(), row[2].tobytes()))  # order of tasks must not matter
     return fit(rows)
 
