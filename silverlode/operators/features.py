@@ -6,6 +6,8 @@ the orders, so neither a busy order nor a busy customer ever sends its raw rows
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -205,12 +207,19 @@ def encode_categories(source: DataFrame, codes: dict[str, str], df: DataFrame |
     """Add to ``df`` (by default ``source``) the sorted code of each column of ``codes`` (column -> code name);
     NULL becomes -1.
 
-    The values come from ``source``, a written table. The join is left to adaptive execution, which knows how long the
-    list of values came out.
+    The values come from ``source``, a written table; the columns hold text. All columns are numbered in one go and the codes
+    of each start at its first number. The joins are left to adaptive execution, which knows how long the lists of values
+    came out.
     """
+    stacked = reduce(DataFrame.unionByName, [source.select(F.lit(c).alias("name"), F.col(c).alias("value")) for c in codes])
+    numbered = number_rows(stacked.where(F.col("value").isNotNull()).distinct(), ["name", "value"], "_n")
+    firsts = numbered.groupBy("name").agg(F.min("_n").alias("_first"))  # one row per column
+    listed = numbered.join(F.broadcast(firsts), "name")
     coded = source if df is None else df
     for column, code in codes.items():
-        coded = coded.join(category_codes(source, column, code), column, "left")
+        own = listed.where(F.col("name") == column)
+        own = own.select(F.col("value").alias(column), (F.col("_n") - F.col("_first")).cast("int").alias(code))
+        coded = coded.join(own, column, "left")
         coded = coded.withColumn(code, F.coalesce(code, F.lit(-1)))
     return coded
 
