@@ -1,10 +1,10 @@
 """Benchmark passages in documents: SimHash over item-sized windows, a multi-index over Hamming blocks, exact check.
 
 Everything here is DataFrame and SQL functions. A text is its words, lower-cased runs of letters and digits, and its
-shingles are five words each, hashed to 64 bits. A window is as many shingles of a document as an item has; windows
-are laid wherever a shingle of the document is also one of an item, so that the shingle falls on its first place in the
-item. A window without a common shingle cannot be similar, so none is lost. To find these places, a fixed-size bit table
-of all item shingles is tested inside each document row; what passes is joined with the item shingles themselves.
+shingles are five words each, hashed to 64 bits. A window is as many shingles of a document as an item has. A window can be
+similar only if enough of its shingles are also ones of items of that size; windows are laid at every start where
+that many are, so none is lost. To find these shingles, a fixed-size bit table of all item shingles is tested inside each
+document row; what passes is joined with the item shingles themselves.
 
 Each window and each item has a SimHash fingerprint: a bit is set when more than half of the shingles set it. Two
 fingerprints that differ in at most ``radius`` bits agree in at least one of ``radius + 1`` blocks whole, so an equi-join on
@@ -93,9 +93,7 @@ def find_leaks(
         ).withColumn("item_mark", F.expr(FINGERPRINT)),
         "items",
     )
-    item_shingles = wanted.select("item", "n", F.posexplode("part").alias("offset", "h"))
-    places = item_shingles.groupBy("item", "n", "h").agg(F.min("offset").alias("offset"))
-    places = places.select("h", "n", "offset").distinct()
+    item_shingles = wanted.select("n", F.explode("part").alias("h")).distinct()
 
     table = F.lit(_slot_table(item_shingles.select("h")))
     hashed = shingle_hashes(F.col("text"), docs, F.col(key).alias("key"))
@@ -113,10 +111,25 @@ def find_leaks(
         F.size("hashes").alias("have"),
         F.explode(F.transform("at", lambda i: F.struct(i.alias("pos"), F.get("hashes", i).alias("h")))).alias("seed"),
     )
-    first = F.greatest(F.lit(0), F.least(F.col("seed.pos") - F.col("offset"), F.col("have") - F.col("n")))
-    windows = (
-        seeds.join(places, F.col("seed.h") == places["h"]).select("row", first.alias("start"), "n").distinct()
+    # similarity s of sizes a and b takes s / (1 + s) * (a + b) common shingles
+    width = F.least("have", "n")
+    need = F.ceil(F.lit(similarity / (1 + similarity)) * (width + F.col("n")) - 1e-9).cast("int")
+    found = (
+        seeds.join(item_shingles, F.col("seed.h") == item_shingles["h"])
+        .groupBy("row", "have", "n")
+        .agg(F.sort_array(F.collect_list("seed.pos")).alias("found"))
+        .withColumn("need", F.greatest(F.lit(1), need))
+        .where(F.size("found") >= F.col("need"))
     )
+
+    def starts(i: Column) -> Column:
+        """Starts of the windows that hold the i-th of the found shingles and ``need`` of them from there on."""
+        low = F.greatest(F.lit(0), F.get("found", i + F.col("need") - 1) - F.col("n") + 1)
+        high = F.least(F.get("found", i), F.col("have") - width)
+        return F.when(low <= high, F.sequence(low, high)).otherwise(F.array().cast("array<int>"))
+
+    runs = F.transform(F.sequence(F.lit(0), F.size("found") - F.col("need")), starts)
+    windows = found.select("row", "n", F.explode(F.array_distinct(F.flatten(runs))).alias("start"))
     windows = windows.join(marked.select("row", "key", "hashes"), "row").select(
         "row", "key", "start", "n", F.slice("hashes", F.col("start") + 1, F.col("n")).alias("part")
     )

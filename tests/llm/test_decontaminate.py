@@ -69,6 +69,25 @@ def test_exact_and_near_passages(spark):
     assert got(decontaminate.find_leaks(left, right)) == want
 
 
+def test_windows_between_alignments(spark):
+    """Changed at both ends with words put in between, and two halves in turned order: no shingle is in its place."""
+    rng = random.Random(7)
+    words = [f"w{i}" for i in range(3000)]
+    items = [(i, " ".join(rng.choices(words, k=59))) for i in range(10)]
+    docs = []
+    for i, item in items:
+        passage = item.split()
+        passage[0], passage[-1] = "first", "last"
+        body = rng.choices(words, k=50)
+        docs.append((i, " ".join([*body, *passage[:30], "put", "between", *passage[30:], *body])))
+        passage = item.split()
+        docs.append((100 + i, " ".join([*body, *passage[25:], *passage[:25], *body])))
+    left, right = frames(spark, docs, items)
+    want = plain(docs, items)
+    assert len(want) == 20
+    assert got(decontaminate.find_leaks(left, right)) == want
+
+
 def test_edge_rows(spark):
     item = "one two three four five six seven"
     loop = "tick " * 30
