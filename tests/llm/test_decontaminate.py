@@ -88,6 +88,22 @@ def test_windows_between_alignments(spark):
     assert got(decontaminate.find_leaks(left, right)) == want
 
 
+def test_no_pair_just_similar_enough_is_lost(spark):
+    """Three words changed at either end of 59: similarity 0.803, fingerprints sometimes over 16 bits apart."""
+    rng = random.Random(8)
+    items = [(i, " ".join(f"w{rng.randrange(3000)}" for _ in range(59))) for i in range(10)]
+    docs = []
+    for d in range(2000):
+        passage = items[d % 10][1].split()
+        for at in (0, 1, 2, -3, -2, -1):
+            passage[at] = f"d{rng.randrange(10**6)}"
+        docs.append((d, " ".join(passage)))
+    left, right = frames(spark, docs, items)
+    found = decontaminate.find_leaks(left, right).collect()
+    assert len(found) == 2000 and all(r.item_id == r.doc_id % 10 for r in found)
+    assert max(r.differing_bits for r in found) > 16
+
+
 def test_edge_rows(spark):
     item = "one two three four five six seven"
     loop = "tick " * 30
