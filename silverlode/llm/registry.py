@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import brown, decontaminate, langid, packing, pii, quality, shards, simhash, tokens, vafile
+from . import brown, decontaminate, infill, langid, packing, pii, quality, shards, simhash, spelling, tokens, vafile
 from .common import held_out, read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -100,3 +100,51 @@ def op9_simhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+@query
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(read(spark, sf_dir, "documents"))
+
+
+@query
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = infill.transform(read(spark, sf_dir, "documents"))
+    restored = infill.restore(F.col("output"), F.col("form"))
+    return made.select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(restored, 256).alias("restored_sha256"),
+    )
+
+
+ORACLES["op13_fill_in_middle"] = r"""
+WITH texts AS (
+    SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS units,
+           sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS d
+    FROM documents
+), drawn AS (
+    SELECT doc_id, t, units, CAST(len(units) AS BIGINT) AS n, CAST('0x' || d[1:8] AS BIGINT) AS h1,
+           CAST('0x' || d[9:16] AS BIGINT) AS h2, CAST('0x' || d[17:24] AS BIGINT) AS h3, CAST('0x' || d[25:32] AS BIGINT) AS h4
+    FROM texts
+), cut AS (
+    SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS low, greatest(h1 % (n + 1), h2 % (n + 1)) AS high,
+           CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 100 THEN 'plain'
+                WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form
+    FROM drawn
+), pieces AS (
+    SELECT *, array_to_string(list_slice(units, 1, low), '') AS p, array_to_string(list_slice(units, low + 1, high), '') AS m,
+           array_to_string(list_slice(units, high + 1, n), '') AS s
+    FROM cut
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+                        ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM pieces
+"""
