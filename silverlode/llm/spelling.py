@@ -10,6 +10,9 @@ Under one pair stand the words that put any one letter between the same beginnin
 of the alphabet, and the word without that letter. A letter next to its like can be skipped at several places with one
 result; only the first place of such a run meets the shorter word, so every two neighbours meet once.
 
+Words are numbered by their rank, the most frequent first and equal counts in code-point order, so the best of some
+neighbours is the one of smallest rank.
+
 Where a noise rule is given, it spoils some occurrences on purpose, which gives the corpus known misspellings.
 """
 
@@ -24,12 +27,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.numbering import number_rows
 from ..functions.scratch import materialize
 
 # Fixed value: the letters of a word, A-Z lower-cased, as UTF-8 bytes.
 RUN = re.compile(rb"(?:[a-z]|\xc3[\x80-\xbf])+")
 HELD_WORDS = 100_000
 PIECE_BYTES = 1 << 20
+LONG_PART = 64
 
 
 def _runs(text: bytes) -> Counter:
@@ -96,61 +101,60 @@ def _numbered(strings: DataFrame, name: str, number: str) -> DataFrame:
     return materialize(strings.select(name).distinct().withColumn(number, F.monotonically_increasing_id()), f"{number}-nodes")
 
 
+def _short(part: Column) -> Column:
+    """A part of a word, or its length and SHA-256, so that the parts of a very long word do not fill a disk."""
+    digest = F.concat_ws(":", F.length(part).cast("string"), F.sha2(part, 256))
+    return F.when(F.length(part) > LONG_PART, digest).otherwise(part)
+
+
 def pair_dictionary(words: DataFrame) -> DataFrame:
-    """All pairs of node numbers of the words (columns ``word``, ``n``): ``beginning``, ``ending``, ``word``, ``n``,
+    """All pairs of node numbers of the words (columns ``word``, ``rank``): ``beginning``, ``ending``, ``rank``,
     ``skipped`` (a letter is left out between them) and ``first`` (the letter before it is another)."""
-    places = F.sequence(F.lit(0), F.length("word"))
-    cuts = words.select("word", "n", F.explode(places).alias("at")).select(
-        "word",
-        "n",
+    at, length = F.col("at"), F.length("word")
+    cuts = words.select("word", "rank", F.explode(F.sequence(F.lit(0), length)).alias("at")).select(
+        "rank",
         "at",
-        F.substring("word", F.lit(1), F.col("at")).alias("prefix"),
-        F.substring("word", F.col("at") + 1, F.length("word")).alias("suffix"),
+        _short(F.substring("word", F.lit(1), at)).alias("prefix"),
+        _short(F.substring("word", at + 1, length)).alias("suffix"),
+        ((at == 0) | (F.substring("word", at, F.lit(1)) != F.substring("word", at + 1, F.lit(1)))).alias("first"),
     )
     forward, backward = _numbered(cuts, "prefix", "beginning"), _numbered(cuts, "suffix", "ending")
     nodes = cuts.join(forward, "prefix").join(backward, "suffix")
-    of_word = nodes.groupBy("word", "n").agg(F.array_sort(F.collect_list(F.struct("at", "beginning", "ending"))).alias("nodes"))
+    node = F.struct("at", "beginning", "ending", "first")
+    of_word = nodes.groupBy("rank").agg(F.array_sort(F.collect_list(node)).alias("nodes"))
 
-    def skipped(node: Column, at: Column) -> Column:
-        letter = F.substring("word", at + 1, F.lit(1))
-        before = F.when(at > 0, F.substring("word", at, F.lit(1))).otherwise("")
-        ending = F.element_at("nodes", at + 2)["ending"]
-        return F.struct(node["beginning"].alias("beginning"), ending.alias("ending"), F.lit(True).alias("skipped"), (letter != before).alias("first"))
+    def cut(one: Column) -> Column:
+        return F.struct(one["beginning"].alias("beginning"), one["ending"].alias("ending"), F.lit(False).alias("skipped"), F.lit(True).alias("first"))
 
-    def cut(node: Column) -> Column:
-        return F.struct(node["beginning"].alias("beginning"), node["ending"].alias("ending"), F.lit(False).alias("skipped"), F.lit(True).alias("first"))
+    def skipping(one: Column, place: Column) -> Column:
+        ending = F.get("nodes", place + 1)["ending"]
+        return F.struct(one["beginning"].alias("beginning"), ending.alias("ending"), F.lit(True).alias("skipped"), one["first"].alias("first"))
 
-    inner = F.slice("nodes", F.lit(1), F.length("word"))
-    pairs = F.concat(F.transform("nodes", cut), F.transform(inner, skipped))
-    return of_word.select("word", "n", F.explode(pairs).alias("pair")).select("pair.*", "word", "n")
+    inner = F.slice("nodes", F.lit(1), F.size("nodes") - 1)
+    pairs = F.concat(F.transform("nodes", cut), F.transform(inner, skipping))
+    return of_word.select("rank", F.inline(pairs))
 
 
 def neighbours(words: DataFrame) -> DataFrame:
-    """``word``, ``n_near`` and the near word of largest ``n`` as ``best_n``, ``best``, for words that have any.
-
-    Under a pair the words are put in order of their count, so each finds its best neighbour at the front.
-    """
-    member = F.struct((-F.col("n")).alias("minus_n"), "word", "skipped", "first")
+    """``rank``, ``n_near`` and the smallest rank of a near word as ``best``, for words that have any."""
     met = (
         pair_dictionary(words)
         .groupBy("beginning", "ending")
         # at most one word for each letter of the alphabet and one without
-        .agg(F.count(F.lit(1)).alias("members"), F.array_sort(F.collect_list(member)).alias("found"))
+        .agg(F.count(F.lit(1)).alias("members"), F.array_sort(F.collect_list(F.struct("rank", "skipped", "first"))).alias("found"))
         .where("members > 1")
     )
 
     def near(one: Column, other: Column) -> Column:
-        replaced = one["skipped"] & other["skipped"] & (one["word"] != other["word"])
+        replaced = one["skipped"] & other["skipped"] & (one["rank"] != other["rank"])
         return replaced | ((one["skipped"] != other["skipped"]) & one["first"] & other["first"])
 
-    others = F.transform("found", lambda one: F.struct(one["word"].alias("word"), F.filter("found", lambda other: near(one, other)).alias("near")))
-    each = met.select(F.inline(others)).where(F.size("near") > 0)
-    best = F.struct(F.element_at("near", 1)["minus_n"].alias("minus_n"), F.element_at("near", 1)["word"].alias("word"))
-    return (
-        each.groupBy("word")
-        .agg(F.sum(F.size("near")).cast("long").alias("n_near"), F.min(best).alias("best"))
-        .select("word", "n_near", (-F.col("best.minus_n")).alias("best_n"), F.col("best.word").alias("best"))
-    )
+    def with_others(one: Column) -> Column:
+        return F.struct(one["rank"].alias("rank"), F.filter("found", lambda other: near(one, other)).alias("near"))
+
+    each = met.select(F.inline(F.transform("found", with_others))).where(F.size("near") > 0)
+    count = F.sum(F.size("near")).cast("long")
+    return each.groupBy("rank").agg(count.alias("n_near"), F.min(F.element_at("near", 1)["rank"]).alias("best"))
 
 
 def roots(forms: DataFrame) -> DataFrame:
@@ -179,13 +183,15 @@ def variants(docs: DataFrame, ratio: int = 5, spoil_one_in: int | None = 199, le
     """
     if ratio < 2:
         raise ValueError("a form must be more frequent than its word, or chains of forms might be loops")
-    words = materialize(word_counts(docs, spoil_one_in, least_letters, least_times), "words")
+    counts = word_counts(docs, spoil_one_in, least_letters, least_times).withColumn("minus_n", -F.col("n"))
+    words = materialize(number_rows(counts, ["minus_n", "word"], "rank").drop("minus_n"), "words")
+    best = words.select(F.col("rank").alias("best"), F.col("word").alias("best_word"), F.col("n").alias("best_n"))
     formed = F.col("best_n") >= ratio * F.col("n")
-    judged = words.join(neighbours(words), "word", "left").select(
+    judged = words.join(neighbours(words), "rank", "left").join(best, "best", "left").select(
         "word",
         "n",
         F.coalesce("n_near", F.lit(0).cast("long")).alias("n_near"),
-        F.when(formed, F.col("best")).alias("form"),
+        F.when(formed, F.col("best_word")).alias("form"),
         F.when(formed, F.col("best_n")).alias("form_n"),
     )
     judged = materialize(judged, "judged-words")

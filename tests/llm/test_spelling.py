@@ -108,6 +108,14 @@ def test_all_words_of_one_pattern(frame):
     assert set(near.values()) == {len(words) - 1} and len(near) == len(words)
 
 
+def test_a_very_long_word(frame):
+    long = "abcdefghij" * 400
+    words = [long, long[:1500] + long[1501:], long[:-1], long + "a", long[:2000] + "é" + long[2001:]]
+    docs = frame([(i, " ".join([w] * (5 + 30 * (i == 0)))) for i, w in enumerate(words)], "doc_id long, text string")
+    got = {tuple(r) for r in spelling.variants(docs, spoil_one_in=None).select("word", "form", "root", "n", "n_near", "form_n").collect()}
+    assert got == plain_variants({w: 5 + 30 * (w == long) for w in words})
+
+
 def test_an_empty_table(frame):
     empty = frame([], "doc_id long, text string")
     assert spelling.variants(empty).collect() == []
