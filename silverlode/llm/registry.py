@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import brown, decontaminate, infill, langid, packing, pii, quality, shards, simhash, spelling, tokens, vafile
+from . import brown, decontaminate, infill, langid, minmax, packing, pii, quality, shards, simhash, spelling, tokens, vafile
 from .common import held_out, read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -102,6 +102,11 @@ def op10_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+@query
+def op11_min_max_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minmax.near_duplicates(read(spark, sf_dir, "documents"))
+
+
 @query
 def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(read(spark, sf_dir, "documents"))
