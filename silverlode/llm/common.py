@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.scratch import scratch_path, scratch_scope
+
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
@@ -19,3 +23,13 @@ def batches_of(columns, rows: int):
     """Cut parallel Arrow columns into slices of at most ``rows`` rows."""
     for start in range(0, len(columns[0]), rows):
         yield [c.slice(start, rows) for c in columns]
+
+
+def write_and_free(spark: SparkSession, make: Callable[[], DataFrame], label: str) -> DataFrame:
+    """The result of ``make`` as a written table; what was materialised to make it is deleted."""
+    path = scratch_path(spark, label)
+    with scratch_scope(spark):
+        result = make()
+        schema = result.schema
+        result.write.parquet(path)
+    return spark.read.schema(schema).parquet(path)

@@ -69,13 +69,13 @@ def band_keys(values: np.ndarray, band: int) -> np.ndarray:
     return keys.view(np.int64)
 
 
-def _texts(docs: DataFrame) -> DataFrame:
+def with_hashes(docs: DataFrame) -> DataFrame:
     """``doc_id``, the text as bytes and its hash, by which it is found again."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     return docs.select(F.col("doc_id").cast("long"), text.cast("binary").alias("text"), F.xxhash64(text).alias("text_hash"))
 
 
-def _signed(texts: DataFrame, words_per_shingle: int, band: int, bands: int) -> DataFrame:
+def signatures(texts: DataFrame, words_per_shingle: int, band: int, bands: int) -> DataFrame:
     """``doc_id``, ``text_hash``, ``n`` (size of the set), ``same`` (equal for equal sets), ``bands``.
 
     A task leaves out the bands of a set it has met before.
@@ -127,6 +127,37 @@ def _sets(texts: DataFrame, classes: DataFrame, words_per_shingle: int) -> DataF
     return classes.select("id", "same").join(made, "same").select("id", "hashes")
 
 
+def classes_of(signed: DataFrame) -> DataFrame:
+    """One row per different set: ``id``, ``same``, ``own`` (smallest doc_id, null last), ``weight``, ``text_hash``, ``bands``."""
+    classes = signed.groupBy("same").agg(
+        F.min(F.coalesce("doc_id", F.lit(2**63 - 1))).alias("own"),
+        F.max("n").alias("weight"),
+        F.min("text_hash").alias("text_hash"),
+        F.first("bands", ignorenulls=True).alias("bands"),
+    )
+    return classes.withColumn("id", F.monotonically_increasing_id())
+
+
+def components_of(
+    texts: DataFrame, classes: DataFrame, similarity: tuple[int, int], words_per_shingle: int, first: DataFrame | None = None
+) -> DataFrame:
+    """``id``, ``same``, ``own`` and the ``smallest`` own that links of similar sets lead to, for every class (a written table).
+
+    ``first`` has (block, id), one row an id at most: the blocks to look at first; by default the fullest band of each.
+    """
+    banded = classes.select("id", F.explode("bands").alias("block"))
+    shared = banded.groupBy("block").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
+    blocks = materialize(banded.join(shared, "block"), "blocks")
+    if first is None:
+        first = blocks.groupBy("id").agg(F.max(F.struct("members", "block")).alias("b")).select("b.block", "id")
+    met = blocks.select("id").union(first.select("id")).distinct()
+    hashes = materialize(_sets(texts, classes.join(met, "id", "left_semi"), words_per_shingle), "shingle-sets")
+    joined = linking.groups(classes.select("id", "weight"), first, blocks.select("block", "id"), hashes, similarity)
+    labelled = materialize(classes.select("id", "same", "own").join(joined, "id"), "labelled-classes")
+    smallest = labelled.groupBy("label").agg(F.min("own").alias("smallest"))
+    return labelled.join(smallest, "label").select("id", "same", "own", "smallest")
+
+
 def near_duplicates(
     docs: DataFrame, similarity: tuple[int, int] = (85, 100), words_per_shingle: int = 5, band: int = BAND, bands: int = BANDS
 ) -> DataFrame:
@@ -139,28 +170,11 @@ def near_duplicates(
     are its members without one. Other columns are ignored. An empty table gives an empty result.
     """
     last = 2**63 - 1  # stands for "no id" while labels are compared
-    texts = _texts(docs)
-    signed = materialize(_signed(texts, words_per_shingle, band, bands), "signatures")
-    classes = signed.where("n > 0").groupBy("same").agg(
-        F.min(F.coalesce("doc_id", F.lit(last))).alias("own"),
-        F.max("n").alias("weight"),
-        F.min("text_hash").alias("text_hash"),
-        F.first("bands", ignorenulls=True).alias("bands"),
-    )
-    classes = materialize(classes.withColumn("id", F.monotonically_increasing_id()), "classes")
-
-    banded = classes.select("id", F.explode("bands").alias("block"))
-    shared = banded.groupBy("block").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
-    blocks = materialize(banded.join(shared, "block"), "blocks")
-    fullest = blocks.groupBy("id").agg(F.max(F.struct("members", "block")).alias("b")).select("b.block", "id")
-    met = classes.join(blocks.select("id").distinct(), "id", "left_semi")
-    hashes = materialize(_sets(texts, met, words_per_shingle), "shingle-sets")
-    joined = linking.groups(classes.select("id", "weight"), fullest, blocks.select("block", "id"), hashes, similarity)
-    labelled = materialize(classes.select("id", "same", "own").join(joined, "id"), "labelled-classes")
-    smallest = labelled.groupBy("label").agg(F.min("own").alias("smallest"))
-    components = labelled.join(smallest, "label").select("same", "smallest")
-
-    answered = signed.select("doc_id", "n", "same").join(components, "same", "left")
+    texts = with_hashes(docs)
+    signed = materialize(signatures(texts, words_per_shingle, band, bands), "signatures")
+    classes = materialize(classes_of(signed.where("n > 0")), "classes")
+    smallest = components_of(texts, classes, similarity, words_per_shingle).select("same", "smallest")
+    answered = signed.select("doc_id", "n", "same").join(smallest, "same", "left")
     component = F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.nullif(F.col("smallest"), F.lit(last)))
     return answered.select(
         "doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept")

@@ -6,8 +6,8 @@ import pytest
 import corpus_pipeline as pipeline
 from silverlode.llm import pii, simhash
 from test_decontaminate import plain as plain_leaks
+from test_overlap import plain as plain_groups
 from test_packing import check_rows
-from test_simhash import plain_groups
 
 SMALL = "/root/testdata/sf0.001"
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -45,8 +45,7 @@ def test_language_keeps_what_has_a_language(stages):
 
 def test_one_of_each_group_stays(stages):
     before = rows(stages[1])
-    groups = plain_groups([(d, r.text) for d, r in before.items()])
-    assert set(rows(stages[2])) == {component for _, _, component in groups}
+    assert set(rows(stages[2])) == set(plain_groups([(d, r.text) for d, r in before.items()]).values())
 
 
 def test_leaks_go(spark, stages):
@@ -93,3 +92,16 @@ def test_odd_rows_do_not_break_a_stage(spark):
     assert len([r for r in kept if not (r.text or "").split()]) == 1
     known = pipeline.identify_language(spark, docs, SMALL).collect()
     assert all(r.text and any(c.isalpha() for c in r.text) for r in known) and sum(r.text == copy for r in known) == 4
+
+
+def test_of_repeated_rows_the_same_one_stays_and_names_may_clash(spark):
+    rng = random.Random(2)
+    texts = [" ".join(rng.choices("abcdefghijklmnop", k=40)) for _ in range(6)]
+    rows = [(i, t, "en", source, 1, i, t, True) for i, t in enumerate(texts) for source in ("b", "a", "c")]
+    names = "doc_id long, text string, lang string, source string, key long, component long, doc string, answer boolean"
+    docs = spark.createDataFrame(rows, names).repartition(7)
+    for name, stage in pipeline.STAGES[:-1]:
+        assert stage(spark, docs, SMALL).columns == docs.columns, name
+    for order in (docs, docs.orderBy("source")):
+        kept = pipeline.drop_near_duplicates(spark, order, SMALL).collect()
+        assert sorted((r.doc_id, r.source) for r in kept) == [(i, "a") for i in range(6)]
