@@ -94,6 +94,28 @@ def softmax(logits: np.ndarray) -> np.ndarray:
     return raised / raised.sum(axis=-1, keepdims=True)
 
 
+def best_temperature(logits: np.ndarray, truth: np.ndarray) -> float:
+    """The temperature of least cross entropy.
+
+    As if one more text had each language at even chances, the target of a text's own language is a little below 1: where
+    all texts are right, ever lower temperatures would otherwise win, and scores would claim what so few texts cannot show.
+    """
+    share = 1 / (len(truth) + 2)
+    target = np.full(logits.shape, share / max(1, logits.shape[1] - 1))
+    target[np.arange(len(truth)), truth] = 1 - share
+
+    def loss(log_t: float) -> float:
+        scaled = logits / np.exp(log_t)
+        scaled = scaled - scaled.max(axis=1, keepdims=True)
+        return -(target * (scaled - np.log(np.exp(scaled).sum(axis=1, keepdims=True)))).sum(axis=1).mean()
+
+    low, high = -8.0, 8.0
+    for _ in range(100):  # the loss is convex in 1 / temperature, so it has one valley
+        a, b = low + (high - low) / 3, high - (high - low) / 3
+        low, high = (low, b) if loss(a) <= loss(b) else (a, high)
+    return float(np.exp((low + high) / 2))
+
+
 def fit(
     rows: list[tuple[str, np.ndarray, np.ndarray]],
     epochs: int = 3,
@@ -139,23 +161,29 @@ def fit(
     if len(check):
         logits = np.array([model.logits(*rows[r][1:]) for r in check])
         truth = np.array([number[rows[r][0]] for r in check])
-        tried = np.exp(np.linspace(np.log(0.02), np.log(20), 200))
-        losses = [-np.log(softmax(logits / t)[np.arange(len(truth)), truth] + 1e-12).mean() for t in tried]
-        model.temperature = float(tried[int(np.argmin(losses))])
+        model.temperature = best_temperature(logits, truth)
     return model
 
 
 def sample(labelled: DataFrame, label: str, per_label: int, labels: int = 1000) -> DataFrame:
-    """About ``per_label`` rows of each label, by a hash of ``doc_id``; never above twice that for all labels together."""
-    sizes = {r[0]: r[1] for r in labelled.groupBy(label).count().orderBy(F.desc("count"), label).limit(labels).collect()}
+    """About ``per_label`` rows of each label, by a hash of ``doc_id``; never above twice that for all labels together.
+
+    More than ``labels`` different labels are refused, as a model of so many has another size than was planned for.
+    """
+    sizes = {r[0]: r[1] for r in labelled.groupBy(label).count().orderBy(F.desc("count"), label).limit(labels + 1).collect()}
+    if len(sizes) > labels:
+        raise ValueError(f"more than {labels} different values of {label}")
     rate = F.lit(0.0)
     for name, count in sizes.items():
         rate = F.when(F.col(label) == name, min(1.0, per_label / count)).otherwise(rate)
     place = F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit(5)), F.lit(1 << 40)) / float(1 << 40)
-    return labelled.where(place < rate).limit(2 * per_label * max(1, len(sizes)))
+    chosen = labelled.where(place < rate)
+    # rows of one hash, such as repeated ones, could still be too many: then the first by hash and content
+    most = 2 * per_label * max(1, len(sizes))
+    return chosen.orderBy(place, "doc_id", F.xxhash64(*[F.col(name) for name in labelled.columns])).limit(most)
 
 
-def train(labelled: DataFrame, per_language: int = 500) -> Model:
+def train(labelled: DataFrame, per_language: int = 1000) -> Model:
     """Train on ``labelled`` (``doc_id``, ``text``, ``lang``). Rows with a null language are left out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

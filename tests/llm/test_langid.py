@@ -65,3 +65,38 @@ def test_query_held_out_accuracy(spark, folder):
     assert out.count() == docs.count()
     right = out.join(docs, "doc_id").where("held_out").agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("int"))).first()[0]
     assert right > 0.97
+
+
+def test_temperature_follows_the_answers():
+    rng = np.random.default_rng(2)
+    truth = rng.integers(0, 3, 4000)
+    logits = rng.normal(size=(4000, 3))
+    for temperature in (0.5, 1.0, 4.0):
+        chances = langid.softmax(logits / temperature)
+        drawn = (chances.cumsum(axis=1) < rng.random((4000, 1))).sum(axis=1)
+        assert abs(np.log(langid.best_temperature(logits, drawn) / temperature)) < 0.25
+    sure = np.eye(3)[truth] * 5  # no mistake among them
+    found = langid.best_temperature(sure, truth)
+    assert 0.1 < found < 5 and langid.softmax(sure / found).max() < 1 - 1e-5
+    assert langid.best_temperature(sure[:10], truth[:10]) > found  # fewer texts can show less
+
+
+def test_held_out_scores_are_calibrated(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    answers = QUERIES["op7_language_id"](spark, "/root/testdata/sf0.1").where("held_out").join(docs.select("doc_id", "lang"), "doc_id")
+    rows = [(r.score, r.lang == r.lang_pred) for r in answers.where("lang IS NOT NULL AND lang_pred <> 'und'").select("score", "lang", "lang_pred").collect()]
+    scores, right = np.array([s for s, _ in rows]), np.array([r for _, r in rows])
+    assert right.mean() > 0.99 and abs(scores.mean() - right.mean()) < 0.02
+    assert np.quantile(scores, 0.01) < 0.999
+
+
+def test_too_many_labels_are_refused(frame):
+    docs = frame([(i, f"text {i}", f"l{i}") for i in range(30)], "doc_id long, text string, lang string")
+    with pytest.raises(ValueError):
+        langid.sample(docs, "lang", 5, labels=20)
+
+
+def test_the_same_rows_teach_however_they_are_dealt(frame):
+    docs = frame([(1, f"text {i}", "en") for i in range(300)], "doc_id long, text string, lang string")
+    chosen = [sorted(r.text for r in langid.sample(docs.repartition(n), "lang", 10).collect()) for n in (1, 7)]
+    assert chosen[0] == chosen[1]

@@ -105,3 +105,13 @@ def test_of_repeated_rows_the_same_one_stays_and_names_may_clash(spark):
     for order in (docs, docs.orderBy("source")):
         kept = pipeline.drop_near_duplicates(spark, order, SMALL).collect()
         assert sorted((r.doc_id, r.source) for r in kept) == [(i, "a") for i in range(6)]
+
+
+def test_junk_of_letters_has_no_language(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    junk = ["xqzj kjw vbnm qwpx zzk jjq", "zzzzzz kkkk", "asdf jkl qwer uiop", "lkjh gfds mnbv poiu ytre wqas", "日本語のテキスト"]
+    junk_rows = spark.createDataFrame([(10**9 + i, text, None, "s", len(text)) for i, text in enumerate(junk)], SCHEMA)
+    kept = pipeline.identify_language(spark, docs.unionByName(junk_rows), SMALL)
+    assert kept.where(f"doc_id >= {10**9}").isEmpty()
+    before = docs.where("text RLIKE '(?U)[[:alpha:]]{3,}' AND length(text) > 200").count()
+    assert kept.where("length(text) > 200").count() >= 0.995 * before
