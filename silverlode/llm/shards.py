@@ -3,7 +3,7 @@
 Records are ordered by the checksum of their text, then by id, so that equal texts stand together. A sample of keys,
 drawn with chances in proportion to record size, gives the quantile boundaries of many more ranges than shards. The
 bytes of each range are then summed exactly; a range found overfull is subdivided by a denser sample of its own
-records, which also cuts a text with very many copies into runs of ids. Running sums inside the ranges, moved by
+records, which also cuts a text with very many copies into runs of ids, and of rows where ids repeat. Running sums inside the ranges, moved by
 the exact sums before each range, give every record its place on the line of all bytes, and the shard is the part of
 the line it lies in. The sample only decides how work is dealt: sums, shards and slots are exact.
 """
@@ -23,66 +23,55 @@ OVERHEAD = 16
 DRAWS_PER_RANGE = 8
 LEAST = -(2**63)
 
-Key = tuple[int, int]
+# checksum of the text, id, stored number of the row: no two rows are equal in all three
+Key = tuple[int, int, int]
 
 
 def _in_range(rows: DataFrame, splitters: list[Key]) -> DataFrame:
     """``rows`` with column ``range``: how many splitters are not above the key."""
-    sums = np.array([a for a, _ in splitters], dtype=np.int64)
-    ids = np.array([b for _, b in splitters], dtype=np.int64)
+    edges = np.array(splitters, dtype=np.int64).reshape(-1, 3)
     names = rows.columns
-    crc_at, id_at = names.index("text_crc32"), names.index("place")
+    key_at = [names.index(name) for name in ("text_crc32", "place", "row")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            crc = batch.column(crc_at).to_numpy(zero_copy_only=False)
-            place = batch.column(id_at).to_numpy(zero_copy_only=False)
-            first, last = np.searchsorted(sums, crc, "left"), np.searchsorted(sums, crc, "right")
-            found = first.copy()
-            shared = np.flatnonzero(first != last)  # the splitters of this checksum are told apart by id
-            for at in np.unique(first[shared]):
-                rows_at = shared[first[shared] == at]
-                own = ids[at : last[rows_at[0]]]
-                found[rows_at] = at + np.searchsorted(own, place[rows_at], "right")
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found.astype(np.int32))], [*names, "range"])
+            keys = [np.concatenate([edges[:, k], batch.column(at).to_numpy()]) for k, at in enumerate(key_at)]
+            is_row = np.arange(len(keys[0])) >= len(edges)
+            order = np.lexsort((is_row, *keys[::-1]))  # a splitter comes before a row of its key
+            below = np.empty(len(order), dtype=np.int32)
+            below[order] = np.cumsum(~is_row[order])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(below[len(edges) :])], [*names, "range"])
 
     fields = ", ".join(f"{name} {kind}" for name, kind in rows.dtypes)
     return rows.mapInArrow(run, f"{fields}, range int")
 
 
-def _boundaries(drawn: list[Key], step: int, whole_texts: bool) -> set[Key]:
-    """Every ``step``-th of the drawn keys. A boundary goes before all copies of its text unless those fill a range."""
-    chosen = sorted(drawn)[step::step]
-    texts = [crc for crc, _ in chosen]
-    often = set() if whole_texts else {crc for crc in texts if texts.count(crc) > 1}
-    return {(crc, place if crc in often else LEAST) for crc, place in chosen}
+def split_ranges(rows: DataFrame, total: int, ranges: int, large: set[int], seed: int = 7) -> tuple[DataFrame, dict]:
+    """``rows`` with their range, and bytes per range. About ``DRAWS_PER_RANGE * ranges`` keys reach the driver.
 
+    Only texts whose checksum is in ``large`` have boundaries inside; before all others a boundary goes in front of all copies.
+    Overfull ranges are cut again until none is left that a boundary can cut.
+    """
 
-def split_ranges(rows: DataFrame, total: int, ranges: int, rounds: int = 3, seed: int = 7) -> tuple[DataFrame, dict]:
-    """``rows`` with their range, and bytes per range. About ``DRAWS_PER_RANGE * ranges`` keys reach the driver."""
-
-    def draw(where, rate):
-        picked = rows.where(F.rand(seed) < rate) if where is None else where.where(F.rand(seed) < rate)
-        return [tuple(r) for r in picked.select("text_crc32", "place").collect()]
+    def draw(where: DataFrame, rate, step: int, nth: int) -> set[Key]:
+        picked = where.where(F.rand(seed + nth) < rate).select("text_crc32", "place", "row").collect()
+        chosen = sorted(tuple(r) for r in picked)[step::step]
+        return {key if key[0] in large else (key[0], LEAST, LEAST) for key in chosen}
 
     chance = F.col("size") * (ranges * DRAWS_PER_RANGE / max(total, 1))
-    splitters = _boundaries(draw(None, chance), DRAWS_PER_RANGE, whole_texts=True)
+    splitters = draw(rows, chance, DRAWS_PER_RANGE, 0)
     full = max(2 * total // ranges, 1)
-    for _ in range(rounds):
+    nth = 0
+    while True:
         placed = _in_range(rows, sorted(splitters))
-        sizes = {r["range"]: r["bytes"] for r in placed.groupBy("range").agg(F.sum("size").alias("bytes")).collect()}
-        over = {k: n for k, n in sizes.items() if n > full}
-        if not over:
-            break
-        spread = placed.where(F.col("range").isin(list(over)))
-        finer = _boundaries(draw(spread, chance * 2), DRAWS_PER_RANGE, whole_texts=False) - splitters
+        held = placed.groupBy("range").agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("n"))
+        found = held.collect()  # as many rows as ranges
+        over = [r["range"] for r in found if r["bytes"] > full and r["n"] > 1]
+        nth += 1
+        finer = draw(placed.where(F.col("range").isin(over)), chance * 2, DRAWS_PER_RANGE, nth) - splitters if over else set()
         if not finer:
-            break
+            return placed, {r["range"]: r["bytes"] for r in found}
         splitters |= finer
-    else:
-        placed = _in_range(rows, sorted(splitters))
-        sizes = {r["range"]: r["bytes"] for r in placed.groupBy("range").agg(F.sum("size").alias("bytes")).collect()}
-    return placed, sizes
 
 
 def assign_shards(docs: DataFrame, shards: int = 40, ranges_per_shard: int = 64, keep_together: float = 0.02) -> DataFrame:
@@ -101,11 +90,16 @@ def assign_shards(docs: DataFrame, shards: int = 40, ranges_per_shard: int = 64,
             (F.coalesce(F.octet_length(text), F.lit(0)).cast("long") + OVERHEAD).alias("size"),
             F.crc32(F.coalesce(text, F.lit(""))).alias("text_crc32"),
             F.coalesce(F.col("doc_id").cast("long"), F.lit(LEAST)).alias("place"),
+            F.monotonically_increasing_id().alias("row"),
         ),
         "sizes",
     )
     total = rows.agg(F.sum("size")).first()[0] or 0
-    placed, sizes = split_ranges(rows, total, shards * ranges_per_shard)
+    most = keep_together * total / shards
+    # at most shards / keep_together of them
+    copies = rows.groupBy("text_crc32").agg(F.sum("size").alias("bytes")).where(F.col("bytes") > most)
+    large = {r[0] for r in copies.select("text_crc32").collect()}
+    placed, sizes = split_ranges(rows, total, shards * ranges_per_shard, large)
     spark = docs.sparkSession
     before, starts = 0, []
     for k in sorted(sizes):
@@ -113,7 +107,7 @@ def assign_shards(docs: DataFrame, shards: int = 40, ranges_per_shard: int = 64,
         before += sizes[k]
     starts = spark.createDataFrame(starts, "range int, before long")
 
-    in_order = Window.partitionBy("range").orderBy("text_crc32", "place", "size")
+    in_order = Window.partitionBy("range").orderBy("text_crc32", "place", "row")
     copies = Window.partitionBy("range", "text_crc32")
     summed = placed.select(
         "*",
@@ -122,7 +116,7 @@ def assign_shards(docs: DataFrame, shards: int = 40, ranges_per_shard: int = 64,
     ).select(
         "*", F.sum("size").over(copies).alias("group_size"), F.max("upto").over(copies).alias("group_upto")
     )
-    together = F.col("group_size") <= keep_together * total / shards
+    together = ~F.col("text_crc32").isin(list(large))  # such a group is whole in one range
     # the middle of the record, or of its group, on the line of all bytes; doubled to stay whole
     middle = F.col("before") * 2 + F.when(together, F.col("group_upto") * 2 - F.col("group_size")).otherwise(
         F.col("upto") * 2 - F.col("size")

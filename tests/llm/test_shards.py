@@ -52,7 +52,23 @@ def test_query(spark):
 def test_overfull_range_is_subdivided(spark):
     docs = [(i, "same") for i in range(4000)] + [(10000 + i, f"other {i}") for i in range(100)]
     rows = spark.createDataFrame(docs, "doc_id long, text string").selectExpr(
-        "doc_id", "20L AS size", "crc32(text) AS text_crc32", "doc_id AS place"
+        "doc_id", "20L AS size", "crc32(text) AS text_crc32", "doc_id AS place", "doc_id AS row"
     )
-    _, sizes = shards.split_ranges(rows, 20 * len(docs), 64)
+    _, sizes = shards.split_ranges(rows, 20 * len(docs), 64, {zlib.crc32(b"same")})
     assert max(sizes.values()) < 20 * len(docs) / 8
+
+
+def test_rows_that_repeat_text_and_id_are_cut(spark):
+    docs = [(None, "same")] * 3000 + [(7, "again")] * 3000 + [(i, f"other {i}") for i in range(100)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(6)
+    check(shards.assign_shards(df, shards=8, ranges_per_shard=16).collect(), docs, 8, 0.02)
+    rows = df.selectExpr("20L AS size", "crc32(text) AS text_crc32", "coalesce(doc_id, -1L) AS place", "monotonically_increasing_id() AS row")
+    rows = spark.createDataFrame(rows.collect(), rows.schema)  # fixes the numbers
+    _, sizes = shards.split_ranges(rows, 20 * len(docs), 64, {zlib.crc32(b"same"), zlib.crc32(b"again")})
+    assert max(sizes.values()) < 20 * len(docs) / 8
+
+
+def test_groups_near_the_limit_stay_whole(spark):
+    docs = [(i, f"text {i % 600} " + "word " * 18) for i in range(600 * 40)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    check(shards.assign_shards(df, shards=8, ranges_per_shard=64).collect(), docs, 8, 0.02)
