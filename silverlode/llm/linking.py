@@ -1,4 +1,4 @@
-"""Exact links between sets that meet in blocks, as spanning links instead of all pairs.
+"""Exact links between sets that meet in blocks, as spanning stars instead of all pairs.
 
 A block is a key under which similar sets meet: a band of a signature, a common shingle, a group of fingerprints. Every two
 sets of a block that are not joined yet are compared by all their hashes, inside the task that holds the block; pairs
@@ -105,6 +105,20 @@ def spanning_links(labels: np.ndarray, sets: list[np.ndarray], similarity: tuple
             return
 
 
+def stars(count: int, x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Links (member, smallest member) that join what the links (x, y) among ``count`` places join."""
+    root = np.arange(count)
+    while len(x):
+        a, b = root[x], root[y]
+        np.minimum.at(root, np.maximum(a, b), np.minimum(a, b))
+        while (root[root] != root).any():
+            root = root[root]
+        apart = root[x] != root[y]
+        x, y = x[apart], y[apart]
+    members = np.flatnonzero(root != np.arange(count))
+    return members, root[members]
+
+
 def _search(similarity: tuple[int, int]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows come sorted by task; the rows of a task may go over from one batch to the next."""
@@ -117,9 +131,10 @@ def _search(similarity: tuple[int, int]):
                 return
             ids, places = np.unique(ids, return_index=True)
             sets = [part.values.to_numpy() for batch in held for part in batch.column(3)]
-            for x, y in spanning_links(labels[places], [sets[place] for place in places], similarity):
-                if len(x):
-                    yield pa.RecordBatch.from_arrays([pa.array(ids[x]), pa.array(ids[y])], ["a", "b"])
+            found = list(spanning_links(labels[places], [sets[place] for place in places], similarity))
+            if any(len(x) for x, _ in found):
+                members, roots = stars(len(ids), *(np.concatenate(side) for side in zip(*found)))
+                yield pa.RecordBatch.from_arrays([pa.array(ids[members]), pa.array(ids[roots])], ["a", "b"])
 
         for batch in batches:
             if not batch.num_rows:
@@ -139,7 +154,7 @@ def _search(similarity: tuple[int, int]):
 
 
 def _searched(dealt: DataFrame, hashes: DataFrame, similarity: tuple[int, int]) -> DataFrame:
-    """Links (a, b) found in the tasks of ``dealt`` (task, id, label)."""
+    """Links (a, b) that join what similar sets of the tasks of ``dealt`` (task, id, label) join."""
     members = dealt.join(hashes, "id").select("task", "id", "label", "hashes")
     return materialize(members.repartition("task").sortWithinPartitions("task").mapInArrow(_search(similarity), "a long, b long"), "found")
 
@@ -221,7 +236,8 @@ def groups(ids: DataFrame, first: DataFrame, blocks: DataFrame, hashes: DataFram
     weights = ids.select("id", "weight")
     marks = ids.select(F.col("id").alias("mark"), F.col("id").alias("own"))
     near = _searched(_dealt_whole(first, weights), hashes, similarity)
-    labels = components(marks, near).select(F.col("mark").alias("id"), F.col("smallest").alias("label"))
+    labels = materialize(components(marks, near).select(F.col("mark").alias("id"), F.col("smallest").alias("label")), "near-labels")
     far = _searched(_dealt_apart(blocks, labels, weights), hashes, similarity)
-    joined = components(marks, near.unionByName(far))
+    # what the first round joined is a star now, which takes fewer rounds than its links
+    joined = components(marks, far.unionByName(labels.where("id <> label").select(F.col("id").alias("a"), F.col("label").alias("b"))))
     return joined.select(F.col("mark").alias("id"), F.col("smallest").alias("label"))
