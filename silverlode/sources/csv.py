@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import check_on_error
+from .csv_records import read_records
 from .tables import create_layers, layer, overwrite_table
 
 # Spellings read as NULL.
@@ -20,8 +21,8 @@ NA_SPELLINGS = (
 
 @dataclass(frozen=True)
 class CsvFile:
-    """A file and the columns that are not text. Only files with free text may hold line breaks inside quotes;
-    reading those keeps a file in one task, so the others stay splittable."""
+    """A file and the columns that are not text. Only files with free text may hold line breaks inside quotes; those are
+    gone over once more to find where records end."""
 
     name: str
     types: Mapping[str, str] = field(default_factory=dict)
@@ -52,17 +53,26 @@ CSV_FILES = {
 _LINE = "_whole_line"
 
 
-def _checked_lines(spark: SparkSession, path: str, line_breaks: bool) -> tuple[DataFrame, list[str]]:
+def _checked_lines(spark: SparkSession, path: str, line_breaks: bool, on_error: str = "fail") -> tuple[DataFrame, list[str]]:
     """All lines as text by the header, with the whole line in ``_LINE`` where it has a wrong number of fields.
 
     Every file must carry the columns of the first header, in its order; another header is an error.
     """
-    options = {"header": True, "multiLine": line_breaks, "quote": '"', "escape": '"'}
-    names = spark.read.csv(path, inferSchema=False, **options).columns
+    options = {"header": True, "quote": '"', "escape": '"'}
+    names = spark.read.csv(path, inferSchema=False, multiLine=line_breaks, **options).columns
     schema = ", ".join(f"`{name.replace('`', '``')}` STRING" for name in [*names, _LINE])
+    if line_breaks and names:
+        records = read_records(spark, path, "fail" if on_error == "fail" else "cut")
+        fields = {"quote": '"', "escape": '"', "multiLine": "true", "mode": "PERMISSIVE", "columnNameOfCorruptRecord": _LINE}
+        read = records.select("first", F.from_csv("record", F.lit(schema), fields).alias("line"))
+        found = F.array(*[F.col(f"line.`{name}`") for name in names])
+        other = F.concat(F.lit("CSV header is not that of the first file: "), F.array_join(found, ","))
+        is_header = F.when(F.col("first") & (found != F.array(*map(F.lit, names))), F.raise_error(other).cast("boolean"))
+        # the outcome of the check is part of the filter, so that no plan leaves it out
+        return read.where(~F.coalesce(is_header, F.col("first"))).select("line.*"), names
     # with pruned columns the reader would not count the fields of a line
     lines = spark.read.option("columnPruning", False).csv(
-        path, schema=schema, enforceSchema=False, mode="PERMISSIVE", columnNameOfCorruptRecord=_LINE, **options
+        path, schema=schema, enforceSchema=False, mode="PERMISSIVE", columnNameOfCorruptRecord=_LINE, multiLine=line_breaks, **options
     )
     return lines, names
 
@@ -75,7 +85,7 @@ def _surplus(names: list[str]) -> Column:
 
 def csv_rejects(spark: SparkSession, path: str, line_breaks: bool = True) -> DataFrame:
     """The lines ``read_csv`` refuses, as ``line``."""
-    lines, names = _checked_lines(spark, path, line_breaks)
+    lines, names = _checked_lines(spark, path, line_breaks, "null")
     # a scan must name another column besides the malformed line, so the first one is asked for what does not matter
     line = F.when(F.col(f"`{names[0]}`").isNull(), F.concat(_LINE, F.lit(""))).otherwise(F.col(_LINE))
     return lines.where(_surplus(names)).select(line.alias("line"))
@@ -92,9 +102,11 @@ def read_csv(
 
     Quotes are doubled inside quoted text. NA spellings become NULL in every column, as do fields a short line lacks. A
     line with more fields than the header raises; with ``on_error="null"`` it is left out and ``csv_rejects`` lists it.
+    With ``line_breaks`` quoted fields may hold them, large files are still read in many tasks (``csv_records``), and a field
+    open at the end of a file raises too; under ``"null"`` its record is cut.
     """
     check_on_error(on_error)
-    raw, names = _checked_lines(spark, path, line_breaks)
+    raw, names = _checked_lines(spark, path, line_breaks, on_error)
     refused = _surplus(names)
     if on_error == "fail":
         message = F.concat(F.lit("CSV line with more fields than the header: "), F.left(_LINE, F.lit(200)))
