@@ -81,8 +81,19 @@ def build_prompts(batches: DataFrame) -> DataFrame:
     return batches.select("batch_id", F.size("reviews").alias("batch_size"), prompt.alias("prompt"))
 
 
+def call_annotator(annotator: Annotator, prompts: list[str]) -> list:
+    """An answer or an exception for each prompt. When a call for several raises, they are asked one by one."""
+    try:
+        given = list(annotator(prompts))
+        if len(given) != len(prompts):
+            raise ValueError(f"{len(given)} answers to {len(prompts)} prompts")
+        return given
+    except Exception as error:  # the annotator is foreign code
+        return [error] if len(prompts) == 1 else [one for prompt in prompts for one in call_annotator(annotator, [prompt])]
+
+
 def apply_annotator(prompts: DataFrame, annotator: Annotator, tasks: int | None = None) -> DataFrame:
-    """Run the caller's function over the prompts, a whole Arrow batch to a call.
+    """Run the caller's function over the prompts, a whole Arrow batch to a call. Nothing is stored; see ``answers.ask``.
 
     It returns one answer, or one exception, per prompt. When a call for several prompts raises, they are asked one by
     one, so an error marks its own batch only.
@@ -92,17 +103,8 @@ def apply_annotator(prompts: DataFrame, annotator: Annotator, tasks: int | None
     """
 
     def ask(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        def call(prompts: list[str]) -> list:
-            try:
-                given = list(annotator(prompts))
-                if len(given) != len(prompts):
-                    raise ValueError(f"{len(given)} answers to {len(prompts)} prompts")
-                return given
-            except Exception as error:  # the annotator is foreign code
-                return [error] if len(prompts) == 1 else [one for prompt in prompts for one in call([prompt])]
-
         for frame in frames:
-            given = call(frame["prompt"].tolist()) if len(frame) else []
+            given = call_annotator(annotator, frame["prompt"].tolist()) if len(frame) else []
             failed = [isinstance(one, Exception) for one in given]
             answers = [None if bad else one for one, bad in zip(given, failed)]
             errors = [f"{type(one).__name__}: {one}" if bad else None for one, bad in zip(given, failed)]

@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 
 from ..functions.scratch import materialize, scratch_scope
-from ..operators import annotate, churn, features, gold, metrics, quality
+from ..operators import annotate, answers, churn, features, gold, metrics, quality
 from ..operators.silver import CLEANED_BY, SILVER_TABLES, cleaning_losses
 from ..sources.csv import load_all_csv, total_rows
 from ..sources.rates import append_rates, flatten_rates, read_payloads
@@ -105,16 +105,27 @@ def check_gold(spark: SparkSession) -> DataFrame:
     return results
 
 
+def answer_store(spark: SparkSession) -> str:
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/annotation_answers"
+
+
 def annotate_reviews(
-    spark: SparkSession, annotator: annotate.Annotator, limit: int | None = annotate.QUEUE_LIMIT, tasks: int | None = None
+    spark: SparkSession,
+    annotator: annotate.Annotator,
+    limit: int | None = annotate.QUEUE_LIMIT,
+    store: str | None = None,
+    pace: answers.Pace = answers.Pace(),
 ) -> DataFrame:
-    """Annotate waiting reviews, append the answers to the annotation table, return the run summary."""
+    """Annotate waiting reviews, append the answers to the annotation table, return the run summary.
+
+    Answers cost money: each is kept in ``store`` (by default beside the tables) as soon as its call ends, and is not asked for
+    again by a retry or another run.
+    """
     reviews = spark.table("silver.reviews")
     done = spark.table(ANNOTATIONS_TABLE) if spark.catalog.tableExists(ANNOTATIONS_TABLE) else None
     queue = annotate.annotation_queue(reviews, done, limit)
     prompts = annotate.build_prompts(annotate.make_batches(queue))
-    # Answers cost money: they are written, so no later step or retry calls the annotator again.
-    responses = materialize(annotate.apply_annotator(prompts, annotator, tasks), "responses")
+    responses = materialize(answers.ask(prompts, annotator, store or answer_store(spark), pace), "responses")
     parsed = annotate.parse_annotations(responses)
     known = annotate.last_per_review(parsed).join(reviews.select("review_id"), "review_id", "left_semi")
     annotate.append_annotations(known, ANNOTATIONS_TABLE)
@@ -131,7 +142,7 @@ def run_everything(
     annotator: annotate.Annotator | None = None,
     model_options: dict | None = None,
     annotation_limit: int | None = None,
-    annotation_tasks: int | None = None,
+    annotation_pace: answers.Pace = answers.Pace(),
     calendar: tuple[str, str] | None = None,
 ) -> DataFrame:
     """The whole batch run, one metrics row per stage, and the summary of its model.
@@ -143,14 +154,14 @@ def run_everything(
     with scratch_scope(spark):
         _run_stages(
             spark, run_id, csv_folder, payload_path, model_path, expected_orders, annotator, model_options or {},
-            annotation_limit, annotation_tasks, calendar,
+            annotation_limit, annotation_pace, calendar,
         )
     return metrics.model_summary(spark.table(metrics.METRICS_TABLE), run_id)
 
 
 def _run_stages(
     spark, run_id, csv_folder, payload_path, model_path, expected_orders, annotator, model_options,
-    annotation_limit, annotation_tasks, calendar,
+    annotation_limit, annotation_pace, calendar,
 ) -> None:
 
     with metrics.Stage(spark, run_id, "ingestion_csv") as stage:
@@ -186,7 +197,7 @@ def _run_stages(
         stage.extra.update({name: round(value, 4) for name, value in measured.items()})
     with metrics.Stage(spark, run_id, "restore_annotation_columns") as stage:
         if annotator is not None:
-            stage.rows = annotate_reviews(spark, annotator, annotation_limit, annotation_tasks).first()["annotations_saved"]
+            stage.rows = annotate_reviews(spark, annotator, annotation_limit, pace=annotation_pace).first()["annotations_saved"]
     with metrics.Stage(spark, run_id, "gold_layer") as stage:
         stage.rows = build_gold(spark, calendar=calendar)
         stage.extra["checks"] = quality.require_quality(check_gold(spark))

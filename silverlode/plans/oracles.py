@@ -633,6 +633,16 @@ def _prompt_sql() -> str:
 
 
 _oracle("annotation_prompts", _prompt_sql())
+_oracle(
+    "annotation_resumed",
+    f"""SELECT batch_id, batch_size, CAST(CASE WHEN prompt_md5 < '8' THEN 2 ELSE 1 END AS INTEGER) AS attempts, prompt_md5 >= '4' AS answered
+        FROM ({_prompt_sql()})""",
+)
+_oracle(
+    "annotation_dead_letters",
+    f"""SELECT batch_id, batch_size, CAST(2 AS INTEGER) AS attempts, 'RuntimeError: refused' AS error
+        FROM ({_prompt_sql()}) WHERE prompt_md5 < '4'""",
+)
 _oracle("annotation_results", "SELECT * FROM annotated")
 _oracle(
     "parsed_responses",

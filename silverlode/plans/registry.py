@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from ..functions.scratch import materialize, scratch_path, scratch_root
 from ..functions.selection import exact_median
-from ..operators import annotate, churn, features, gold, mapping, metrics, quality, silver
+from ..operators import annotate, answers, churn, features, gold, mapping, metrics, quality, silver
 from ..sources import adapters, csv, rates
 from ..sources.adapters import Tables
 from ..sources.tables import as_view, create_layers, describe_table, layer, overwrite_table, read_table, sample_rows
@@ -660,6 +660,41 @@ def annotation_results(t: Tables) -> DataFrame:
     return annotations(t)
 
 
+def moody_annotator(refused: str) -> annotate.Annotator:
+    """Answers with an empty list, but fails for prompts whose MD5 begins with a digit below ``refused``."""
+
+    def answer(prompts):
+        import hashlib
+
+        marks = [hashlib.md5(prompt.encode()).hexdigest() for prompt in prompts]
+        return [RuntimeError("refused") if mark < refused else "[]" for mark in marks]
+
+    return answer
+
+
+def asked_twice(t: Tables) -> tuple[DataFrame, DataFrame]:
+    """All prompts, and the store after a run in which half of them failed and one that asked again for those alone."""
+    prompts = materialize(annotate.build_prompts(annotate.make_batches(annotate.annotation_queue(reviews(t), limit=None))), "prompts")
+    store = scratch_path(t.spark, "answers")
+    for refused in ("8", "4"):
+        answers.ask(prompts, moody_annotator(refused), store, most_attempts=2, prompts_per_call=100)
+    return prompts, answers.read_answers(t.spark, store)
+
+
+@query
+def annotation_resumed(t: Tables) -> DataFrame:
+    """What each prompt was asked and answered in two runs over one store."""
+    prompts, stored = asked_twice(t)
+    state = answers.answer_state(stored).select("request", "attempts", F.col("response").isNotNull().alias("answered"))
+    return answers.with_requests(prompts).join(state, "request").select("batch_id", "batch_size", "attempts", "answered")
+
+
+@query
+def annotation_dead_letters(t: Tables) -> DataFrame:
+    """The prompts given up after both runs."""
+    return answers.dead_letters(*asked_twice(t), most_attempts=2)
+
+
 @query
 def parsed_responses(t: Tables) -> DataFrame:
     return annotate.parse_annotations(payload_responses(t)).drop("place", "item_error")
