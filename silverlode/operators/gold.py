@@ -175,8 +175,8 @@ def _matched_lines(
     reviews: DataFrame,
     single_review: bool = False,
     hot_options: dict | None = None,
-) -> DataFrame:
-    """Order lines with their order, once per review of the order.
+) -> tuple[DataFrame, DataFrame]:
+    """Order lines with their order, once per review of the order; and the orders found to be hot.
 
     Lines, orders and reviews meet on ``order_id``, so one shuffle of each serves both joins; an order holding
     very many lines or reviews is cut into pieces first.
@@ -197,7 +197,7 @@ def _matched_lines(
     hot = hot_keys(item_columns, None if single_review else review_columns, "order_id", **(hot_options or {}))
 
     joins = [(order_columns, "inner"), (review_columns, "left")]
-    return salted_join(item_columns, joins, "order_id", hot)
+    return salted_join(item_columns, joins, "order_id", hot), hot
 
 
 def _with_usd(lines: DataFrame, rates: DataFrame) -> DataFrame:
@@ -223,14 +223,17 @@ def order_lines(orders: DataFrame, items: DataFrame, reviews: DataFrame, rates:
 
     Options: ``single_review``, and ``hot_options`` for the search for hot orders (see ``hot_keys``).
     """
-    return _with_usd(_matched_lines(orders, items, reviews, **options), rates).select(*FACT_COLUMNS[1:])
+    return _with_usd(_matched_lines(orders, items, reviews, **options)[0], rates).select(*FACT_COLUMNS[1:])
 
 
 def fact_orders(orders: DataFrame, items: DataFrame, reviews: DataFrame, rates: DataFrame, **options) -> DataFrame:
     """``order_lines`` with the surrogate key ``fact_id`` = 1..n by order and line.
 
-    Rows are numbered before the derived amounts are added, which follow from columns already ordered by.
+    Rows are numbered before the derived amounts are added, which follow from columns already ordered by. The ranges they are
+    numbered in come from the keys of the order lines, so the joins run once; only where an order is hot, and its lines may be
+    repeated by very many reviews, are ranges found in the joined rows.
     """
-    lines = _matched_lines(orders, items, reviews, **options)
-    lines = number_rows(lines, ["order_id", "order_item_id"], "fact_id", LINE_COLUMNS)
+    lines, hot = _matched_lines(orders, items, reviews, **options)
+    keys = items.select("order_id", "order_item_id") if hot.isEmpty() else None
+    lines = number_rows(lines, ["order_id", "order_item_id"], "fact_id", LINE_COLUMNS, keys)
     return _with_usd(lines, rates).select(*FACT_COLUMNS)

@@ -1,4 +1,6 @@
 import datetime as dt
+import math
+import random
 import statistics
 
 import pytest
@@ -7,6 +9,7 @@ from hypothesis import strategies as st
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from silverlode.functions import selection
 from silverlode.functions.columns import elapsed_days, risk_tier
 from silverlode.functions.numbering import number_rows
 from silverlode.functions.scratch import drop_scratch, materialize, scratch_root, scratch_scope
@@ -42,6 +45,31 @@ def test_numbering_splits_exact_copies(spark):
     assert len(sizes) == 8 and max(sizes) <= 10_000
 
 
+@pytest.mark.parametrize("share", [0.0, 0.3, 1.0])
+def test_numbering_by_keys_from_elsewhere(spark, share):
+    rng = random.Random(3)
+    rows = [(rng.choice([None, "", "a", f"k{rng.randrange(300)}", "hot"]), rng.choice([None, 1, 2]), i % 7) for i in range(3000)]
+    df = spark.createDataFrame(rows, "k string, line int, v int").repartition(5)
+    keys = df.where(F.rand(1) < share).select("k", "line")
+    numbered = number_rows(df, ["k", "line"], "n", keys=keys)
+    expected = df.withColumn("n", F.row_number().over(Window.orderBy("k", "line", "v"))).select("n", *df.columns)
+    assert numbered.exceptAll(expected).count() == 0 and expected.exceptAll(numbered).count() == 0
+
+
+def test_numbering_by_keys_runs_its_input_once(spark):
+    """Without keys the rows are worked out for the ranges and again for the shuffle."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    base = spark.range(5000).selectExpr("id", "id % 17 AS v")
+    number_rows(base.mapInArrow(count, "id long, v long"), ["id"], "n", keys=base.select("id")).collect()
+    assert seen.value == 5000
+
+
 def test_numbering_of_nothing(frame):
     assert number_rows(frame([], "k string"), ["k"], "n").count() == 0
 
@@ -56,6 +84,29 @@ def test_exact_median(spark, values):
     assert row[0]["m"] == (pytest.approx(statistics.median(present)) if present else None)
 
 
+@pytest.mark.parametrize("kind", ["spread", "ties", "two values", "tail", "nan"])
+@pytest.mark.parametrize("n", [4000, 4001])
+def test_exact_median_by_narrowing(spark, monkeypatch, kind, n):
+    monkeypatch.setattr(selection, "FEW", 5)
+    rng = random.Random(n)
+    draw = {
+        "spread": rng.random,
+        "ties": lambda: rng.choice([0.25] * 9 + [rng.random()]),
+        "two values": lambda: rng.choice([1.0, 2.0]),
+        "tail": lambda: 10 ** rng.uniform(-300, 300),
+        "nan": lambda: math.nan if rng.random() < 0.3 else rng.uniform(-1, 1),
+    }[kind]
+    values = [draw() for _ in range(n)]
+    got = exact_median(spark.createDataFrame([(v,) for v in [*values, None]], "x double").repartition(3), "x", "m").first()["m"]
+    in_order = sorted(values, key=lambda x: (math.isnan(x), x))
+    assert got == (in_order[(n - 1) // 2] + in_order[n // 2]) / 2
+
+
+def test_the_median_has_no_window_over_all_rows(spark):
+    plan = exact_median(spark.range(100_000).selectExpr("cast(id % 1000 AS double) AS x"), "x", "m")._jdf.queryExecution().toString()
+    assert "Window" not in plan and "SinglePartition" not in plan
+
+
 @pytest.mark.parametrize("n, share, wanted", [(200, 0.2, 40), (7, 0.2, 1), (1, 0.2, 0), (2, 0.2, 0), (3, 0.2, 1)])
 def test_lowest_share_is_exact_per_class(spark, n, share, wanted):
     df = spark.range(2 * n).select(
