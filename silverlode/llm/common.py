@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -26,10 +27,16 @@ def batches_of(columns, rows: int):
 
 
 def write_and_free(spark: SparkSession, make: Callable[[], DataFrame], label: str) -> DataFrame:
-    """The result of ``make`` as a written table; what was materialised to make it is deleted."""
+    """The result of ``make`` as a written table; what was materialised to make it is deleted.
+
+    Spark deletes the shuffle files of a plan once the driver has collected it as garbage, so that is asked for, too.
+    """
     path = scratch_path(spark, label)
     with scratch_scope(spark):
         result = make()
         schema = result.schema
         result.write.parquet(path)
+    del result
+    gc.collect()
+    spark._jvm.System.gc()
     return spark.read.schema(schema).parquet(path)
