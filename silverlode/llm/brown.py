@@ -3,15 +3,17 @@
 A text is its words, A-Z lower-cased, and one end token; the end token of the text before is the context of the first word.
 The probability of a token is that of its class after the class before it, times that of the token in its class.
 
-Word counts cover the whole training text and stay a table, however many words there are. The exchange algorithm needs a
-bounded set of items to move between classes: each of the most frequent words is one, and all other words are pooled in
-items by the hash of their ending, so that rare and unknown words have a class as well. Item bigrams are counted over all
-training texts. A round of the exchange sums, for every item, how often each class comes before and after it (map
-tasks over the bigram table), and moves a third of the items to the class that raises the likelihood of the training
-text most; three rounds try every item once. The driver holds items times classes numbers, nothing that grows.
-
-Scoring reads each text once more. Counts of frequent words are at hand in every task (the head, bounded); the other
-words of a text leave the task as (text, word, times) and meet the table of counts in a join, which so has no hot key.
+Every word of the training text has a class of its own choice; only words never seen take that of their ending. Classes
+form in three steps. First the exchange algorithm moves a bounded set of items: the most frequent words, and all other
+words pooled by the hash of their ending. A round sums, for every item, how often each class comes before and after
+it, and moves a third of the items to the class that raises the likelihood of the training text most. Then every other
+frequent word (the head, bounded, at hand in every task) leaves its ending's class for the best one, and last every
+remaining word does; these stay a table, however many they are. Both steps group what stands next to a word under the
+word and choose inside the tasks, from the class pairs of the step before. Head moves that lower the likelihood together are
+undone. The driver holds items times classes numbers and the head, nothing that grows.
+
+Scoring reads each text once more. The words outside the head leave the task as (text, word, class before, class after,
+times), neighbours that are both outside it as a pair, and meet the table of words in joins, which so have no hot key.
 Every class keeps the mass of its words seen once for words never seen, so the probabilities after any context
 add up to 1.
 """
@@ -38,12 +40,14 @@ ITEM_WORDS = 8192
 ENDINGS = 2048
 ITEMS = 1 + ITEM_WORDS + ENDINGS
 HEAD_WORDS = 200_000
-HEAD_LENGTH = 64
+HEAD_BYTES = 64 * HEAD_WORDS
+HEAD_LENGTH = 1024
 ROUNDS = 9
 SHARE = 3
 TRANSITION_WEIGHT = 5.0
 UNSEEN = 0.5
 COUNTED = 400_000
+CHOSEN = 500  # words that choose together
 
 
 def words_of(raw: bytes | None) -> list[bytes]:
@@ -99,15 +103,17 @@ def count_words(texts: DataFrame) -> DataFrame:
 
 
 def head_of(counts: DataFrame, most: int = HEAD_WORDS) -> tuple[list[bytes], np.ndarray]:
-    """The words from a count on that at most ``most`` words reach, by falling count; the end token comes first."""
+    """The words from a count on that at most ``most`` words of bounded bytes reach, by falling count; the end token first."""
     level = F.floor(F.log2("n") * 8).cast("int")
-    short = counts.where((F.octet_length("word") <= HEAD_LENGTH) & (F.octet_length("word") > 0))
-    sizes = short.groupBy(level.alias("level")).agg(F.count(F.lit(1)).alias("words")).orderBy(F.desc("level")).collect()
-    least, total = None, 0
-    for row in sizes:
-        if total + row.words > most:
+    length = F.octet_length("word")
+    short = counts.where((length <= HEAD_LENGTH) & (length > 0))
+    sizes = short.groupBy(level.alias("level")).agg(F.count(F.lit(1)).alias("words"), F.sum(length).alias("bytes"))
+    least, total, size = None, 0, 0
+    for row in sizes.orderBy(F.desc("level")).collect():
+        total, size = total + row.words, size + row.bytes
+        if total > most or size > HEAD_BYTES:
             break
-        least, total = row.level, total + row.words
+        least = row.level
     ends = counts.where(F.octet_length("word") == 0).collect()
     rows = [] if least is None else short.where(level >= least).collect()
     rows = sorted(((r.word, r.n) for r in rows), key=lambda r: (-r[1], r[0]))
@@ -134,7 +140,13 @@ def count_pairs(texts: DataFrame, head: list[bytes]) -> DataFrame:
     def run(batches):
         codes, endings = Codes(shared.value), head_items(shared.value)
         held, size = [], 0
-        known = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+        known = none = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+
+        def rows():
+            for at in range(0, len(known[0]), 100_000):
+                pairs, times = known[0][at : at + 100_000].astype(np.int64), known[1][at : at + 100_000]
+                arrays = [pa.array(c) for c in (pairs // ITEMS, pairs % ITEMS, times)]
+                yield pa.RecordBatch.from_arrays(arrays, ["a", "b", "n"])
 
         def merged():
             sequence = np.concatenate([[0], *held])
@@ -148,12 +160,12 @@ def count_pairs(texts: DataFrame, head: list[bytes]) -> DataFrame:
             size += len(held[-2]) + 1
             if size > 2_000_000:
                 known, held, size = merged(), [], 0
+                if len(known[0]) > 10 * COUNTED:
+                    yield from rows()
+                    known = none
         if held:
             known = merged()
-        for at in range(0, len(known[0]), 100_000):
-            pairs, times = known[0][at : at + 100_000].astype(np.int64), known[1][at : at + 100_000]
-            arrays = [pa.array(c) for c in (pairs // ITEMS, pairs % ITEMS, times)]
-            yield pa.RecordBatch.from_arrays(arrays, ["a", "b", "n"])
+        yield from rows()
 
     return texts.mapInArrow(run, "a long, b long, n long").groupBy("a", "b").agg(F.sum("n").alias("n"))
 
@@ -257,6 +269,194 @@ def exchange(pairs: DataFrame, rounds: int = ROUNDS) -> tuple[np.ndarray, np.nda
     return classes, class_pairs(after, classes)
 
 
+# --- classes of all other words ---
+
+
+def best_classes(right: np.ndarray, left: np.ndarray, own: np.ndarray, pairs: np.ndarray) -> np.ndarray:
+    """The best class of each word, all others staying: how often each class follows it, how often each precedes it, its
+    class, and the class pairs that hold it there. A word moves only where that raises the likelihood."""
+    gain = np.zeros(right.shape)
+    for side, other, table in ((right, left, pairs.T), (left, right, pairs)):
+        word, near = np.nonzero(side)
+        if not len(word):
+            continue
+        n = side[word, near]
+        rest = table[near].astype(np.float64)  # pairs of ``near`` and each class, the word taken out
+        rest[np.arange(len(word)), own[word]] -= n
+        inside = near == own[word]
+        rest[inside] -= other[word[inside]]
+        rest = np.maximum(rest, 0)
+        first = np.flatnonzero(np.diff(word, prepend=-1))
+        gain[word[first]] += np.add.reduceat(_xlogx(rest + n[:, None]) - _xlogx(rest), first, axis=0)
+    total = right.sum(axis=1, keepdims=True)
+    for sizes in (pairs.sum(axis=0), pairs.sum(axis=1)):
+        rest = np.repeat(sizes[None].astype(np.float64), len(own), axis=0)
+        rest[np.arange(len(own)), own] -= total[:, 0]
+        rest = np.maximum(rest, 0)
+        gain -= _xlogx(rest + total) - _xlogx(rest)
+    gain[:, 0] = -np.inf
+    best = gain.argmax(axis=1)
+    places = np.arange(len(own))
+    return np.where(gain[places, best] > gain[places, own] + 1e-9, best, own)
+
+
+def _classes(found: np.ndarray, words: np.ndarray, items: np.ndarray) -> np.ndarray:
+    """Class of each code: that of the word of the head, or of the ending."""
+    return np.where(found < 0, items[np.maximum(-found, 0)], words[np.maximum(found, 0)])
+
+
+def _sides(size: int, word: np.ndarray, at: np.ndarray, n: np.ndarray) -> np.ndarray:
+    return np.bincount(word * CLASSES + at, n, minlength=size * CLASSES).reshape(size, CLASSES)
+
+
+def move_head(texts: DataFrame, head: list[bytes], words: np.ndarray, items: np.ndarray, pairs: np.ndarray) -> np.ndarray:
+    """Classes of the words of the head after each one that is no item of its own has moved to its best class."""
+    if len(head) <= ITEM_WORDS + 1:
+        return words
+    shared = texts.sparkSession.sparkContext.broadcast((head, words, items, pairs))
+
+    def count(batches):
+        head, words, items, _ = shared.value
+        codes = Codes(head)
+        held, size = [], 0
+
+        def rows():
+            found = np.concatenate([[0], *held])
+            classes = _classes(found, words, items)
+            after, before = np.flatnonzero(found[:-1] > ITEM_WORDS), 1 + np.flatnonzero(found[1:] > ITEM_WORDS)
+            keys = np.concatenate([found[after] * 2 * CLASSES + classes[after + 1], (found[before] * 2 + 1) * CLASSES + classes[before - 1]])
+            keys, times = np.unique(keys, return_counts=True)
+            arrays = [pa.array(c) for c in (keys // (2 * CLASSES), keys % (2 * CLASSES), times)]
+            return pa.RecordBatch.from_arrays(arrays, ["word", "at", "n"])
+
+        for raw in _texts(batches, 0):
+            found = [codes[word] for word in words_of(raw)]
+            held += [np.array(found, dtype=np.int64), [0]]
+            size += len(found) + 1
+            if size > 4_000_000:
+                yield rows()
+                held, size = [], 0
+        if held:
+            yield rows()
+
+    def choose(batches):
+        _, words, _, pairs = shared.value
+        for batch in batches:
+            for start in range(0, batch.num_rows, CHOSEN):
+                part = batch.slice(start, CHOSEN)
+                word = part.column(0).to_numpy()
+                lists = part.column(1)
+                of = np.repeat(np.arange(len(word)), lists.value_lengths().to_numpy())
+                at, n = (c.to_numpy() for c in lists.flatten().flatten())
+                after = at < CLASSES
+                right = _sides(len(word), of[after], at[after], n[after])
+                left = _sides(len(word), of[~after], at[~after] - CLASSES, n[~after])
+                best = best_classes(right, left, words[word], pairs)
+                yield pa.RecordBatch.from_arrays([pa.array(word), pa.array(best)], ["word", "class"])
+
+    cells = texts.mapInArrow(count, "word long, at long, n long").repartition("word").groupBy("word", "at").agg(F.sum("n").alias("n"))
+    grouped = cells.groupBy("word").agg(F.collect_list(F.struct("at", "n")).alias("cells"))  # at most 2 * CLASSES a word
+    out = words.copy()
+    for batch in grouped.mapInArrow(choose, "word long, class long").toArrow().to_batches():
+        out[batch.column(0).to_numpy()] = batch.column(1).to_numpy()
+    return out
+
+
+def count_tail(texts: DataFrame, head: list[bytes], words: np.ndarray, items: np.ndarray) -> DataFrame:
+    """What stands next to words outside the head: ``word``, ``other``, ``before``, ``after``, ``n``, summed per task.
+
+    Three kinds of rows: the word with the classes around it; the word and the ``other`` that follows it, both outside
+    the head; and, without a word, pairs of classes. A class from ``CLASSES`` on is that of the ending of a word outside the head.
+    """
+    shared = texts.sparkSession.sparkContext.broadcast((head, words, items))
+    names = ["word", "other", "before", "after", "n"]
+    kinds = [pa.binary(), pa.binary(), pa.int32(), pa.int32(), pa.int64()]
+
+    def run(batches):
+        head, word_classes, items = shared.value
+        codes = Codes(head)
+        pairs = np.zeros(4 * CLASSES * CLASSES, dtype=np.int64)
+        known: Counter[tuple] = Counter()
+
+        def rows():
+            columns = [*zip(*known)], list(known.values())
+            arrays = [pa.array(c, kind) for c, kind in zip([*columns[0], columns[1]], kinds)]
+            return pa.RecordBatch.from_arrays(arrays, names)
+
+        for raw in _texts(batches, 0):
+            words = words_of(raw)
+            found = np.array([0, *map(codes.__getitem__, words), 0], dtype=np.int64)
+            classes = _classes(found, word_classes, items) + CLASSES * (found < 0)
+            np.add.at(pairs, classes[:-1] * 2 * CLASSES + classes[1:], 1)
+            for k in np.flatnonzero(found < 0).tolist():
+                known[words[k - 1], None, int(classes[k - 1]), int(classes[k + 1])] += 1
+                if found[k + 1] < 0:
+                    known[words[k - 1], words[k], None, None] += 1
+                if len(known) > COUNTED:
+                    yield rows()
+                    known.clear()
+        if known:
+            yield rows()
+        at = np.flatnonzero(pairs)
+        empty = pa.nulls(len(at), pa.binary())
+        before, after = (pa.array(c, pa.int32()) for c in (at // (2 * CLASSES), at % (2 * CLASSES)))
+        yield pa.RecordBatch.from_arrays([empty, empty, before, after, pa.array(pairs[at])], names)
+
+    return texts.mapInArrow(run, "word binary, other binary, before int, after int, n long")
+
+
+def _table(rows: DataFrame, before: str, after: str, size: int) -> np.ndarray:
+    out = np.zeros((size, size))
+    for a, b, n in rows.groupBy(before, after).agg(F.sum("n")).collect():
+        out[a, b] = n
+    return out
+
+
+def move_tail(tail: DataFrame, items: np.ndarray, pairs: np.ndarray) -> tuple[DataFrame, np.ndarray]:
+    """``word``, ``n``, ``class`` of every word outside the head, and the class pairs of the whole training text.
+
+    ``tail`` is from ``count_tail``; ``pairs`` are the class pairs while each such word has its ending's class.
+    """
+    shared = tail.sparkSession.sparkContext.broadcast((items, pairs))
+
+    def choose(batches):
+        items, pairs = shared.value
+        own_pairs = np.zeros((CLASSES, CLASSES), dtype=np.int64)
+        for batch in batches:
+            for start in range(0, batch.num_rows, CHOSEN):
+                part = batch.slice(start, CHOSEN)
+                lists = part.column(1)
+                of = np.repeat(np.arange(part.num_rows), lists.value_lengths().to_numpy())
+                before, after, n = (c.to_numpy() for c in lists.flatten().flatten())
+                own = items[[ending_item(word) for word in part.column(0).to_pylist()]]
+                right, left = (_sides(len(own), of, c % CLASSES, n) for c in (after, before))
+                best = best_classes(right, left, own, pairs)
+                inside = before < CLASSES
+                np.add.at(own_pairs, (before[inside], best[of[inside]]), n[inside])
+                inside = after < CLASSES
+                np.add.at(own_pairs, (best[of[inside]], after[inside]), n[inside])
+                total = np.bincount(of, n, minlength=len(own)).astype(np.int64)
+                empty = pa.nulls(len(own), pa.int64())
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(total), pa.array(best), empty], names)
+        a, b = np.nonzero(own_pairs)
+        yield pa.RecordBatch.from_arrays([pa.nulls(len(a), pa.binary()), pa.array(own_pairs[a, b]), pa.array(a), pa.array(b)], names)
+
+    names = ["word", "n", "class", "after"]
+    around = tail.where("word IS NOT NULL AND other IS NULL").select("word", "before", "after", "n")
+    # at most 4 * CLASSES * CLASSES cells a word
+    cells = around.repartition("word").groupBy("word", "before", "after").agg(F.sum("n").alias("n"))
+    grouped = cells.groupBy("word").agg(F.collect_list(F.struct("before", "after", "n")).alias("cells"))
+    chosen = materialize(grouped.mapInArrow(choose, "word binary, n long, class long, after long"), "word-classes")
+    table = chosen.where("word IS NOT NULL").select("word", "n", "class")
+    both = tail.where("other IS NOT NULL").groupBy("word", "other").agg(F.sum("n").alias("n"))
+    first = table.select("word", F.col("class").alias("a"))
+    second = table.select(F.col("word").alias("other"), F.col("class").alias("b"))
+    met = both.join(first, "word").join(second, "other")
+    inner = f"word IS NULL AND before < {CLASSES} AND after < {CLASSES}"
+    sums = _table(tail.where(inner), "before", "after", CLASSES)
+    return table, sums + _table(chosen.where("word IS NULL"), "class", "after", CLASSES) + _table(met, "a", "b", CLASSES)
+
+
 # --- the model ---
 
 
@@ -264,7 +464,8 @@ def exchange(pairs: DataFrame, rounds: int = ROUNDS) -> tuple[np.ndarray, np.nda
 class Model:
     head: list[bytes]
     counts: np.ndarray  # of the head
-    classes: np.ndarray  # of the items
+    classes: np.ndarray  # of the head
+    items: np.ndarray  # classes of the items of the first exchange, for endings
     transitions: np.ndarray  # log10, class before by class
     norms: np.ndarray  # log10 of what emissions of a class are divided by
     unseen: np.ndarray  # log10 of the count that words never seen have in a class
@@ -282,43 +483,33 @@ def transitions(pairs: np.ndarray) -> np.ndarray:
     return np.log10((pairs + TRANSITION_WEIGHT * shares) / (pairs.sum(axis=1, keepdims=True) + TRANSITION_WEIGHT))
 
 
-def singles(counts: DataFrame, head: list[bytes]) -> np.ndarray:
-    """How many words seen once each item has."""
-    shared = counts.sparkSession.sparkContext.broadcast(head)
-
-    def run(batches):
-        codes, endings = Codes(shared.value), head_items(shared.value)
-        found = np.zeros(ITEMS, dtype=np.int64)
-        for word in _texts(batches, 0):
-            code = codes[word]
-            found[-code if code < 0 else endings[code]] += 1
-        items = np.flatnonzero(found)
-        yield pa.RecordBatch.from_arrays([pa.array(items), pa.array(found[items])], ["item", "n"])
-
-    once = counts.where("n = 1 AND octet_length(word) > 0").select("word").mapInArrow(run, "item long, n long")
-    out = np.zeros(ITEMS)
-    for item, n in once.groupBy("item").agg(F.sum("n")).collect():
-        out[item] = n
-    return out
-
-
 def train(texts: DataFrame, rounds: int = ROUNDS) -> tuple[Model, DataFrame]:
-    """The model and the table of word counts, from a frame with one column ``text``; null texts are empty ones."""
+    """The model and the table of words outside its head (``word``, ``n``, ``class``), from a frame with one column ``text``;
+    null texts are empty ones."""
     raw = texts.select(F.col("text").cast("string").cast("binary"))
     counts = materialize(count_words(raw), "word-counts")
     size = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     head, head_counts = head_of(counts)
-    pairs = materialize(count_pairs(raw, head), "item-pairs")
-    classes, by_class = exchange(pairs, rounds)
-    once = np.zeros(CLASSES)
-    np.add.at(once, classes, singles(counts, head))
+    item_pairs = materialize(count_pairs(raw, head), "item-pairs")
+    items, by_class = exchange(item_pairs, rounds)
+    started = items[head_items(head)]
+    for classes in (move_head(raw, head, started, items, by_class), started):
+        tail = materialize(count_tail(raw, head, classes, items), "tail")
+        pairs = _table(tail.where("word IS NULL"), "before", "after", 2 * CLASSES)
+        pairs = pairs.reshape(2, CLASSES, 2, CLASSES).sum(axis=(0, 2))
+        if likelihood(pairs) >= likelihood(by_class):
+            break
+    table, pairs = move_tail(tail, items, pairs)
+    once = np.bincount(classes[1:], head_counts[1:] == 1, minlength=CLASSES)
+    for row in table.where("n = 1").groupBy("class").count().collect():
+        once[row[0]] += row[1]
     unseen = once + UNSEEN
-    norms = np.log10(by_class.sum(axis=0) + unseen)
+    norms = np.log10(pairs.sum(axis=0) + unseen)
     norms[0] = 0.0  # the end token is all of its class
-    return Model(head, head_counts, classes, transitions(by_class), norms, np.log10(unseen), int(size[0]), int(size[1])), counts
+    return Model(head, head_counts, classes, items, transitions(pairs), norms, np.log10(unseen), int(size[0]), int(size[1])), table
 
 
-def score(docs: DataFrame, model: Model, counts: DataFrame, held_out: Column) -> DataFrame:
+def score(docs: DataFrame, model: Model, table: DataFrame, held_out: Column) -> DataFrame:
     """Per row of ``docs``: ``doc_id``, ``held_out``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score``, ``score``,
     ``perplexity``.
 
@@ -327,52 +518,86 @@ def score(docs: DataFrame, model: Model, counts: DataFrame, held_out: Column) ->
     is unknown. An empty table gives an empty result; other columns are ignored.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    names = ["row", "doc_id", "held_out", "n_tokens", "n_known", "base", "score", "word", "times", "unseen"]
-    kinds = [pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.binary(), pa.int64(), pa.float64()]
-    schema = "row long, doc_id long, held_out boolean, n_tokens long, n_known long, base double, score double, word binary, times long, unseen double"
+    fields = [
+        *(("row", "long"), ("doc_id", "long"), ("held_out", "boolean"), ("n_tokens", "long"), ("n_known", "long")),
+        *(("base", "double"), ("score", "double"), ("word", "binary"), ("other", "binary"), ("before", "int")),
+        *(("after", "int"), ("guess", "int"), ("times", "long")),
+    ]
+    arrow = {"long": pa.int64(), "int": pa.int32(), "boolean": pa.bool_(), "double": pa.float64(), "binary": pa.binary()}
+    names, kinds = [n for n, _ in fields], [arrow[k] for _, k in fields]
 
     def run(batches):
         known = shared.value
-        codes, endings = Codes(known.head), head_items(known.head)
+        codes = Codes(known.head)
         divisor = math.log10(known.divisor())
         logs, plus = np.log10(np.maximum(known.counts, 1)), np.log10(known.counts + 1)
         seen = known.counts > 0
-        unseen = known.unseen[known.classes]
         row = TaskContext.get().partitionId() << 33
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 out: list[list] = [[] for _ in names]
                 for doc_id, held, raw in zip(*(c.to_pylist() for c in batch.slice(at, 500).columns)):
-                    words, found, items = _sequence(raw, codes, endings)
-                    classes = np.concatenate([[0], known.classes[items], [0]])
+                    words = words_of(raw)
+                    found = np.array([0, *map(codes.__getitem__, words), 0], dtype=np.int64)
+                    classes = _classes(found, known.classes, known.items)
                     inside = found >= 0
-                    own = found[inside]
-                    total = known.transitions[classes[:-1], classes[1:]].sum() - known.norms[classes[1:]].sum() + logs[own].sum()
+                    both = inside[:-1] & inside[1:]
+                    own = found[1:-1][inside[1:-1]]
+                    total = known.transitions[classes[:-1][both], classes[1:][both]].sum()
+                    total += logs[own].sum() - known.norms[known.classes[own]].sum() - known.norms[0]
                     base = plus[own].sum() + plus[0] - (len(own) + 1) * divisor
                     line = [row, doc_id, held, len(words) + 1, int(seen[own].sum() + seen[0]), float(base), float(total)]
-                    for column, value in zip(out, [*line, None, None, None]):
+                    for column, value in zip(out, [*line, *[None] * 6]):
                         column.append(value)
-                    rare = np.flatnonzero(~inside)
-                    tail = Counter([words[k] for k in rare])
+                    tail: Counter[tuple] = Counter()
+                    for k in np.flatnonzero(~inside).tolist():
+                        # -1: the neighbour is outside the head, too, and counts as a pair
+                        before, after = (int(classes[j]) if inside[j] else -1 for j in (k - 1, k + 1))
+                        tail[words[k - 1], None, before, after, int(classes[k])] += 1
+                        if after < 0:
+                            tail[words[k - 1], words[k], int(classes[k]), int(classes[k + 1]), None] += 1
                     out[0] += [row] * len(tail)
                     for column in out[1:7]:
                         column += [None] * len(tail)
-                    out[7] += tail
-                    out[8] += tail.values()
-                    out[9] += [float(unseen[ending_item(word)]) for word in tail]
+                    for column, values in zip(out[7:12], zip(*tail)):
+                        column += values
+                    out[12] += tail.values()
                     row += 1
                 yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(out, kinds)], names)
 
+    def worth(batches):
+        known = shared.value
+        divisor = math.log10(known.divisor())
+        for batch in batches:
+            row, times, n, own, before, after = (c.to_numpy() for c in batch.columns)
+            value = np.zeros(len(row))
+            for near, a, b in ((before, before, own), (after, own, after)):
+                at = near >= 0
+                value[at] += known.transitions[a[at], b[at]]
+            emission = np.where(n > 0, np.log10(np.maximum(n, 1)), known.unseen[own]) - known.norms[own]
+            value += np.where(n >= 0, emission, 0)
+            base = np.where(n >= 0, np.log10(np.maximum(n, 0) + 1) - divisor, 0)
+            arrays = [pa.array(c) for c in (row, np.where(n > 0, times, 0), times * base, times * value)]
+            yield pa.RecordBatch.from_arrays(arrays, ["row", "known", "more_base", "more_score"])
+
     chosen = docs.select(F.col("doc_id").cast("long"), held_out.alias("held_out"), F.col("text").cast("string").cast("binary"))
-    parts = materialize(chosen.mapInArrow(run, schema), "scored")
-    tail = parts.where("word IS NOT NULL").select("row", "word", "times", "unseen")
-    n = F.coalesce("n", F.lit(0))
-    met = tail.join(counts, "word", "left").select(
+    parts = materialize(chosen.mapInArrow(run, ", ".join(f"{n} {k}" for n, k in fields)), "scored")
+    single = parts.where("word IS NOT NULL AND other IS NULL").join(table, "word", "left")
+    single = single.select(
+        "row", "times", F.coalesce("n", F.lit(0)).cast("long").alias("n"), F.coalesce("class", "guess").cast("int").alias("own"), "before", "after"
+    )
+    first = table.select("word", F.col("class").alias("first"))
+    second = table.select(F.col("word").alias("other"), F.col("class").alias("second"))
+    double = parts.where("other IS NOT NULL").join(first, "word", "left").join(second, "other", "left")
+    double = double.select(
         "row",
-        F.when(n > 0, F.col("times")).otherwise(0).alias("known"),
-        (F.col("times") * (F.log10(n + 1) - math.log10(model.divisor()))).alias("more_base"),
-        (F.col("times") * F.when(n > 0, F.log10(n)).otherwise(F.col("unseen"))).alias("more_score"),
+        "times",
+        F.lit(-1).cast("long").alias("n"),
+        F.coalesce("second", "after").cast("int").alias("own"),
+        F.coalesce("first", "before").cast("int").alias("before"),
+        F.lit(-1).alias("after"),
     )
+    met = single.union(double).mapInArrow(worth, "row long, known long, more_base double, more_score double")
     sums = met.groupBy("row").agg(F.sum("known").alias("known"), F.sum("more_base").alias("more_base"), F.sum("more_score").alias("more_score"))
     joined = parts.where("word IS NULL").select("row", "doc_id", "held_out", "n_tokens", "n_known", "base", "score").join(sums, "row", "left")
     total = F.col("score") + F.coalesce("more_score", F.lit(0.0))

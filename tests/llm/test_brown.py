@@ -23,18 +23,19 @@ def plain_base(train, texts):
     return [sum(math.log10((counts[t] + 1) / max(1, total + types + 1)) for t in tokens(text)) for text in texts], counts
 
 
-def plain_score(model, counts, text):
+def class_of(model, table):
+    """Class of a word: its own in the head or the table, else that of its ending."""
+    own = {word: int(c) for word, c in zip(model.head, model.classes)}
+    own |= {bytes(r.word): r["class"] for r in table.collect()}
+    return lambda word: own.get(word, int(model.items[brown.ending_item(word)]))
+
+
+def plain_score(model, table, counts, text, find=None):
     """The class model token by token, from the fitted classes and the full counts."""
-    place = {word: k for k, word in enumerate(model.head)}
+    find = find or class_of(model, table)
     before, out = 0, 0.0
     for token in tokens(text):
-        if token == b"":
-            item = 0
-        elif place.get(token, brown.ITEMS) <= brown.ITEM_WORDS:
-            item = place[token]
-        else:
-            item = brown.ending_item(token)
-        own = int(model.classes[item])
+        own = find(token) if token else 0
         out += model.transitions[before, own]
         if token != b"":
             out += (math.log10(counts[token]) if counts[token] else model.unseen[own]) - model.norms[own]
@@ -52,8 +53,8 @@ def trained(spark):
     rng = random.Random(1)
     train = [grammar(rng) for _ in range(300)] + ["rare " + "x" * 100, None, ""]
     df = spark.createDataFrame([(t,) for t in train], "text string")
-    model, counts = brown.train(df)
-    return train, model, counts
+    model, table = brown.train(df)
+    return train, model, table
 
 
 def test_exchange_finds_the_classes(trained):
@@ -82,15 +83,14 @@ def test_a_round_raises_the_likelihood(spark):
 
 
 def test_chances_add_up_to_one(trained):
-    train, model, _ = trained
+    train, model, table = trained
     counts = plain_base(train, [])[1]
-    place = {word: k for k, word in enumerate(model.head)}
+    find = class_of(model, table)
     for before in range(brown.CLASSES):
         total = 10 ** model.transitions[before, 0]
         for word, n in counts.items():
             if word:
-                item = place[word] if place.get(word, brown.ITEMS) <= brown.ITEM_WORDS else brown.ending_item(word)
-                own = model.classes[item]
+                own = find(word)
                 total += 10 ** (model.transitions[before, own] + math.log10(n) - model.norms[own])
         total += sum(10 ** (model.transitions[before, c] + model.unseen[c] - model.norms[c]) for c in range(1, brown.CLASSES))
         assert math.isclose(total, 1, rel_tol=1e-9)
@@ -104,7 +104,7 @@ def test_scores_against_token_by_token(spark, trained, monkeypatch):
     df = spark.createDataFrame(rows, "doc_id long, text string, score double, held_out boolean")
     base, counts = plain_base(train, [r[1] for r in rows])
     got = brown.score(df, model, counts_table, F.lit(True)).collect()
-    want = [(d, len(tokens(t)), sum(counts[x] > 0 for x in tokens(t)), counts.total(), round(b, 6), round(plain_score(model, counts, t), 6)) for (d, t, *_), b in zip(rows, base)]
+    want = [(d, len(tokens(t)), sum(counts[x] > 0 for x in tokens(t)), counts.total(), round(b, 6), round(plain_score(model, counts_table, counts, t), 6)) for (d, t, *_), b in zip(rows, base)]
     key = lambda r: str(r)
     assert sorted(((r.doc_id, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6), round(r.score, 6)) for r in got), key=key) == sorted(want, key=key)
     assert brown.score(df.limit(0), model, counts_table, F.lit(True)).count() == 0
@@ -123,7 +123,67 @@ def test_small_head_gives_the_same_base(spark, monkeypatch):
     got = {r.doc_id: r for r in brown.score(df, model, table, F.lit(False)).collect()}
     for k, text in enumerate(train):
         assert math.isclose(got[k].base_score, base[k], rel_tol=1e-9)
-        assert math.isclose(got[k].score, plain_score(model, plain_counts, text), rel_tol=1e-9)
+        assert math.isclose(got[k].score, plain_score(model, table, plain_counts, text), rel_tol=1e-9)
+
+
+def plain_pairs(find, texts):
+    pairs = np.zeros((brown.CLASSES, brown.CLASSES))
+    for text in texts:
+        line = [0, *(find(t) if t else 0 for t in tokens(text))]
+        np.add.at(pairs, (line[:-1], line[1:]), 1)
+    return pairs
+
+
+def test_every_word_finds_its_class(spark, monkeypatch):
+    """Words outside the items choose a class as well, inside the head and outside it; the class pairs are those of the texts."""
+    items, most, kinds = brown.ITEM_WORDS, 9000, 6000
+    monkeypatch.setattr(brown, "head_of", lambda c, old=brown.head_of: old(c, most))
+    seen = {}
+    monkeypatch.setattr(brown, "transitions", lambda pairs, old=brown.transitions: seen.update(pairs=pairs) or old(pairs))
+    rng = random.Random(4)
+
+    def word(kind):
+        return f"{kind}{int(kinds * rng.random() ** 2)}"
+
+    train = [" ".join(word("nv"[k % 2]) for k in range(200)) for _ in range(600)] + [None, "", "once"]
+    model, table = brown.train(spark.createDataFrame([(t,) for t in train], "text string"))
+    words = {t for text in train for t in tokens(text)} - {b""}
+    assert {bytes(r.word) for r in table.collect()} | set(model.head[1:]) == words
+    find, start = class_of(model, table), lambda w: int(model.items[brown.ending_item(w)])
+    assert items < len(model.head) < len(words)
+    items_own = dict(zip(model.head[1 : items + 1], model.classes[1 : items + 1]))
+    for others in (set(model.head[items + 1 :]), words - set(model.head)):
+        assert np.mean([find(w) != start(w) for w in others]) > 0.5
+    assert (plain_pairs(find, train) == seen["pairs"]).all()
+    before = plain_pairs(lambda w: items_own.get(w, start(w)), train)
+    assert brown.likelihood(seen["pairs"]) > brown.likelihood(before)
+
+
+def test_best_class_against_all_moves():
+    """The chosen class is the one with the largest likelihood when the pairs are counted anew for each class."""
+    rng = random.Random(6)
+    line = [0] + [rng.randrange(1, 60) for _ in range(3000)] + [0]
+    line = [b for a, b in zip([None, *line], line) if a != b]  # a word next to itself moves on both sides at once
+    classes = np.array([0] + [rng.randrange(1, 8) for _ in range(59)])
+
+    def pairs_of(classes):
+        pairs = np.zeros((brown.CLASSES, brown.CLASSES))
+        np.add.at(pairs, (classes[line[:-1]], classes[line[1:]]), 1)
+        return pairs
+
+    right, left = np.zeros((2, 60, brown.CLASSES))
+    np.add.at(right, (line[:-1], classes[line[1:]]), 1)
+    np.add.at(left, (line[1:], classes[line[:-1]]), 1)
+    best = brown.best_classes(right[1:], left[1:], classes[1:], pairs_of(classes))
+    for word in range(1, 60):
+        values = {}
+        for c in range(1, 9):
+            moved = classes.copy()
+            moved[word] = c
+            values[c] = brown.likelihood(pairs_of(moved))
+        moved = classes.copy()
+        moved[word] = best[word - 1]
+        assert brown.likelihood(pairs_of(moved)) >= max(values.values()) - 1e-6
 
 
 def test_no_training_text(spark):
