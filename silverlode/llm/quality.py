@@ -6,8 +6,9 @@ sizes, per byte of text, is the raw score. A logistic curve over it, fitted on l
 dictionaries, makes it a probability of good quality.
 
 Learning uses a bounded sample: about ``per_class`` labelled rows of each class, by a hash of the id; three in four build
-the dictionaries, one in four fits the curve. A sampled text of more than ``PER_TEXT`` pieces teaches by that many, spread
-evenly over it, which bounds what reaches the driver. Scoring compresses every text whole.
+the dictionaries, one in four fits the curve. Texts of sampled rows are taken whole: the executors cut them into pieces, of
+which about ``pieces_per_class`` of each class, by a hash of the piece, make a dictionary, so that every part of a text is as
+likely to teach; differences for the curve are computed there too. Scoring compresses every text whole.
 """
 
 from __future__ import annotations
@@ -22,22 +23,21 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.scratch import materialize
 from .langid import sample
 
 PIECE = 1024
 LEVEL = 3
 DICTIONARY_BYTES = 110_000
 LEAST_SAMPLES = 8
-PER_TEXT = 16
 
 
 def pieces(raw: bytes) -> list[bytes]:
     return [raw[at : at + PIECE] for at in range(0, len(raw), PIECE)]
 
 
-def build_dictionary(texts: list[str]) -> bytes:
-    """A dictionary from the pieces of the texts; the pieces themselves where they are too few to train one."""
-    parts = [piece for text in texts for piece in pieces(text.encode())]
+def build_dictionary(parts: list[bytes]) -> bytes:
+    """A dictionary from pieces of texts; the pieces themselves where they are too few to train one."""
     size = min(DICTIONARY_BYTES, max(256, sum(map(len, parts)) // 8))
     try:
         return zstandard.train_dictionary(size, parts).as_bytes()
@@ -91,53 +91,70 @@ def fit_curve(differences: np.ndarray, labels: np.ndarray, rounds: int = 100) ->
     return float(max(0.0, weights[0]) / scale), float(weights[1])
 
 
-def fit(rows: list[tuple[str, int]]) -> Model:
-    """Train from (text, quality). Of each class, every fourth row fits the curve; the others build dictionaries."""
-    by_class = [[r for r in rows if r[1] == label] for label in (1, 0)]
-    build = [r for own in by_class for k, r in enumerate(own) if k % 4]
-    check = [r for own in by_class for r in own[::4]]
-    model = Model(*(build_dictionary([text for text, label in build if label == wanted]) for wanted in (1, 0)))
-    good, bad = compressor(model.good), compressor(model.bad)
-    if check:
-        differences = np.array([difference(text, good, bad) for text, _ in check])
-        model.slope, model.offset = fit_curve(differences, np.array([label for _, label in check]))
-    return model
+def calibrate(model: Model, rows: list[tuple[float, int]]) -> None:
+    """Fit the curve of the model to (difference, quality) of rows that are in no dictionary."""
+    if rows:
+        differences, labels = (np.array(c) for c in zip(*sorted(rows)))
+        model.slope, model.offset = fit_curve(differences, labels)
+
+
+def place_of(*columns: str) -> Column:
+    """A hash of the columns, from 0 to 1."""
+    return F.pmod(F.xxhash64(*columns, F.lit(7)), F.lit(1 << 40)) / float(1 << 40)
+
 
+def sampled_pieces(rows: DataFrame, most: int) -> dict[int, list[bytes]]:
+    """About ``most`` pieces of the texts of each class, never above twice that, by a hash of row and piece."""
+    raw = rows.select("doc_id", "quality", F.col("text").cast("binary").alias("raw")).where(F.octet_length("raw") > 0)
+    count = F.ceil(F.octet_length("raw") / PIECE).cast("int")
+    sizes = {r.quality: r.pieces for r in raw.groupBy("quality").agg(F.sum(count).alias("pieces")).collect()}
+    cut = F.transform(F.sequence(F.lit(0), count - 1), lambda k: F.substring(F.col("raw"), k * PIECE + 1, F.lit(PIECE)))
+    every = raw.select("doc_id", "quality", F.posexplode(cut).alias("k", "piece"))
+    out: dict[int, list[bytes]] = {0: [], 1: []}
+    for label, total in sizes.items():
+        place = place_of("doc_id", "k", "piece")
+        chosen = every.where((F.col("quality") == label) & (place < min(1.0, most / total)))
+        out[label] = [bytes(r.piece) for r in chosen.orderBy(place, "piece").limit(2 * most).select("piece").collect()]
+    return out
+
+
+def _difference_of(model: Model, text: Column, spark) -> Column:
+    shared = spark.sparkContext.broadcast(model)
+
+    @F.pandas_udf("double")
+    def measure(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        good, bad = compressor(shared.value.good), compressor(shared.value.bad)
+        for texts in batches:
+            yield pd.Series([difference(one, good, bad) for one in texts], dtype="float64")
 
-def spread_pieces(text: Column) -> Column:
-    """A text itself, or ``PER_TEXT`` pieces at even distances joined, where it has more."""
-    length = F.length(text)
-    cut = F.transform(F.sequence(F.lit(0), F.lit(PER_TEXT - 1)), lambda k: F.substring(text, F.floor(k * length / PER_TEXT).cast("int") + 1, F.lit(PIECE)))
-    return F.when(length > PER_TEXT * PIECE, F.array_join(cut, "")).otherwise(text)
+    return measure.asNondeterministic()(text)
 
 
-def train(docs: DataFrame, labels: DataFrame, per_class: int = 3000) -> Model:
+def train(docs: DataFrame, labels: DataFrame, per_class: int = 3000, pieces_per_class: int = 12_000) -> Model:
     """Learn from rows of ``labels`` with quality 0 or 1 whose document is in ``docs``; null texts teach nothing."""
     known = labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull())
-    chosen = sample(known.select("doc_id", "quality").distinct(), "quality", per_class)
+    chosen = sample(known.select("doc_id", F.col("quality").cast("int").alias("quality")).distinct(), "quality", per_class)
     rows = (
         docs.where(F.col("text").isNotNull())
-        .select("doc_id", F.col("text").cast("string"))
+        .select("doc_id", F.col("text").cast("string").alias("text"))
         .join(F.broadcast(chosen), "doc_id")  # at most 4 * per_class rows
-        .select("doc_id", spread_pieces(F.col("text")).alias("text"), "quality")
-        .limit(4 * per_class)
-        .collect()
     )
-    rows = sorted((r.quality, spread(r.doc_id), r.text) for r in rows)
-    model = fit([(text, int(label)) for label, _, text in rows])
+    rows = materialize(rows, "quality-sample")
+    curve = place_of("doc_id") < 0.25
+    pieces_of = sampled_pieces(rows.where(~curve), pieces_per_class)
+    model = Model(build_dictionary(pieces_of[1]), build_dictionary(pieces_of[0]))
+    # repeated documents could make many rows of one id: then the first by hash and content
+    checked = rows.where(curve).orderBy(place_of("doc_id"), F.xxhash64("text"), "quality").limit(4 * per_class)
+    measured = checked.select("quality", _difference_of(model, F.col("text"), docs.sparkSession).alias("difference")).collect()
+    calibrate(model, [(r.difference, r.quality) for r in measured])
     # the sample evens out the classes; the curve is moved back to how often each occurs
     all_rows = {r.quality: r["count"] for r in known.groupBy("quality").count().collect()}
-    drawn = {label: sum(row[0] == label for row in rows) for label in (0, 1)}
+    drawn = {label: sum(r.quality == label for r in measured) for label in (0, 1)}
     if all(drawn.values()):
         model.offset += math.log(all_rows[1] / all_rows[0]) - math.log(drawn[1] / drawn[0])
     return model
 
 
-def spread(doc_id: int) -> int:
-    """Spreads neighbouring ids over dictionary and curve rows, the same way on every run."""
-    return (int(doc_id) * 0x9E3779B97F4A7C15) & (2**64 - 1)
-
-
 def score_texts(docs: DataFrame, model: Model, held_out: Column, threshold: float = 0.7) -> DataFrame:
     """``doc_id``, ``held_out``, ``score`` (0 to 1) and ``predicted`` (1 from ``threshold`` on) of every row of ``docs``.
 
@@ -145,16 +162,9 @@ def score_texts(docs: DataFrame, model: Model, held_out: Column, threshold: floa
     answered like any other; without labelled rows every score is 0.5. An empty table gives an empty result; other
     columns are ignored.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-
-    @F.pandas_udf("double")
-    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        known = shared.value
-        good, bad = compressor(known.good), compressor(known.bad)
-        for texts in batches:
-            yield pd.Series([known.score(difference(text, good, bad)) for text in texts], dtype="float64")
-
-    scored = docs.select(
-        F.col("doc_id").cast("long"), held_out.alias("held_out"), score.asNondeterministic()(F.col("text").cast("string")).alias("score")
-    )
+    measured = _difference_of(model, F.col("text").cast("string"), docs.sparkSession)
+    power = F.col("difference") * model.slope + model.offset
+    score = F.when(power > -700, 1 / (1 + F.exp(-power))).otherwise(0.0)
+    scored = docs.select(F.col("doc_id").cast("long"), held_out.alias("held_out"), measured.alias("difference"))
+    scored = scored.select("doc_id", "held_out", score.alias("score"))
     return scored.withColumn("predicted", F.when(F.col("score") >= threshold, 1).otherwise(0))

@@ -29,8 +29,10 @@ def test_curve_is_monotone_and_honest():
 def test_separates_unseen_texts():
     rng = random.Random(1)
     rows = [(make(rng), label) for _ in range(120) for make, label in ((good, 1), (bad, 0))]
-    model = quality.fit(rows)
+    parts = [[p for text, label in rows[:180] if label == wanted for p in quality.pieces(text.encode())] for wanted in (1, 0)]
+    model = quality.Model(*map(quality.build_dictionary, parts))
     sides = quality.compressor(model.good), quality.compressor(model.bad)
+    quality.calibrate(model, [(quality.difference(text, *sides), label) for text, label in rows[180:]])
     scores = [(model.score(quality.difference(make(rng), *sides)), label) for _ in range(50) for make, label in ((good, 1), (bad, 0))]
     assert all((score >= 0.7) == bool(label) for score, label in scores)
 
@@ -60,8 +62,35 @@ def test_query_held_out_accuracy(spark):
     assert np.mean([r.predicted == r.quality for r in rows]) > 0.9
 
 
-def test_long_texts_teach_by_spread_pieces(spark):
-    long = "".join(f"{k:07d}|" for k in range(20_000))
-    rows = spark.createDataFrame([(long,), ("short",), (None,)], "text string").select(quality.spread_pieces(F.col("text")).alias("t")).collect()
-    assert rows[0].t == "".join(long[k * len(long) // 16 : k * len(long) // 16 + 1024] for k in range(16))
-    assert [r.t for r in rows[1:]] == ["short", None]
+def test_all_of_a_long_text_can_teach(spark):
+    long = "".join(f"{k:07d}|" for k in range(20_000)) + "é" * 700
+    rows = spark.createDataFrame([(1, long, 1), (2, "short", 0), (2, "", 0), (3, None, 1)], "doc_id long, text string, quality int")
+    every = quality.sampled_pieces(rows, 1000)
+    assert sorted(every[1]) == sorted(quality.pieces(long.encode())) and every[0] == [b"short"]
+    some = quality.sampled_pieces(rows, 40)[1]
+    places = [int(p[:7]) for p in some if p[:7].isdigit()]
+    assert 20 <= len(some) <= 80 and min(places) < 5_000 and max(places) > 15_000
+    assert some == quality.sampled_pieces(rows.repartition(3), 40)[1]
+
+
+def test_scores_against_one_by_one(spark):
+    rng = random.Random(3)
+    rows = [(i, good(rng) if i % 2 else bad(rng)) for i in range(200)]
+    docs = spark.createDataFrame([*rows, (900, None), (901, "")], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(200)], "doc_id long, quality int")
+    model = quality.train(docs, labels)
+    sides = quality.compressor(model.good), quality.compressor(model.bad)
+    got = {r.doc_id: r.score for r in quality.score_texts(docs, model, F.lit(False)).collect()}
+    for doc_id, text in [*rows, (900, None), (901, "")]:
+        raw = (text or "").encode()
+        parts = [raw[k : k + 1024] for k in range(0, len(raw), 1024)]
+        gap = sum(len(sides[1].compress(p)) - len(sides[0].compress(p)) for p in parts) / max(1, len(raw))
+        assert abs(got[doc_id] - 1 / (1 + np.exp(-(model.slope * gap + model.offset)))) < 1e-12
+    # the model itself, from the rows the hash deals to dictionary and curve
+    placed = {r.doc_id: r.place for r in docs.select("doc_id", quality.place_of("doc_id").alias("place")).collect()}
+    inputs = [(quality.difference(t, *sides), i % 2) for i, t in rows if placed[i] < 0.25]
+    plain = quality.Model(model.good, model.bad)
+    quality.calibrate(plain, inputs)
+    ones = sum(label for _, label in inputs)
+    assert abs(plain.slope - model.slope) < 1e-9
+    assert abs(plain.offset - np.log(ones / (len(inputs) - ones)) - model.offset) < 1e-9
