@@ -194,11 +194,12 @@ def _verdict(check: Check, checked: Column, violations: Column, sample: Column |
 def run_checks(df: DataFrame, table: str, checks: Sequence[Check]) -> DataFrame:
     """One row per check.
 
-    All counts come from a single aggregate without a shuffle of rows. Uniqueness and the sample of bad values
-    need one column each, read separately so that the wide aggregate is not grouped by a key. A check that
-    cannot run is a failed check.
+    All counts come from a single aggregate without a shuffle of rows. Uniqueness needs one column, read separately so
+    that the wide aggregate is not grouped by a key. With a check of allowed values the counts are made when this is
+    called: a second look at a column, for a sample of its bad values, is taken only where there are some. A check
+    that cannot run is a failed check.
     """
-    fused, extra, rows = [], [], []
+    fused, extra, rows, sampled = [], [], [], {}
     for i, check in enumerate(checks):
         problem = _problem(df, check)
         checked, violations, sample = F.lit(None).cast("bigint"), F.lit(None).cast("bigint"), None
@@ -210,7 +211,7 @@ def run_checks(df: DataFrame, table: str, checks: Sequence[Check]) -> DataFrame:
                 counted, broken = _counts(df, check)
                 fused += [counted.alias(f"c{i}"), broken.alias(f"v{i}")]
             if check.kind == "values_in":
-                extra.append(_bad_sample(df, check, f"s{i}"))
+                sampled[i] = check
                 sample = F.col(f"s{i}")
             passed, message = _verdict(check, checked, violations, sample)
         else:
@@ -231,6 +232,11 @@ def run_checks(df: DataFrame, table: str, checks: Sequence[Check]) -> DataFrame:
         frames = [df.sparkSession.range(1)]
     # every frame is a global aggregate: exactly one row
     together = reduce(lambda a, b: a.crossJoin(F.broadcast(b)), frames)
+    if sampled:
+        counts = together.first()
+        samples = [_bad_sample(df, c, "s").first()[0] if counts[f"v{i}"] else None for i, c in sampled.items()]
+        fields = [*together.schema.fields, *[T.StructField(f"s{i}", T.StringType()) for i in sampled]]
+        together = df.sparkSession.createDataFrame([(*counts, *samples)], T.StructType(fields))
     return together.select(F.inline(F.array(*rows)))
 
 

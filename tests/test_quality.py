@@ -106,3 +106,16 @@ def test_counts_take_one_pass_without_a_row_shuffle(frame):
     df = frame([("a", 1.0)], "x string, y double")
     plan = q.run_checks(df, "t", [q.no_nulls("x"), q.no_nulls("y"), q.values_between("y", 0, 1)])
     assert plan._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1  # the one-row totals
+
+
+def test_only_failed_checks_are_sampled(spark, monkeypatch):
+    df = spark.createDataFrame([(1, "a", "x"), (2, "b", None), (3, "c", "z")], "k int, good string, bad string")
+    looked = []
+    monkeypatch.setattr(q, "_bad_sample", lambda df, check, name, old=q._bad_sample: looked.append(check.column) or old(df, check, name))
+    checks = [q.unique("k"), q.values_in("good", ["a", "b", "c"]), q.values_in("bad", ["x"]), q.row_count(1, 5)]
+    results = q.run_checks(df, "t", checks).collect()
+    assert looked == ["bad"]
+    assert [r.passed for r in results] == [True, True, False, True]
+    assert results[2].violations == 1 and results[2].message.endswith("such as: z")
+    assert [r.passed for r in q.run_checks(df.limit(0), "t", checks[:3]).collect()] == [True, True, True]
+    assert looked == ["bad"]
