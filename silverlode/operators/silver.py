@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import MONEY, parse_timestamp
@@ -46,30 +46,69 @@ def require_columns(
     df: DataFrame, columns: Sequence[str], before: Observation | None = None, after: Observation | None = None
 ) -> DataFrame:
     """Drop rows with a NULL in any of ``columns``. NaN is a value here."""
-    present = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in columns])
-    return count_rows(count_rows(df, before, "rows").where(present), after, "rows")
+    return count_rows(count_rows(df, before, "rows").where(_present(columns)), after, "rows")
 
 
-def cleaning_losses(df: DataFrame, key: str | None, required: Sequence[str]) -> DataFrame:
-    """One row: rows read, rows ``dedup`` removes, rows ``require_columns`` drops after it, rows kept.
+def _present(columns: Sequence[str]) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in columns], F.lit(True))
+
 
-    Counted exactly. Without a key nothing is deduplicated.
+def with_copies(df: DataFrame, key: str | None, order_by: Sequence[str] | None = None) -> DataFrame:
+    """The rows ``dedup`` keeps, each with ``_copies``, the rows of its key; without a key all rows, each its own copy.
+
+    The survivor of a key is the least row in ``order_by`` and then in all other columns; as a struct it is found with map-side
+    combining, so a hot key costs one row per map task.
     """
     if key is None:
-        present = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in required], F.lit(True))
-        read, kept = F.count(F.lit(1)), F.count_if(present)
-        return df.agg(
-            read.alias("rows_read"), F.lit(0).cast("long").alias("duplicates_removed"), (read - kept).alias("nulls_dropped"), kept.alias("rows_kept")
-        )
-    # the survivor of a key is the least row, as in ``dedup``; a struct of all columns finds it with map-side combining
-    others = [c for c in df.columns if c != key]
-    per_key = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(*others, F.lit(0))).alias("first"))
-    present = reduce(lambda a, b: a & b, [(F.col(c) if c == key else F.col(f"first.`{c}`")).isNotNull() for c in required])
-    counted = per_key.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("rows_read"),
+        return df.withColumn("_copies", F.lit(1).cast("long"))
+    order = list(order_by or ())
+    order += [c for c in df.columns if c not in order and c != key]
+    least = F.min(F.struct(*[F.col(f"`{c}`") for c in order], F.lit(0).alias("_end")))
+    unique = df.groupBy(F.col(f"`{key}`")).agg(F.count(F.lit(1)).alias("_copies"), least.alias("_least"))
+    return unique.select(*[F.col(f"`{key}`") if c == key else F.col(f"_least.`{c}`") for c in df.columns], "_copies")
+
+
+def usable_rows(
+    df: DataFrame, key: str | None, required: Sequence[str], order_by: Sequence[str] | None = None, losses: Observation | None = None
+) -> DataFrame:
+    """``dedup`` by ``key``, if there is one, then ``require_columns``.
+
+    With ``losses`` the rows are counted on their way, for ``observed_losses``. They are counted after the only shuffle, from the
+    copies each row stands for, so in the tasks of the job that writes them when nothing that follows shuffles. Spark adds the
+    counts of such a task when its result is accepted, once however often it is tried: they are exact also when executors are lost.
+    """
+    if losses is None:
+        return require_columns(df if key is None else dedup(df, key, order_by), required)
+    present = _present(required)
+    counted = with_copies(df, key, order_by).observe(
+        losses,
+        F.coalesce(F.sum("_copies"), F.lit(0)).alias("rows_read"),
         F.count(F.lit(1)).alias("rows_unique"),
         F.count_if(present).alias("rows_kept"),
     )
+    return counted.where(present).drop("_copies")
+
+
+def observed_losses(losses: Observation) -> tuple[int, int, int]:
+    """Rows read, duplicates removed and rows dropped for a NULL, once a job over the rows has ended; it waits for one.
+
+    A job that Spark ends early as there are no rows counts nothing.
+    """
+    found = losses.get
+    read, unique, kept = (found.get(name) or 0 for name in ("rows_read", "rows_unique", "rows_kept"))
+    return read, read - unique, unique - kept
+
+
+def cleaning_losses(df: DataFrame, key: str | None, required: Sequence[str]) -> DataFrame:
+    """One row: rows read, rows ``dedup`` removes, rows ``require_columns`` drops after it, rows kept.
+
+    Counted exactly, by a scan of its own; see ``usable_rows`` for counts that ride on a write. Without a key nothing is deduplicated.
+    """
+    counted = with_copies(df, key).agg(
+        F.coalesce(F.sum("_copies"), F.lit(0)).alias("rows_read"),
+        F.count(F.lit(1)).alias("rows_unique"),
+        F.count_if(_present(required)).alias("rows_kept"),
+    )
     return counted.select(
         "rows_read",
         (F.col("rows_read") - F.col("rows_unique")).alias("duplicates_removed"),
@@ -78,8 +117,19 @@ def cleaning_losses(df: DataFrame, key: str | None, required: Sequence[str]) ->
     )
 
 
-def clean_orders(raw: DataFrame, on_error: str = "fail", order_by: Sequence[str] | None = None) -> DataFrame:
-    rows = require_columns(dedup(raw, "order_id", order_by), ["order_id", "customer_id"])
+# Silver table -> (key deduplicated on, columns that must not be NULL).
+CLEANED_BY = {
+    "orders": ("order_id", ["order_id", "customer_id"]),
+    "customers": ("customer_id", ["customer_id", "customer_unique_id"]),
+    "order_items": (None, ["order_id", "product_id"]),
+    "reviews": ("review_id", ["review_id", "order_id"]),
+}
+
+
+def clean_orders(
+    raw: DataFrame, on_error: str = "fail", order_by: Sequence[str] | None = None, losses: Observation | None = None
+) -> DataFrame:
+    rows = usable_rows(raw, *CLEANED_BY["orders"], order_by, losses)
     delivered = F.col("delivered_date")
     return apply_mapping(rows, "orders", on_error).withColumns(
         {
@@ -89,22 +139,26 @@ def clean_orders(raw: DataFrame, on_error: str = "fail", order_by: Sequence[str]
     )
 
 
-def clean_customers(raw: DataFrame, on_error: str = "fail", order_by: Sequence[str] | None = None) -> DataFrame:
-    rows = require_columns(dedup(raw, "customer_id", order_by), ["customer_id", "customer_unique_id"])
+def clean_customers(
+    raw: DataFrame, on_error: str = "fail", order_by: Sequence[str] | None = None, losses: Observation | None = None
+) -> DataFrame:
+    rows = usable_rows(raw, *CLEANED_BY["customers"], order_by, losses)
     return apply_mapping(rows, "customers", on_error)
 
 
-def clean_order_items(raw: DataFrame, on_error: str = "fail") -> DataFrame:
+def clean_order_items(raw: DataFrame, on_error: str = "fail", losses: Observation | None = None) -> DataFrame:
     """Order lines are not deduplicated; a line needs a price of zero or more."""
     return (
-        apply_mapping(require_columns(raw, ["order_id", "product_id"]), "order_items", on_error)
+        apply_mapping(usable_rows(raw, *CLEANED_BY["order_items"], losses=losses), "order_items", on_error)
         .where(F.col("item_price_brl") >= 0)
         .withColumn("total_item_cost_brl", (F.col("item_price_brl") + F.col("freight_cost_brl")).cast(MONEY))
     )
 
 
-def clean_reviews(raw: DataFrame, on_error: str = "fail", order_by: Sequence[str] | None = None) -> DataFrame:
-    rows = require_columns(dedup(raw, "review_id", order_by), ["review_id", "order_id"])
+def clean_reviews(
+    raw: DataFrame, on_error: str = "fail", order_by: Sequence[str] | None = None, losses: Observation | None = None
+) -> DataFrame:
+    rows = usable_rows(raw, *CLEANED_BY["reviews"], order_by, losses)
     return apply_mapping(rows, "reviews", on_error).withColumn("sentiment_label", F.lit(None).cast("string"))
 
 
@@ -129,12 +183,3 @@ SILVER_TABLES = {
     "reviews": ("raw_reviews", clean_reviews),
     "exchange_rates": ("raw_exchange_rates", latest_rates),
 }
-
-# Silver table -> (key deduplicated on, columns that must not be NULL), as the transforms have them.
-CLEANED_BY = {
-    "orders": ("order_id", ["order_id", "customer_id"]),
-    "customers": ("customer_id", ["customer_id", "customer_unique_id"]),
-    "order_items": (None, ["order_id", "product_id"]),
-    "reviews": ("review_id", ["review_id", "order_id"]),
-    "exchange_rates": (None, []),
-}
