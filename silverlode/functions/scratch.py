@@ -27,6 +27,11 @@ def _folder(spark: SparkSession, path: str):
     return folder, folder.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
+def delete_folder(spark: SparkSession, path: str) -> bool:
+    folder, files = _folder(spark, path)
+    return files.delete(folder, True)
+
+
 def _application_path(spark: SparkSession) -> str:
     return f"{scratch_root(spark)}/silverlode/{spark.sparkContext.applicationId}"
 
@@ -52,8 +57,7 @@ def scratch_scope(spark: SparkSession) -> Iterator[str]:
         yield path
     finally:
         _scope.reset(token)
-        folder, files = _folder(spark, path)
-        files.delete(folder, True)
+        delete_folder(spark, path)
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
@@ -66,5 +70,4 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
 
 def drop_scratch(spark: SparkSession) -> bool:
     """Delete all this application materialised outside of scopes and in them: for its very end."""
-    folder, files = _folder(spark, _application_path(spark))
-    return files.delete(folder, True)
+    return delete_folder(spark, _application_path(spark))
