@@ -6,14 +6,16 @@ network. Annotations live in a table of their own, so rebuilding the reviews doe
 
 from __future__ import annotations
 
+import time
+import uuid
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.numbering import number_rows
-from ..sources.tables import append_table
+from ..sources.tables import append_table, overwrite_table
 from .quality import Check, no_nulls, run_checks, values_between, values_in
 
 # Batch size, queue length, and the words an annotation may use.
@@ -22,6 +24,11 @@ QUEUE_LIMIT = 500
 SENTIMENTS = ("positive", "neutral", "negative")
 TOPICS = ("delivery", "product_quality", "pricing", "customer_service", "packaging", "other")
 
+# So many runs may lie in the annotation log beside the state before they are folded into it.
+COMPACT_AFTER = 20
+# Table property of the log: the runs that the state holds.
+_MERGED = "runs.merged"
+
 INSTRUCTIONS = f"""Annotate the customer reviews below. Answer with a JSON array only, one object per review, holding:
 - review_id: as given
 - sentiment: {", ".join(SENTIMENTS)}
@@ -191,15 +198,77 @@ def upsert_annotations(existing: DataFrame, new: DataFrame) -> DataFrame:
 
 
 def append_annotations(new: DataFrame, table: str) -> None:
-    """Add a run's annotations to the annotation table, which is never rewritten."""
-    append_table(new.select("review_id", *ANNOTATION_COLUMNS, F.current_timestamp().alias("annotated_at")), table)
+    """Add a run's annotations to the annotation log, as a partition of its own; none is rewritten."""
+    run = f"{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+    stamped = new.select("review_id", *ANNOTATION_COLUMNS, F.current_timestamp().alias("annotated_at"), F.lit(run).alias("run"))
+    append_table(stamped, table, ["run"])
+
+
+def fold_annotations(log: DataFrame, state: DataFrame | None = None) -> DataFrame:
+    """One row per review with ``annotated_at``: the newest of its rows in ``log`` and in ``state``, which has one a review.
+
+    Rows found in both do no harm, so a log may overlap the state it was folded into. Of rows of one time the one with the
+    greatest fields is taken. A state in buckets of ``review_id``, at least as many as Spark shuffles into, is not shuffled.
+    """
+    newest = F.struct("annotated_at", *ANNOTATION_COLUMNS)
+    folded = log.groupBy("review_id").agg(F.max(newest).alias("last"))
+    if state is not None:
+        known = state.select("review_id", newest.alias("known"))
+        folded = known.join(folded, "review_id", "full_outer").select("review_id", F.greatest("known", "last").alias("last"))
+    return folded.select("review_id", *[F.col(f"last.{c}") for c in (*ANNOTATION_COLUMNS, "annotated_at")])
 
 
-def current_annotations(log: DataFrame) -> DataFrame:
+def current_annotations(log: DataFrame, state: DataFrame | None = None) -> DataFrame:
     """The annotation in force for each review: the one appended last."""
-    fields = F.struct(*ANNOTATION_COLUMNS)
-    newest = F.max_by(fields, "annotated_at").alias("last")
-    return log.groupBy("review_id").agg(newest).select("review_id", "last.*")
+    return fold_annotations(log, state).drop("annotated_at")
+
+
+def state_table(table: str) -> str:
+    return f"{table}_state"
+
+
+def _runs(spark: SparkSession, table: str) -> tuple[list[str], list[str]]:
+    """The runs in the log of ``table``, and those of them that its state holds already."""
+    runs = sorted(row[0].partition("=")[2] for row in spark.sql(f"SHOW PARTITIONS {table}").collect())
+    merged = spark.sql(f"SHOW TBLPROPERTIES {table}").where(F.col("key") == _MERGED).first()
+    merged = set(merged["value"].split(",")) if merged else set()
+    return runs, [run for run in runs if run in merged]
+
+
+def _log_and_state(spark: SparkSession, table: str) -> tuple[DataFrame, DataFrame | None]:
+    """The runs of the log that the state lacks, and the state, if there is one yet."""
+    state = spark.table(state_table(table)) if spark.catalog.tableExists(state_table(table)) else None
+    merged = _runs(spark, table)[1] if state is not None else []
+    return spark.table(table).where(~F.col("run").isin(merged)), state
+
+
+def read_annotations(spark: SparkSession, table: str) -> DataFrame | None:
+    """The annotation in force for each review, from the state of ``table`` and the runs since; None before the first run."""
+    return current_annotations(*_log_and_state(spark, table)) if spark.catalog.tableExists(table) else None
+
+
+def compact_annotations(spark: SparkSession, table: str, after: int = COMPACT_AFTER, buckets: int | None = None) -> bool:
+    """Fold the log into the state when it holds ``after`` runs that the state lacks; whether that was done.
+
+    The new state is written whole before it takes the place of the old one. The runs it holds leave the log with the next
+    compaction, so queries that read them can end; reads and compactions cost the state and at most ``after`` runs however many
+    there were. A run appended meanwhile stays in the log, and after a crash at any point rows are at worst folded again. The
+    state lies in ``buckets`` by review, by default as many as Spark shuffles into.
+    """
+    if not spark.catalog.tableExists(table):
+        return False
+    runs, merged = _runs(spark, table)
+    waiting = [run for run in runs if run not in merged]
+    if len(waiting) < max(1, after):
+        return False
+    log, state = _log_and_state(spark, table)
+    folded = fold_annotations(log.where(F.col("run").isin(waiting) & F.col("review_id").isNotNull()), state)
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    overwrite_table(folded, state_table(table), bucket_by=(buckets, "review_id"))
+    spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{_MERGED}' = '{','.join(waiting)}')")
+    for run in merged:
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (run = '{run}')")
+    return True
 
 
 def with_annotation_columns(reviews: DataFrame) -> DataFrame:

@@ -60,8 +60,9 @@ def staging(spark: SparkSession) -> dict[str, DataFrame]:
     """The staging relations over the current tables, also registered as views."""
     silver = {t: spark.table(layer("silver", t)) for t in SILVER_TABLES}
     reviews = annotate.with_annotation_columns(silver["reviews"])
-    if spark.catalog.tableExists(ANNOTATIONS_TABLE):
-        reviews = annotate.annotated_reviews(reviews, annotate.current_annotations(spark.table(ANNOTATIONS_TABLE)))
+    annotations = annotate.read_annotations(spark, ANNOTATIONS_TABLE)
+    if annotations is not None:
+        reviews = annotate.annotated_reviews(reviews, annotations)
     staged = {
         "stg_orders": gold.stg_orders(silver["orders"]),
         "stg_customers": gold.stg_customers(silver["customers"]),
@@ -129,13 +130,13 @@ def annotate_reviews(
     again by a retry or another run.
     """
     reviews = spark.table("silver.reviews")
-    done = spark.table(ANNOTATIONS_TABLE) if spark.catalog.tableExists(ANNOTATIONS_TABLE) else None
-    queue = annotate.annotation_queue(reviews, done, limit)
+    queue = annotate.annotation_queue(reviews, annotate.read_annotations(spark, ANNOTATIONS_TABLE), limit)
     prompts = annotate.build_prompts(annotate.make_batches(queue))
     responses = materialize(answers.ask(prompts, annotator, store or answer_store(spark), pace), "responses")
     parsed = annotate.parse_annotations(responses)
     known = annotate.last_per_review(parsed).join(reviews.select("review_id"), "review_id", "left_semi")
     annotate.append_annotations(known, ANNOTATIONS_TABLE)
+    annotate.compact_annotations(spark, ANNOTATIONS_TABLE)
     return annotate.run_summary(responses, parsed, reviews)
 
 

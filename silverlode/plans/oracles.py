@@ -654,10 +654,9 @@ _oracle(
     """SELECT CASE shape WHEN 3 THEN 'response is not JSON' END AS error, CASE shape WHEN 2 THEN 'response holds no list' END AS warning,
               count(*) AS n FROM answers GROUP BY 1, 2""",
 )
-_oracle(
-    "annotation_upsert",
-    "SELECT * FROM last_answers UNION ALL SELECT * FROM annotated WHERE review_id NOT IN (SELECT review_id FROM last_answers)",
-)
+_UPSERTED = "SELECT * FROM last_answers UNION ALL SELECT * FROM annotated WHERE review_id NOT IN (SELECT review_id FROM last_answers)"
+_oracle("annotation_state", _UPSERTED)
+_oracle("annotation_upsert", _UPSERTED)
 _oracle(
     "annotation_summary",
     """SELECT CAST(count(*) AS BIGINT) AS reviews_processed, count(*) FILTER (WHERE shape = 3) AS batches_with_errors,
@@ -807,3 +806,7 @@ _oracle(
            UNION ALL SELECT 'restore_annotation_columns', 0
            UNION ALL SELECT 'gold_layer', (SELECT count(*) FROM silver_items JOIN silver_orders USING (order_id) LEFT JOIN silver_reviews USING (order_id)))""",
 )
+_oracle(
+    "table_refreshed",
+    "SELECT l_returnflag, count(*) AS n, sum(CAST(l_quantity AS DOUBLE)) AS pieces FROM lineitem WHERE l_quantity >= 2 GROUP BY l_returnflag",
+)

@@ -14,7 +14,7 @@ from ..functions.selection import exact_median
 from ..operators import annotate, answers, churn, features, gold, mapping, metrics, quality, silver
 from ..sources import adapters, csv, rates
 from ..sources.adapters import Tables
-from ..sources.tables import as_view, create_layers, describe_table, layer, overwrite_table, read_table, sample_rows
+from ..sources.tables import as_view, create_layers, describe_table, drop_table, layer, overwrite_table, read_table, sample_rows
 from ..streaming.rates_feed import feed_rates
 from . import builds
 
@@ -728,6 +728,16 @@ def annotation_upsert(t: Tables) -> DataFrame:
     return annotate.upsert_annotations(annotations(t), new)
 
 
+@query
+def annotation_state(t: Tables) -> DataFrame:
+    """The same from the log: the first run is folded into the state, the second one is still to be."""
+    table = new_table(t, "silver", "annotations")
+    annotate.append_annotations(annotations(t), table)
+    annotate.compact_annotations(t.spark, table, after=1)
+    annotate.append_annotations(annotate.last_per_review(annotate.parse_annotations(payload_responses(t))), table)
+    return annotate.read_annotations(t.spark, table)
+
+
 @query
 def annotation_summary(t: Tables) -> DataFrame:
     answers = payload_responses(t)
@@ -798,6 +808,21 @@ def write_csv_files(t: Tables, lower_prices: bool = False) -> str:
     return folder
 
 
+@query
+def table_refreshed(t: Tables) -> DataFrame:
+    """A table refreshed from itself by its lines of two and more pieces, after which a refresh that fails half-way changes nothing."""
+    table = new_table(t, "silver", "lines")
+    overwrite_table(t["lineitem"].select("l_orderkey", "l_returnflag", "l_quantity"), table)
+    overwrite_table(t.spark.table(table).where("l_quantity >= 2"), table)
+    broken = F.when(F.col("l_orderkey") % 2 == 0, F.col("l_quantity")).otherwise(F.raise_error(F.lit("stopped on purpose")))
+    try:
+        overwrite_table(t.spark.table(table).withColumn("l_quantity", broken.cast("double")), table)
+    except Exception as error:
+        if "stopped on purpose" not in str(error):
+            raise
+    return t.spark.table(table).groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("n"), F.sum("l_quantity").alias("pieces"))
+
+
 @query
 def csv_tables_loaded(t: Tables) -> DataFrame:
     """Every CSV file that exists loaded twice into its bronze table; the second load replaces the first."""
@@ -894,8 +919,8 @@ def metrics_recorded(t: Tables) -> DataFrame:
 def whole_run(t: Tables) -> DataFrame:
     """The monitored run from CSV files and a payload to gold, with its rows per stage."""
     open_layers(t)
-    for table in ("bronze.raw_exchange_rates", builds.ANNOTATIONS_TABLE):
-        t.spark.sql(f"DROP TABLE IF EXISTS {table}")
+    for table in ("bronze.raw_exchange_rates", builds.ANNOTATIONS_TABLE, annotate.state_table(builds.ANNOTATIONS_TABLE)):
+        drop_table(t.spark, table)
     run = uuid.uuid4().hex
     landing, model = scratch_path(t.spark, "landing"), scratch_path(t.spark, "model")
     number = t["orders"].agg(F.count(F.lit(1)).cast("string").alias("n"))

@@ -3,6 +3,7 @@ import json
 import pytest
 
 from silverlode.operators import annotate as a
+from silverlode.sources import tables
 
 REVIEWS = "review_id string, order_id string, rating int, review_text string"
 
@@ -145,3 +146,48 @@ def test_text_around_the_json_is_an_error(spark, text):
 def test_annotator_tasks(spark):
     prompts = a.build_prompts(a.make_batches(a.annotation_queue(reviews(spark), limit=None)))
     assert a.apply_annotator(prompts, lambda p: ["[]"] * len(p), tasks=3).count() == 3
+
+
+def test_state_and_log_over_ten_runs(spark):
+    spark.sql("CREATE DATABASE IF NOT EXISTS silver")
+    table, expected, compactions = "silver.ten_runs", {}, 0
+    for name in (table, a.state_table(table)):
+        tables.drop_table(spark, name)
+    assert a.read_annotations(spark, table) is None and not a.compact_annotations(spark, table, after=1)
+    for run in range(10):
+        rows = [(f"r{k}", a.SENTIMENTS[(run + k) % 3], run / 10, "other", False) for k in range(run, run + 20, 1 + run % 3)]
+        a.append_annotations(spark.createDataFrame(rows, "review_id string, " + ", ".join(f"{c} {t}" for c, t in a.ANNOTATION_COLUMNS.items())), table)
+        expected.update({row[0]: row[1:] for row in rows})
+        compactions += a.compact_annotations(spark, table, after=3, buckets=8)
+        found = a.read_annotations(spark, table)
+        assert {row[0]: tuple(row[1:]) for row in found.collect()} == expected and found.count() == len(expected)
+        assert spark.sql(f"SHOW PARTITIONS {table}").count() <= 6
+    assert compactions == 3
+    # the state keeps its buckets: only the runs of the log are shuffled
+    plan = a.read_annotations(spark, table)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Bucketed: true" in plan
+
+
+def test_a_compaction_that_stops_half_way_does_no_harm(spark, monkeypatch):
+    spark.sql("CREATE DATABASE IF NOT EXISTS silver")
+    table = "silver.stopped_runs"
+    for name in (table, a.state_table(table)):
+        tables.drop_table(spark, name)
+    schema = "review_id string, " + ", ".join(f"{c} {t}" for c, t in a.ANNOTATION_COLUMNS.items())
+    row = lambda review, sentiment: (review, sentiment, 0.5, "other", None)
+    a.append_annotations(spark.createDataFrame([row("r1", "neutral"), row("r2", None)], schema), table)
+    write = a.overwrite_table
+
+    def stops(df, name, **options):
+        write(df, name, **options)
+        raise OSError("driver lost")
+
+    monkeypatch.setattr(a, "overwrite_table", stops)
+    with pytest.raises(OSError):
+        a.compact_annotations(spark, table, after=1)
+    monkeypatch.undo()
+    a.append_annotations(spark.createDataFrame([row("r1", "positive")], schema), table)
+    for _ in range(3):
+        found = {r["review_id"]: r["sentiment_label"] for r in a.read_annotations(spark, table).collect()}
+        assert found == {"r1": "positive", "r2": None}
+        a.compact_annotations(spark, table, after=1)
