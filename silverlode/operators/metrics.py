@@ -20,6 +20,8 @@ METRICS_SCHEMA = (
     "extra_metrics string, error_message string, created_at timestamp"
 )
 RECENT_RUNS, SUMMARY_RUNS = 10, 5
+# A recorded stage is a file; more files than this are merged into one.
+MOST_FILES = 64
 
 # The tables whose presence tells the health of their layer, with a column that dates them.
 HEALTH_TABLES = {
@@ -33,7 +35,25 @@ HEALTH_TABLES = {
 def setup_metrics_table(spark: SparkSession) -> None:
     create_layers(spark)
     if not spark.catalog.tableExists(METRICS_TABLE):
-        spark.createDataFrame([], METRICS_SCHEMA).write.saveAsTable(METRICS_TABLE)
+        overwrite_table(spark.createDataFrame([], METRICS_SCHEMA), METRICS_TABLE)
+
+
+def compact_metrics(spark: SparkSession, most_files: int | None = None) -> bool:
+    """Merge the files of the metrics table into one when there are more than ``most_files``; whether that was done.
+
+    The merged file takes their place in one step, so readers find every row once. Rows that another application adds while the
+    files are merged are looked for in the version before and added again; one that it commits after that look, having
+    begun before the switch, stays in the version before.
+    """
+    files = spark.table(METRICS_TABLE).inputFiles()
+    if len(files) <= (MOST_FILES if most_files is None else most_files):
+        return False
+    read = spark.read.schema(METRICS_SCHEMA)
+    overwrite_table(read.parquet(*files).coalesce(1), METRICS_TABLE)  # a row is a recorded stage
+    late = set(read.parquet(files[0].rsplit("/", 1)[0]).inputFiles()) - set(files)
+    if late:
+        append_table(read.parquet(*late), METRICS_TABLE)
+    return True
 
 
 def record_metric(
@@ -52,6 +72,7 @@ def record_metric(
         columns = [f for f in METRICS_SCHEMA.split(", ") if not f.startswith("created_at")]
         one = spark.createDataFrame([row], ", ".join(columns)).withColumn("created_at", F.current_timestamp())
         append_table(one.coalesce(1), METRICS_TABLE)
+        compact_metrics(spark)
     except Exception as error:  # metrics must not break the job
         log.warning("could not record the metric of stage %s: %s", stage, error)
 
