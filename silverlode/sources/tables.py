@@ -61,9 +61,9 @@ def overwrite_table(
     """Full refresh: readers find the old rows until the new ones are written whole, and keep them when the write fails.
 
     Every version of a table has a folder of its own under ``_versions`` of the database; the table is an external one that
-    points at the newest. A refresh of the same columns changes that pointer in one step of the catalog. Where columns,
-    partitions or buckets change, two renames put a new table in place of the old one, and for the moment between them
-    there is no table. The version before stays until the next refresh, for queries that still read it; so ``df`` may read the table.
+    points at the newest. A refresh of the same columns changes that pointer in one step of the catalog. Where columns
+    change, and wherever there are partitions or buckets, two renames put a new table in place of the old one, and for the
+    moment between them there is no table. The version before stays until the next refresh, for queries that still read it; so ``df`` may read the table.
     ``bucket_by`` are the number of buckets and their column, in which each bucket is sorted.
     """
     spark = df.sparkSession
