@@ -83,3 +83,23 @@ def number_rows(
     return placed.join(F.broadcast(offsets), "_range").select(
         (F.col("_offset") + F.col("_place") + 1).alias(name), *df.columns
     )
+
+
+def running_total(df: DataFrame, key: str, amount: str, name: str) -> DataFrame:
+    """``key`` and ``name``: the sum of ``amount`` over all rows with a smaller ``key``, which must be unique.
+
+    Rows are dealt into ranges of the key, which are written with the rows, so sums inside ranges and the offsets of the ranges
+    fit together however often a task is retried. ``df`` should be a written table, as Spark draws a sample of its keys first.
+    """
+    ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = df.select(key, amount).repartitionByRange(ranges, key).withColumn("_range", F.spark_partition_id())
+    placed = materialize(dealt, "ranges")
+    earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (
+        placed.groupBy("_range")
+        .agg(F.sum(amount).alias("_sum"))
+        .select("_range", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_offset"))
+    )
+    before = F.sum(amount).over(Window.partitionBy("_range").orderBy(key).rowsBetween(Window.unboundedPreceding, -1))
+    summed = placed.repartitionById(ranges, "_range").select("_range", key, F.coalesce(before, F.lit(0)).alias("_before"))
+    return summed.join(F.broadcast(offsets), "_range").select(key, (F.col("_offset") + F.col("_before")).alias(name))

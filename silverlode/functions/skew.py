@@ -16,26 +16,33 @@ ROWS_PER_TASK = 2_000_000
 BROADCAST_KEYS = 100_000
 
 
+def count_keys(frames: Sequence[DataFrame], key: str) -> DataFrame:
+    """One row per value of ``key`` with its rows in each of ``frames``, as ``_n0``, ``_n1`` and so on.
+
+    The key columns are counted exactly, with map-side combining; rows without a key are left out.
+    """
+    rows = [df.select(F.col(key), *[F.lit(int(i == k)).alias(f"_n{k}") for k in range(len(frames))]) for i, df in enumerate(frames)]
+    together = reduce(DataFrame.unionByName, rows).where(F.col(key).isNotNull())
+    return together.groupBy(key).agg(*[F.sum(f"_n{k}").alias(f"_n{k}") for k in range(len(frames))])
+
+
 def hot_keys(
     left: DataFrame, last: DataFrame | None, key: str, rows_per_task: int = ROWS_PER_TASK, last_rows_per_task: int | None = None
 ) -> DataFrame:
     """Keys that deserve more than one task, with the tasks their rows in ``left`` and in ``last`` should get.
 
-    The key columns are counted exactly, with map-side combining. The list is a written table of at most one row per
-    ``rows_per_task`` rows of input.
+    The list is a written table of at most one row per ``rows_per_task`` rows of input.
     """
-    frames = [(left, 1, 0)] + ([(last, 0, 1)] if last is not None else [])
-    rows = [df.select(F.col(key), F.lit(a).alias("_a"), F.lit(b).alias("_b")) for df, a, b in frames]
-    counted = (
-        reduce(DataFrame.unionByName, rows)
-        .where(F.col(key).isNotNull())
-        .groupBy(key)
-        .agg(F.sum("_a").alias("_a"), F.sum("_b").alias("_b"))
-    )
+    counted = count_keys([left] if last is None else [left, last], key)
+    return hot_counts(counted if last is not None else counted.withColumn("_n1", F.lit(0)), key, rows_per_task, last_rows_per_task)
+
+
+def hot_counts(counted: DataFrame, key: str, rows_per_task: int = ROWS_PER_TASK, last_rows_per_task: int | None = None) -> DataFrame:
+    """``hot_keys`` where the keys are counted already: ``_n0`` rows on the left, ``_n1`` in the last frame."""
     pieces = counted.select(
         key,
-        F.greatest(F.lit(1), F.ceil(F.col("_a") / rows_per_task)).cast("int").alias("_left_pieces"),
-        F.greatest(F.lit(1), F.ceil(F.col("_b") / (last_rows_per_task or rows_per_task))).cast("int").alias("_last_pieces"),
+        F.greatest(F.lit(1), F.ceil(F.col("_n0") / rows_per_task)).cast("int").alias("_left_pieces"),
+        F.greatest(F.lit(1), F.ceil(F.col("_n1") / (last_rows_per_task or rows_per_task))).cast("int").alias("_last_pieces"),
     )
     return materialize(pieces.where("_left_pieces > 1 OR _last_pieces > 1"), "hot-keys")
 

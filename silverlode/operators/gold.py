@@ -6,8 +6,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import MONEY, date_key
-from ..functions.numbering import number_rows
-from ..functions.skew import hot_keys, salted_join
+from ..functions.numbering import number_rows, running_total
+from ..functions.scratch import materialize
+from ..functions.skew import count_keys, hot_counts, hot_keys, salted_join
 
 LOCAL_CURRENCY = "BRL"
 
@@ -169,17 +170,13 @@ def one_review_per_order(reviews: DataFrame) -> DataFrame:
     return reviews.withColumn("_nth", F.row_number().over(first)).where(F.col("_nth") == 1).drop("_nth")
 
 
-def _matched_lines(
-    orders: DataFrame,
-    items: DataFrame,
-    reviews: DataFrame,
-    single_review: bool = False,
-    hot_options: dict | None = None,
-) -> tuple[DataFrame, DataFrame]:
-    """Order lines with their order, once per review of the order; and the orders found to be hot.
+def _parts_of_lines(
+    orders: DataFrame, items: DataFrame, reviews: DataFrame, single_review: bool = False
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The columns of order lines, orders and reviews that fact rows are made of.
 
-    Lines, orders and reviews meet on ``order_id``, so one shuffle of each serves both joins; an order holding
-    very many lines or reviews is cut into pieces first.
+    Orders and reviews are deduplicated on the way here, the reviews by their texts too, and are read more than once below; so
+    the few columns of them are written.
     """
     review_columns = (one_review_per_order(reviews) if single_review else reviews).select(
         "order_id",
@@ -194,10 +191,16 @@ def _matched_lines(
         "order_id", "order_item_id", "product_key", "item_price_brl", "freight_cost_brl",
         F.col("total_item_cost_brl").alias("total_amount_brl"),
     )
-    hot = hot_keys(item_columns, None if single_review else review_columns, "order_id", **(hot_options or {}))
+    return item_columns, materialize(order_columns, "fact-orders"), materialize(review_columns, "fact-reviews")
+
+
+def _matched_lines(items: DataFrame, orders: DataFrame, reviews: DataFrame, hot: DataFrame) -> DataFrame:
+    """Order lines with their order, once per review of the order.
 
-    joins = [(order_columns, "inner"), (review_columns, "left")]
-    return salted_join(item_columns, joins, "order_id", hot), hot
+    Lines, orders and reviews meet on ``order_id``, so one shuffle of each serves both joins; an order holding
+    very many lines or reviews is cut into pieces first.
+    """
+    return salted_join(items, [(orders, "inner"), (reviews, "left")], "order_id", hot)
 
 
 def _with_usd(lines: DataFrame, rates: DataFrame) -> DataFrame:
@@ -218,22 +221,46 @@ def _with_usd(lines: DataFrame, rates: DataFrame) -> DataFrame:
     )
 
 
-def order_lines(orders: DataFrame, items: DataFrame, reviews: DataFrame, rates: DataFrame, **options) -> DataFrame:
+def order_lines(
+    orders: DataFrame,
+    items: DataFrame,
+    reviews: DataFrame,
+    rates: DataFrame,
+    single_review: bool = False,
+    hot_options: dict | None = None,
+) -> DataFrame:
     """The fact rows without surrogate key: each order line, once per review of its order. Inputs as staged.
 
-    Options: ``single_review``, and ``hot_options`` for the search for hot orders (see ``hot_keys``).
+    ``hot_options`` are those of the search for hot orders (see ``hot_keys``).
     """
-    return _with_usd(_matched_lines(orders, items, reviews, **options)[0], rates).select(*FACT_COLUMNS[1:])
+    items, orders, reviews = _parts_of_lines(orders, items, reviews, single_review)
+    hot = hot_keys(items, None if single_review else reviews, "order_id", **(hot_options or {}))
+    return _with_usd(_matched_lines(items, orders, reviews, hot), rates).select(*FACT_COLUMNS[1:])
 
 
-def fact_orders(orders: DataFrame, items: DataFrame, reviews: DataFrame, rates: DataFrame, **options) -> DataFrame:
+def fact_orders(
+    orders: DataFrame,
+    items: DataFrame,
+    reviews: DataFrame,
+    rates: DataFrame,
+    single_review: bool = False,
+    hot_options: dict | None = None,
+) -> DataFrame:
     """``order_lines`` with the surrogate key ``fact_id`` = 1..n by order and line.
 
-    Rows are numbered before the derived amounts are added, which follow from columns already ordered by. The ranges they are
-    numbered in come from the keys of the order lines, so the joins run once; only where an order is hot, and its lines may be
-    repeated by very many reviews, are ranges found in the joined rows.
+    How many rows an order has follows from how often its key occurs in the three inputs. So the rows of all orders before it are
+    summed over the keys alone, and its own rows are numbered where the joins bring them together: no fact row is moved or written
+    to be numbered. Where an order is hot its rows must not come together; all rows are then dealt into ranges.
     """
-    lines, hot = _matched_lines(orders, items, reviews, **options)
-    keys = items.select("order_id", "order_item_id") if hot.isEmpty() else None
-    lines = number_rows(lines, ["order_id", "order_item_id"], "fact_id", LINE_COLUMNS, keys)
-    return _with_usd(lines, rates).select(*FACT_COLUMNS)
+    items, orders, reviews = _parts_of_lines(orders, items, reviews, single_review)
+    counted = materialize(count_keys([items, reviews, orders], "order_id"), "order-counts")
+    hot = hot_counts(counted, "order_id", **(hot_options or {}))
+    lines = _matched_lines(items, orders, reviews, hot)
+    if not hot.isEmpty():
+        numbered = number_rows(lines, ["order_id", "order_item_id"], "fact_id", LINE_COLUMNS)
+        return _with_usd(numbered, rates).select(*FACT_COLUMNS)
+    rows = F.col("_n0") * F.greatest(F.col("_n1"), F.lit(1)) * F.col("_n2")
+    before = running_total(counted.select("order_id", rows.alias("_rows")).where("_rows > 0"), "order_id", "_rows", "_before")
+    within = Window.partitionBy("order_id").orderBy(*[F.col(c).asc_nulls_first() for c in ("order_item_id", *LINE_COLUMNS)])
+    numbered = lines.join(before, "order_id").withColumn("fact_id", F.col("_before") + F.row_number().over(within))
+    return _with_usd(numbered, rates).select(*FACT_COLUMNS)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from silverlode.functions import selection
 from silverlode.functions.columns import elapsed_days, risk_tier
-from silverlode.functions.numbering import number_rows
+from silverlode.functions.numbering import number_rows, running_total
 from silverlode.functions.scratch import drop_scratch, materialize, scratch_root, scratch_scope
 from silverlode.functions.selection import exact_median, lowest_share
 from silverlode.functions.skew import hot_keys, salted_join
@@ -238,3 +238,15 @@ def test_scratch_falls_back_to_the_warehouse(spark, monkeypatch):
 def test_dropping_all_scratch(spark):
     materialize(spark.range(1), "gone")
     assert drop_scratch(spark)
+
+
+@pytest.mark.parametrize("n", [0, 1, 3000])
+def test_running_total(spark, n):
+    rng = random.Random(5)
+    rows = [(f"k{i}", rng.choice([0, 1, 5, 10**12])) for i in rng.sample(range(10 * n + 1), n)]
+    got = running_total(spark.createDataFrame(rows, "k string, n long").repartition(5), "k", "n", "before")
+    expected, total = [], 0
+    for key, amount in sorted(rows):
+        expected.append((key, total))
+        total += amount
+    assert sorted(map(tuple, got.collect())) == expected
