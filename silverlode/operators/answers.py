@@ -24,6 +24,8 @@ from .annotate import Annotator, call_annotator, read_responses
 ANSWER_SCHEMA = "request string, response string, error string, attempts int, answered_at timestamp"
 # A call is a task and a small file; more calls than this are more than one job.
 CALLS_PER_JOB = 10_000
+# A list of this many requests, each with its batch and call, takes some 60 MB.
+BROADCAST_REQUESTS = 500_000
 
 
 @dataclass(frozen=True)
@@ -86,8 +88,8 @@ def answer_state(answers: DataFrame) -> DataFrame:
 
 
 def waiting_requests(prompts: DataFrame, answers: DataFrame, most_attempts: int) -> DataFrame:
-    """``request``, ``prompt`` of the prompts to ask, equal ones once: no readable answer, and attempts left."""
-    wanted = with_requests(prompts).groupBy("request").agg(F.first("prompt").alias("prompt"))
+    """``request``, ``batch_id`` of the prompts to ask, equal ones once: no readable answer, and attempts left. No text is moved."""
+    wanted = with_requests(prompts).groupBy("request").agg(F.min("batch_id").alias("batch_id"))
     known = answer_state(answers).where(F.col("response").isNotNull() | (F.col("attempts") >= most_attempts))
     return wanted.join(known, "request", "left_anti")
 
@@ -127,20 +129,32 @@ def ask(
     pace: Pace = Pace(),
     most_attempts: int = 3,
     prompts_per_call: int = 1,
+    written: bool = False,
 ) -> DataFrame:
     """Ask for the prompts the store at ``path`` has no answer to, and return the answers to all of ``prompts``
-    (``batch_id``, ``batch_size``, ``prompt``): columns ``batch_id``, ``batch_size``, ``response``, ``error``.
+    (``batch_id``, which no two of them share, ``batch_size``, ``prompt``): columns ``batch_id``, ``batch_size``, ``response``, ``error``.
 
-    When it raises, as when the driver is lost, what was answered until then is in the store.
+    When it raises, as when the driver is lost, what was answered until then is in the store. The prompts are read more than once;
+    they are written first unless they come from a table that is, as ``written`` tells.
+
+    Calls are numbered by the requests alone, and the texts are moved once, to the task of their call. The list of requests to ask
+    is broadcast up to ``BROADCAST_REQUESTS`` and joined by shuffle beyond; where calls are more than a job has, the texts are
+    written in order of their calls, so that each job reads its own.
     """
     spark = prompts.sparkSession
-    prompts = materialize(prompts, "prompts")
+    prompts = prompts if written else materialize(prompts, "prompts")
     waiting = waiting_requests(prompts, read_answers(spark, path), most_attempts)
-    placed = number_rows(waiting, ["request"], "place", []).withColumn("call", F.expr(f"(place - 1) div {prompts_per_call}"))
-    calls = -(-placed.count() // prompts_per_call)
+    placed = number_rows(waiting, ["request"], "place", ["batch_id"]).withColumn("call", F.expr(f"(place - 1) div {prompts_per_call}"))
+    requests = placed.count()
+    calls = -(-requests // prompts_per_call)
+    listed = placed.select("request", "batch_id", "call")
+    listed = F.broadcast(listed) if requests <= BROADCAST_REQUESTS else listed
+    texts = with_requests(prompts).join(listed, ["request", "batch_id"]).select("call", "request", "prompt")
+    if calls > CALLS_PER_JOB:
+        texts = materialize(texts.repartitionByRange("call").sortWithinPartitions("call"), "calls")
     for first in range(0, calls, CALLS_PER_JOB):
         count = min(CALLS_PER_JOB, calls - first)
-        of_job = placed.where((F.col("call") >= first) & (F.col("call") < first + count))
+        of_job = texts.where((F.col("call") >= first) & (F.col("call") < first + count))
         each = of_job.repartitionById(count, (F.col("call") - first).cast("int")).select("request", "prompt")
         asked = each.mapInPandas(_asking(annotator, pace), "request string, response string, error string, attempts int")
         asked = asked.withColumn("answered_at", F.current_timestamp())

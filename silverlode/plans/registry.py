@@ -677,7 +677,7 @@ def asked_twice(t: Tables) -> tuple[DataFrame, DataFrame]:
     prompts = materialize(annotate.build_prompts(annotate.make_batches(annotate.annotation_queue(reviews(t), limit=None))), "prompts")
     store = scratch_path(t.spark, "answers")
     for refused in ("8", "4"):
-        answers.ask(prompts, moody_annotator(refused), store, most_attempts=2, prompts_per_call=100)
+        answers.ask(prompts, moody_annotator(refused), store, most_attempts=2, prompts_per_call=100, written=True)
     return prompts, answers.read_answers(t.spark, store)
 
 

@@ -122,3 +122,25 @@ def test_a_later_answer_replaces_an_error(spark):
     got = {r.request: (r.attempts, r.response, r.error) for r in state.collect()}
     assert got == {"r": (2, "[]", None), "s": (3, None, "response is not JSON")}
     assert annotate.call_annotator(lambda p: 1 / 0, ["a", "b"])[1].args == ("division by zero",)
+
+
+def test_texts_of_a_written_table_are_not_written_again(spark, tmp_path, prompts, monkeypatch):
+    path = str(tmp_path / "prompts")
+    prompts(20).write.parquet(path)
+    table = spark.read.parquet(path)
+
+    def refused(df, label):
+        raise AssertionError(f"{label} written")
+
+    monkeypatch.setattr(answers, "materialize", refused)
+    assert set(answers.waiting_requests(table, answers.read_answers(spark, str(tmp_path / "none")), 3).columns) == {"request", "batch_id"}
+    done = answers.ask(table, lambda asked: ["[]"] * len(asked), str(tmp_path / "store"), prompts_per_call=7, written=True)
+    assert done.where("response = '[]'").count() == 20
+
+
+@pytest.mark.parametrize("broadcast", [0, 500_000])
+def test_long_lists_of_requests_are_joined(spark, tmp_path, prompts, monkeypatch, broadcast):
+    monkeypatch.setattr(answers, "BROADCAST_REQUESTS", broadcast)
+    log = str(tmp_path / "log")
+    answers.ask(prompts(20), logging_annotator(log), str(tmp_path / "store"), prompts_per_call=3)
+    assert calls(log) == Counter({f"prompt {i}": 1 for i in range(20)})
