@@ -10,7 +10,7 @@ import time
 import uuid
 from collections.abc import Callable, Iterator, Sequence
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,6 +21,8 @@ from .quality import Check, no_nulls, run_checks, values_between, values_in
 # Batch size, queue length, and the words an annotation may use.
 BATCH_SIZE = 10
 QUEUE_LIMIT = 500
+# Prompts handed to the annotator at once where nothing is stored: a few MB of text.
+PROMPTS_PER_CALL = 100
 SENTIMENTS = ("positive", "neutral", "negative")
 TOPICS = ("delivery", "product_quality", "pricing", "customer_service", "packaging", "other")
 
@@ -100,26 +102,31 @@ def call_annotator(annotator: Annotator, prompts: list[str]) -> list:
 
 
 def apply_annotator(prompts: DataFrame, annotator: Annotator, tasks: int | None = None) -> DataFrame:
-    """Run the caller's function over the prompts, a whole Arrow batch to a call. Nothing is stored; see ``answers.ask``.
+    """Run the caller's function over the prompts, ``PROMPTS_PER_CALL`` to a call. Nothing is stored; see ``answers.ask``.
 
     It returns one answer, or one exception, per prompt. When a call for several prompts raises, they are asked one by
-    one, so an error marks its own batch only.
+    one, so an error marks its own batch only. Only the prompts of a call are Python objects, however many Spark hands over.
 
     ``tasks`` is the number of parallel callers: annotators wait on a network, so the size of the prompts says
     nothing about it.
     """
 
-    def ask(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            given = call_annotator(annotator, frame["prompt"].tolist()) if len(frame) else []
-            failed = [isinstance(one, Exception) for one in given]
-            answers = [None if bad else one for one, bad in zip(given, failed)]
-            errors = [f"{type(one).__name__}: {one}" if bad else None for one, bad in zip(given, failed)]
-            yield frame[["batch_id", "batch_size"]].assign(response=answers, error=errors)
+    names = ["batch_id", "batch_size", "response", "error"]
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first in range(0, batch.num_rows, PROMPTS_PER_CALL):
+                part = batch.slice(first, PROMPTS_PER_CALL)
+                given = call_annotator(annotator, part.column("prompt").to_pylist())
+                failed = [isinstance(one, Exception) for one in given]
+                answers = [None if bad else one for one, bad in zip(given, failed)]
+                errors = [f"{type(one).__name__}: {one}" if bad else None for one, bad in zip(given, failed)]
+                texts = [pa.array(answers, pa.string()), pa.array(errors, pa.string())]
+                yield pa.RecordBatch.from_arrays([part.column("batch_id"), part.column("batch_size"), *texts], names)
 
     if tasks is not None:
         prompts = prompts.repartition(tasks, "batch_id")
-    return prompts.mapInPandas(ask, "batch_id bigint, batch_size int, response string, error string")
+    return prompts.select("batch_id", "batch_size", "prompt").mapInArrow(ask, "batch_id bigint, batch_size int, response string, error string")
 
 
 def read_responses(responses: DataFrame) -> DataFrame:
@@ -131,7 +138,8 @@ def read_responses(responses: DataFrame) -> DataFrame:
     """
     text = F.btrim("response", F.lit(" \t\r\n"))
     # The parser stops at the end of the first value. Put into an object before a key only this text can have, the
-    # answer must be one value and nothing else for that key, and just two keys, to come out again.
+    # answer must be one value and nothing else for that key, and just two keys, to come out again; text that is no JSON
+    # breaks the object.
     mark = F.md5(text)
     wrapped = F.concat(F.lit('{"v":'), text, F.lit(',"'), mark, F.lit('":1}'))
     keys = F.map_keys(F.try_variant_get(F.try_parse_json(wrapped), "$", "map<string,variant>"))
@@ -140,7 +148,7 @@ def read_responses(responses: DataFrame) -> DataFrame:
     first_list = F.try_element_at(F.filter(members, lambda v: F.schema_of_variant(v).startswith("ARRAY")), F.lit(1))
     listed = F.when(text.startswith("["), text).when(text.startswith("{"), F.to_json(first_list))
     return (
-        responses.withColumn("_parsed", F.try_parse_json(text).isNotNull() & whole)
+        responses.withColumn("_parsed", whole)
         .withColumn("_list", listed)
         .withColumn("items", F.when(F.col("_parsed"), F.from_json(F.coalesce("_list", F.lit("[]")), _ITEMS)))
         .withColumn(
@@ -159,13 +167,16 @@ def parse_annotations(responses: DataFrame) -> DataFrame:
 
     A missing confidence is 0.0 and a missing flag false; a confidence that is null or no number is an
     ``item_error`` and the annotation is not saved.
+
+    An answer that cannot be read has NULL ``items``. They are told from the others after they are laid out in rows: Spark would
+    put a condition on ``items`` or ``error`` before the parser, and parse, and make, every answer again for each of its parts.
     """
     item = F.col("item")
     confidence = F.when(F.map_contains_key(item, "confidence"), item["confidence"].try_cast("double")).otherwise(F.lit(0.0))
     return (
-        read_responses(responses)
-        .where(F.col("error").isNull())
-        .select("batch_id", F.posexplode("items").alias("place", "item"))
+        read_responses(responses.where(F.col("error").isNull()))
+        .select("batch_id", F.posexplode_outer("items").alias("place", "item"))
+        .where(F.col("place").isNotNull())
         .select(
             "batch_id",
             "place",

@@ -191,3 +191,18 @@ def test_a_compaction_that_stops_half_way_does_no_harm(spark, monkeypatch):
         found = {r["review_id"]: r["sentiment_label"] for r in a.read_annotations(spark, table).collect()}
         assert found == {"r1": "positive", "r2": None}
         a.compact_annotations(spark, table, after=1)
+
+
+def test_answers_are_parsed_behind_no_filter(spark):
+    """A condition on parsed fields would move before the parser, which then works twice and more on each answer."""
+    made = spark.range(9).selectExpr("id AS batch_id", "1 AS batch_size", "format_string('[{\"review_id\": \"%d\"}]', id) AS response", "CAST(NULL AS string) AS error")
+    parsed = a.parse_annotations(made)
+    plan = parsed._jdf.queryExecution().optimizedPlan().toString()
+    assert not any("Filter" in line and ("json" in line.lower() or "format_string" in line) for line in plan.splitlines())
+    assert parsed.count() == 9
+
+
+def test_only_the_prompts_of_a_call_are_handed_over(spark):
+    prompts = spark.range(1000).selectExpr("id AS batch_id", "1 AS batch_size", "concat('p', id) AS prompt").coalesce(1)
+    rows = a.apply_annotator(prompts, lambda asked: [str(len(asked)) + asked[0] for _ in asked]).collect()
+    assert {(r["batch_id"], r["response"]) for r in rows} == {(i, f"100p{i // 100 * 100}") for i in range(1000)}
