@@ -72,10 +72,11 @@ def payments(t: Tables) -> DataFrame:
     return adapters.raw_payments(t)
 
 
-def star_sources(t: Tables) -> tuple[DataFrame, ...]:
+def star_sources(t: Tables, cleaned: DataFrame | None = None) -> tuple[DataFrame, ...]:
+    """The staged inputs of the fact table; ``cleaned`` are the silver orders where a query has them already."""
     annotated = annotate.with_annotation_columns(reviews(t))
     return (
-        gold.stg_orders(orders(t)),
+        gold.stg_orders(orders(t) if cleaned is None else cleaned),
         gold.stg_order_items(items(t)),
         gold.stg_reviews(annotated),
         gold.stg_exchange_rates(current_rates(t)),
@@ -90,9 +91,9 @@ def stored(t: Tables, name: str) -> DataFrame:
     return materialize(_SILVER[name](t), name)
 
 
-def rule_scores(t: Tables) -> DataFrame:
+def rule_scores(t: Tables, cleaned: DataFrame | None = None) -> DataFrame:
     """A score table from a plain rule (the late rate as probability), so that SQL can compute it too."""
-    table = stored(t, "orders")
+    table = stored(t, "orders") if cleaned is None else cleaned
     labels = features.churn_labels(table).select("customer_key", "churned")
     late = F.col("late_delivery_rate")
     return (
@@ -342,12 +343,14 @@ def quality_overall(t: Tables) -> DataFrame:
 
 @query
 def quality_gold(t: Tables) -> DataFrame:
-    """The star-schema tests over the four gold tables."""
-    fact = materialize(gold.fact_orders(*star_sources(t)), "fact")
+    """The star-schema tests over the four gold tables, made from one copy of the silver orders."""
+    cleaned = stored(t, "orders")
+    fact = materialize(gold.fact_orders(*star_sources(t, cleaned)), "fact")
+    scores = gold.stg_churn_scores(churn.score(rule_scores(t, cleaned)))
     tables = {
-        "dim_customer": dim_customer(t),
+        "dim_customer": gold.dim_customer(gold.stg_customers(customers(t)), scores),
         "dim_product": dim_product(t),
-        "dim_date": dim_date(t),
+        "dim_date": gold.dim_date(gold.span_of(cleaned, "order_date")),
         "fact_orders": fact,
     }
     results = None
@@ -863,9 +866,10 @@ def layer_tables(t: Tables) -> DataFrame:
     """Feature and score tables written to the ml layer, read back whole, by a view and by a few sample rows."""
     open_layers(t)
     store, scores = new_table(t, "ml", "feature_store"), new_table(t, "ml", "churn_scores")
-    overwrite_table(features.build_features(orders(t), customers(t), items(t), reviews(t), payments(t)), store)
+    cleaned = stored(t, "orders")
+    overwrite_table(features.build_features(cleaned, customers(t), items(t), reviews(t), payments(t)), store)
     for _ in range(2):
-        overwrite_table(churn.score(rule_scores(t)), scores)
+        overwrite_table(churn.score(rule_scores(t, cleaned)), scores)
     as_view(read_table(t.spark, scores).where("churn_risk IS NOT NULL"), "tiered_scores")
     parts = [
         read_table(t.spark, store).agg(F.lit("feature_store").alias("name"), F.count(F.lit(1)).alias("n"), F.sum("total_orders").alias("total")),

@@ -42,3 +42,14 @@ def test_query(spark, duck, name):
 
 def test_every_query_has_a_counterpart():
     assert set(ORACLES) == set(QUERIES)
+
+
+@pytest.mark.parametrize("name", ["layer_tables", "quality_gold"])
+def test_orders_are_cleaned_once_by_a_query_that_uses_them_often(spark, monkeypatch, name):
+    from silverlode.plans import registry
+
+    made = []
+    clean = registry.silver.clean_orders
+    monkeypatch.setattr(registry.silver, "clean_orders", lambda *args, **options: made.append(1) or clean(*args, **options))
+    registry.QUERIES[name](spark, "/root/testdata/sf0.001")
+    assert len(made) == 1
