@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import elapsed_days
@@ -119,10 +119,30 @@ def review_features(orders: DataFrame, reviews: DataFrame) -> DataFrame:
     return customers.join(_ratings_per_order(reviews), "order_id").groupBy("customer_key").agg(*_review_aggregates())
 
 
+def _figures_per_order(items: DataFrame, reviews: DataFrame) -> DataFrame:
+    """What ``_spend_per_order`` and ``_ratings_per_order`` give, in one aggregate: one shuffle and one row per order."""
+    cost = F.col("total_item_cost_brl").cast("decimal(38,2)")
+    nothing = F.lit(None)
+    lines = items.select(
+        F.col("order_id"), cost.alias("cost"), nothing.cast("long").alias("rating"), F.lit(False).alias("reviewed")
+    )
+    ratings = reviews.select(
+        F.col("order_id"), nothing.cast("decimal(38,2)").alias("cost"), F.col("rating").cast("long").alias("rating"),
+        F.col("review_id").isNotNull().alias("reviewed"),
+    )
+    return lines.unionByName(ratings).groupBy("order_id").agg(
+        F.sum("cost").alias("order_cost"),
+        F.count("cost").alias("order_lines"),
+        F.sum("rating").alias("order_rating"),
+        F.count("rating").alias("order_ratings"),
+        F.count_if("reviewed").alias("order_reviews"),
+    )
+
+
 def _types_per_order(payments: DataFrame) -> DataFrame:
-    """The payment types of an order with how often each occurs: one row, as long as there are types."""
+    """One row per payment type of an order: how often it occurs, and its place among the types of the order from 1."""
     counted = payments.groupBy("order_id", "payment_type").agg(F.count(F.lit(1)).alias("n"))
-    return counted.groupBy("order_id").agg(F.collect_list(F.struct("payment_type", "n")).alias("types"))
+    return counted.withColumn("nth", F.row_number().over(Window.partitionBy("order_id").orderBy("payment_type")))
 
 
 def _mode() -> Column:
@@ -153,27 +173,22 @@ def assemble(
     """All aggregates per customer, before recency, encoding and filling. Orders without a customer form one row
     with a NULL key, since their dates count for the reference date.
 
-    Spend, ratings and payment types join the orders as one row per order and are folded in the same aggregate as the
-    order features, so the orders are shuffled once by order and once by customer.
+    Spend and ratings join the orders as one row per order, payment types as one row each, and all are folded in the same
+    aggregate as the order features, so the orders are shuffled once by order and once by customer.
     """
-    order_rows = (
+    typed_rows = (
         orders.select("order_id", "customer_key", "order_date", "days_to_deliver", "delivered_on_time")
-        .join(_spend_per_order(items), "order_id", "left")
-        .join(_ratings_per_order(reviews), "order_id", "left")
+        .join(_figures_per_order(items, reviews), "order_id", "left")
         .join(_types_per_order(payments), "order_id", "left")
     )
-    # one row per customer and payment type of an order; all but the first carry no other figures
+    # one row per payment type of an order; all but the first carry no other figures
     figures = ["order_id", "order_date", "days_to_deliver", "delivered_on_time", "order_cost", "order_lines",
                "order_rating", "order_ratings", "order_reviews"]
-    typed = order_rows.select(
-        "customer_key",
-        F.posexplode_outer("types").alias("nth", "type"),
-        *figures,
-    ).select(
+    typed = typed_rows.select(
         "customer_key",
-        "type.payment_type",
-        "type.n",
-        *[F.when(F.coalesce("nth", F.lit(0)) == 0, F.col(c)).alias(c) for c in figures],
+        "payment_type",
+        "n",
+        *[F.when(F.coalesce("nth", F.lit(1)) == 1, F.col(c)).alias(c) for c in figures],
     )
     per_type = typed.groupBy("customer_key", "payment_type").agg(
         F.sum("n").alias("n"),

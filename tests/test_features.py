@@ -137,3 +137,15 @@ def test_features_against_pandas(spark):
     np.testing.assert_allclose(got["avg_rating"], want["avg_rating"].fillna(3.0))
     assert got["primary_payment_type"].fillna("-").tolist() == want["primary_payment_type"].fillna("-").tolist()
     assert got["state_encoded"].tolist() == customers.set_index("customer_key").loc[want.index, "state_code"].astype("category").cat.codes.tolist()
+
+
+def test_types_of_an_order_are_never_one_row(spark):
+    """An order with very many payment types stays as many rows, and spend and ratings meet it in one aggregate."""
+    orders, customers, items, reviews, _ = small(spark)
+    payments = spark.range(1000).selectExpr("'o1' AS order_id", "concat('t', id % 500) AS payment_type")
+    assembled = f.assemble(orders, customers, items, reviews, payments)
+    plan = assembled._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_list" not in plan and "posexplode" not in plan
+    row = by_key(assembled)["c1"]
+    assert (row["total_orders"], row["primary_payment_type"], row["total_spend"]) == (1, "t0", 30.3)
+    assert (row["avg_rating"], row["review_count"], row["avg_days_to_deliver"]) == (5.0, 1, 3.0)
