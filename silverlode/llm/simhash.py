@@ -31,6 +31,7 @@ SEED = 42
 BITS = 64
 LEAF = 16
 FAN_OUT = 16
+LEAF_PAIRS = 512  # compared at once, LEAF * LEAF fingerprints each
 
 
 def fingerprint(text: str | None, words_per_shingle: int = 4) -> int:
@@ -119,9 +120,9 @@ def close_pairs(marks: np.ndarray, radius: int) -> Iterator[tuple[np.ndarray, np
         left, right = a[node, i], b[node, j]
         differences = np.bitwise_count((patterns[left] ^ patterns[right]) & masks[left] & masks[right])
         left, right = left[differences <= radius], right[differences <= radius]
-    for at in range(0, len(left), 4096):
-        a, has_a = _children(left[at : at + 4096], LEAF, len(marks))
-        b, has_b = _children(right[at : at + 4096], LEAF, len(marks))
+    for at in range(0, len(left), LEAF_PAIRS):
+        a, has_a = _children(left[at : at + LEAF_PAIRS], LEAF, len(marks))
+        b, has_b = _children(right[at : at + LEAF_PAIRS], LEAF, len(marks))
         exists = has_a[:, :, None] & has_b[:, None, :] & (a[:, :, None] < b[:, None, :])
         node, i, j = np.nonzero(exists)
         x, y = a[node, i], b[node, j]
@@ -261,7 +262,8 @@ def components(marks: DataFrame, edges: DataFrame) -> DataFrame:
     jump to the label of the label, so that their number of rounds grows with the logarithm of a chain, not its
     length. Each round is written out; a lost executor costs no more than its part of one round.
     """
-    both = materialize(edges.union(edges.select("b", "a")).toDF("a", "b").distinct(), "links")
+    there, back = F.struct(F.col("a"), F.col("b")), F.struct(F.col("b").alias("a"), F.col("a").alias("b"))
+    both = materialize(edges.select(F.explode(F.array(there, back)).alias("link")).select("link.*").distinct(), "links")
     linked = both.select(F.col("a").alias("mark")).distinct()
     start = marks.join(linked, "mark", "left_semi")
     labels = materialize(

@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -105,3 +106,27 @@ def test_dense_nodes_lose_no_link(spark, node_rows):
 def test_query_against_all_pairs(spark):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()]
     assert got(QUERIES["op9_simhash_near_duplicates"](spark, SMALL)) == plain_groups(rows)
+
+
+def test_links_are_searched_once(spark):
+    searched = spark.sparkContext.accumulator(0)
+
+    def pass_on(batches):
+        for batch in batches:
+            searched.add(batch.num_rows)
+            yield batch
+
+    marks = spark.range(4).selectExpr("id AS mark", "id AS own")
+    edges = spark.createDataFrame([(0, 1), (2, 3)], "a long, b long").mapInArrow(pass_on, "a long, b long")
+    found = {row["mark"]: row["smallest"] for row in simhash.components(marks, edges).collect()}
+    assert found == {0: 0, 1: 0, 2: 2, 3: 2} and searched.value == 2
+
+
+def test_a_dense_node_is_compared_in_little_memory():
+    marks = np.sort(np.arange(1 << 11, dtype=np.uint64))
+    marks = marks[np.argsort(simhash.gray_rank(marks), kind="stable")]
+    tracemalloc.start()
+    pairs = sum(len(left) for left, _ in simhash.close_pairs(marks, 11))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert pairs == len(marks) * (len(marks) - 1) // 2 and peak < 20e6
