@@ -25,7 +25,7 @@ from ..functions.scratch import materialize
 from .simhash import components
 
 TASK_HASHES = 1_000_000
-MATCHES = 4_000_000
+MATCHES = 500_000  # looked at together; a task holds about a hundred bytes for each
 
 def is_similar(common: np.ndarray, total: np.ndarray, similarity: tuple[int, int]) -> np.ndarray:
     """Whether Jaccard similarity is at least the fraction, in whole numbers. ``total``: both sizes added."""
@@ -51,12 +51,13 @@ def _common(
     start = 0
     while start < len(inside):
         # as many sets as have few enough matches together, one at least
-        stop, matches, found = start, 0, []
+        stop, matches, asked, found = start, 0, 0, []
         while stop < len(inside):
             first, last = (np.searchsorted(hashes, sets[inside[stop]], side) for side in ("left", "right"))
             count = int((last - first).sum())
-            if found and matches + count > MATCHES:
+            if found and (matches + count > MATCHES or asked + len(first) > MATCHES):
                 break
+            asked += len(first)
             matches += count
             found.append((first, last - first))
             stop += 1
