@@ -53,7 +53,7 @@ def _slot_table(hashes: DataFrame) -> bytes:
 
 
 def _maybe(hashed: Column, table: Column) -> Column:
-    # the table is named once, as it is written out wherever the plan is
+    # the table is named once, else it would be a column of every row
     slots = F.array(*[_slot(hashed, p) for p in range(PROBES)])
     return F.forall(slots, lambda slot: F.substring(table, slot + 1, F.lit(1)) == F.lit(b"\x01"))
 
@@ -95,14 +95,17 @@ def find_leaks(
     )
     item_shingles = wanted.select("n", F.explode("part").alias("h")).distinct()
 
-    table = F.lit(_slot_table(item_shingles.select("h")))
+    # a subquery, not a literal: plans would carry its megabyte as text, and Spark's driver keeps the texts of its plans
+    table = docs.sparkSession.createDataFrame([(_slot_table(item_shingles.select("h")),)], "slots binary")
     hashed = shingle_hashes(F.col("text"), docs, F.col(key).alias("key"))
+    # with the number of the task the hashes stay a projection of their own, and the optimiser moves the table from the rows to its one use
+    hashed = hashed.withColumn("dealt", F.spark_partition_id()).withColumn("slots", table.scalar())
     last = F.size("hashes") - 1
-    at = F.filter(F.sequence(F.lit(0), last), lambda i: _maybe(F.get("hashes", i), table))
+    at = F.filter(F.sequence(F.lit(0), last), lambda i: _maybe(F.get("hashes", i), F.col("slots")))
     none = F.array().cast("array<int>")
     # the running number keeps the condition below from being moved down and computed twice
     marked = hashed.select(
-        F.monotonically_increasing_id().alias("row"), "key", "hashes", F.when(last >= 0, at).otherwise(none).alias("at")
+        F.monotonically_increasing_id().alias("row"), "dealt", "key", "hashes", F.when(last >= 0, at).otherwise(none).alias("at")
     ).where(F.size("at") > 0)
     marked = materialize(marked, "hits")
 
