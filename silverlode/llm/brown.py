@@ -25,6 +25,7 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -48,6 +49,8 @@ TRANSITION_WEIGHT = 5.0
 UNSEEN = 0.5
 COUNTED = 400_000
 CHOSEN = 500  # words that choose together
+BLOCKS = 1024  # counts are dealt over
+HELD = 4_000_000  # counts that wait to be summed
 
 
 def words_of(raw: bytes | None) -> list[bytes]:
@@ -80,6 +83,49 @@ def _texts(batches: Iterator[pa.RecordBatch], column: int):
             yield value.as_py()
 
 
+# --- counts as a few packed rows instead of a row each ---
+
+
+def _bytes(values: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    """The values between neighbouring bounds, as bytes."""
+    offsets = (bounds * values.itemsize).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(bounds) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(values))])
+
+
+def _packed(keys: np.ndarray, times: np.ndarray, block: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """``block``, ``keys``, ``times``: all counts of a block in one row. ``keys`` are at most 31 bits."""
+    for at in range(0, len(keys), HELD):
+        own = block[at : at + HELD]
+        order = np.argsort(own, kind="stable")
+        own = own[order]
+        starts = np.flatnonzero(np.diff(own, prepend=-1))
+        bounds = np.append(starts, len(own))
+        columns = keys[at : at + HELD].astype(np.int32)[order], times[at : at + HELD].astype(np.int64)[order]
+        yield pa.RecordBatch.from_arrays([pa.array(own[starts], pa.int64()), *(_bytes(c, bounds) for c in columns)], ["block", "keys", "times"])
+
+
+PACKED = "block long, keys binary, times binary"
+
+
+def _sum(keys: list[np.ndarray], times: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    every, place = np.unique(np.concatenate([np.zeros(0, dtype=np.int32), *keys]), return_inverse=True)
+    sums = np.bincount(place, np.concatenate([np.zeros(0, dtype=np.int64), *times]), minlength=len(every))
+    return every, sums.astype(np.int64)
+
+
+def _unpacked(batches: Iterator[pa.RecordBatch]) -> tuple[np.ndarray, np.ndarray]:
+    """The keys of all blocks of a task in order, and the sums of their times."""
+    keys, times, size = [], [], 0
+    for batch in batches:
+        for held, column, kind in ((keys, 1, np.int32), (times, 2, np.int64)):
+            held.append(np.frombuffer(b"".join(batch.column(column).to_pylist()), kind))
+        size += len(keys[-1])
+        if size > HELD:
+            keys, times = ([part] for part in _sum(keys, times))
+            size = 0
+    return _sum(keys, times)
+
+
 def count_words(texts: DataFrame) -> DataFrame:
     """``word``, ``n`` over all rows of ``texts`` (one binary column); the end token counts once per row."""
 
@@ -143,17 +189,12 @@ def count_pairs(texts: DataFrame, head: list[bytes]) -> DataFrame:
         known = none = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
 
         def rows():
-            for at in range(0, len(known[0]), 100_000):
-                pairs, times = known[0][at : at + 100_000].astype(np.int64), known[1][at : at + 100_000]
-                arrays = [pa.array(c) for c in (pairs // ITEMS, pairs % ITEMS, times)]
-                yield pa.RecordBatch.from_arrays(arrays, ["a", "b", "n"])
+            return _packed(*known, known[0] % BLOCKS)
 
         def merged():
             sequence = np.concatenate([[0], *held])
             pairs, times = np.unique((sequence[:-1] * ITEMS + sequence[1:]).astype(np.int32), return_counts=True)
-            every, place = np.unique(np.concatenate([known[0], pairs]), return_inverse=True)
-            sums = np.bincount(place, np.concatenate([known[1], times]), minlength=len(every))
-            return every, sums.astype(np.int64)
+            return _sum([known[0], pairs], [known[1], times])
 
         for raw in _texts(batches, 0):
             held += [_sequence(raw, codes, endings)[2], [0]]
@@ -167,7 +208,13 @@ def count_pairs(texts: DataFrame, head: list[bytes]) -> DataFrame:
             known = merged()
         yield from rows()
 
-    return texts.mapInArrow(run, "a long, b long, n long").groupBy("a", "b").agg(F.sum("n").alias("n"))
+    def unpack(batches):
+        pairs, times = _unpacked(batches)
+        for at in range(0, len(pairs), 100_000):
+            part = pairs[at : at + 100_000].astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in (part // ITEMS, part % ITEMS, times[at : at + 100_000])], ["a", "b", "n"])
+
+    return texts.mapInArrow(run, PACKED).repartition("block").mapInArrow(unpack, "a long, b long, n long")
 
 
 # --- exchange ---
@@ -187,11 +234,13 @@ def neighbours(sides: DataFrame, classes: np.ndarray) -> tuple[np.ndarray, np.nd
     def run(batches):
         sums = np.zeros(ITEMS * 2 * CLASSES)
         for batch in batches:
-            row, other, n = (batch.column(k).to_numpy(zero_copy_only=False) for k in range(3))
-            np.add.at(sums, row.astype(np.int64) * CLASSES + shared.value[other], n.astype(np.float64))
+            for cells in zip(*(column.to_pylist() for column in batch.columns)):
+                row, other, n = (np.frombuffer(c, kind) for c, kind in zip(cells, (np.int32, np.int32, np.int64)))
+                np.add.at(sums, row.astype(np.int64) * CLASSES + shared.value[other], n.astype(np.float64))
         vectors = sums.reshape(-1, CLASSES)
         rows = np.flatnonzero(vectors.any(axis=1))
-        arrays = [pa.array(rows), pa.array(vectors[rows].tolist(), pa.list_(pa.float64()))]
+        offsets = pa.array(np.arange(len(rows) + 1, dtype=np.int32) * CLASSES)
+        arrays = [pa.array(rows), pa.ListArray.from_arrays(offsets, pa.array(vectors[rows].ravel()))]
         yield pa.RecordBatch.from_arrays(arrays, ["row", "sums"])
 
     out = np.zeros((ITEMS * 2, CLASSES))
@@ -249,8 +298,17 @@ def exchange(pairs: DataFrame, rounds: int = ROUNDS) -> tuple[np.ndarray, np.nda
     """Classes of the items, and counts of class pairs. A set of moves that lowers the likelihood together is undone."""
     forward = pairs.select((F.col("a") * 2).cast("int").alias("row"), F.col("b").cast("int").alias("other"), "n")
     backward = pairs.select((F.col("b") * 2 + 1).cast("int").alias("row"), F.col("a").cast("int").alias("other"), "n")
+
+    def pack(batches):
+        for batch in batches:
+            if batch.num_rows:
+                bounds = np.array([0, batch.num_rows])
+                arrays = [_bytes(c.to_numpy(zero_copy_only=False).astype(k), bounds) for c, k in zip(batch.columns, (np.int32, np.int32, np.int64))]
+                yield pa.RecordBatch.from_arrays(arrays, ["row", "other", "n"])
+
     # a row is all neighbours of an item on one side, at most ITEMS of them; each task hands on sums of its own rows
-    sides = materialize(forward.union(backward).repartition("row"), "pair-sides")
+    sides = forward.union(backward).repartition("row").mapInArrow(pack, "row binary, other binary, n binary")
+    sides = materialize(sides, "pair-sides")  # every round reads it
     classes = start_classes()
     after, before = neighbours(sides, classes)
     value = likelihood(class_pairs(after, classes))
@@ -326,38 +384,35 @@ def move_head(texts: DataFrame, head: list[bytes], words: np.ndarray, items: np.
             after, before = np.flatnonzero(found[:-1] > ITEM_WORDS), 1 + np.flatnonzero(found[1:] > ITEM_WORDS)
             keys = np.concatenate([found[after] * 2 * CLASSES + classes[after + 1], (found[before] * 2 + 1) * CLASSES + classes[before - 1]])
             keys, times = np.unique(keys, return_counts=True)
-            arrays = [pa.array(c) for c in (keys // (2 * CLASSES), keys % (2 * CLASSES), times)]
-            return pa.RecordBatch.from_arrays(arrays, ["word", "at", "n"])
+            return _packed(keys, times, keys // (2 * CLASSES) % BLOCKS)
 
         for raw in _texts(batches, 0):
-            found = [codes[word] for word in words_of(raw)]
-            held += [np.array(found, dtype=np.int64), [0]]
-            size += len(found) + 1
+            words_here = words_of(raw)
+            held += [np.fromiter(map(codes.__getitem__, words_here), dtype=np.int64, count=len(words_here)), [0]]
+            size += len(words_here) + 1
             if size > 4_000_000:
-                yield rows()
+                yield from rows()
                 held, size = [], 0
         if held:
-            yield rows()
+            yield from rows()
 
     def choose(batches):
         _, words, _, pairs = shared.value
-        for batch in batches:
-            for start in range(0, batch.num_rows, CHOSEN):
-                part = batch.slice(start, CHOSEN)
-                word = part.column(0).to_numpy()
-                lists = part.column(1)
-                of = np.repeat(np.arange(len(word)), lists.value_lengths().to_numpy())
-                at, n = (c.to_numpy() for c in lists.flatten().flatten())
-                after = at < CLASSES
-                right = _sides(len(word), of[after], at[after], n[after])
-                left = _sides(len(word), of[~after], at[~after] - CLASSES, n[~after])
-                best = best_classes(right, left, words[word], pairs)
-                yield pa.RecordBatch.from_arrays([pa.array(word), pa.array(best)], ["word", "class"])
-
-    cells = texts.mapInArrow(count, "word long, at long, n long").repartition("word").groupBy("word", "at").agg(F.sum("n").alias("n"))
-    grouped = cells.groupBy("word").agg(F.collect_list(F.struct("at", "n")).alias("cells"))  # at most 2 * CLASSES a word
+        cells, n = _unpacked(batches)  # at most 2 * CLASSES a word, all of one block
+        word, of, at = *np.unique(cells // (2 * CLASSES), return_inverse=True), cells % (2 * CLASSES)
+        for start in range(0, len(word), CHOSEN):
+            own = word[start : start + CHOSEN]
+            part = slice(*np.searchsorted(of, [start, start + len(own)]))
+            here, near, times = of[part] - start, at[part], n[part]
+            after = near < CLASSES
+            right = _sides(len(own), here[after], near[after], times[after])
+            left = _sides(len(own), here[~after], near[~after] - CLASSES, times[~after])
+            best = best_classes(right, left, words[own], pairs)
+            yield pa.RecordBatch.from_arrays([pa.array(own, pa.int64()), pa.array(best)], ["word", "class"])
+
     out = words.copy()
-    for batch in grouped.mapInArrow(choose, "word long, class long").toArrow().to_batches():
+    dealt = texts.mapInArrow(count, PACKED).repartition("block")
+    for batch in dealt.mapInArrow(choose, "word long, class long").toArrow().to_batches():
         out[batch.column(0).to_numpy()] = batch.column(1).to_numpy()
     return out
 
@@ -388,10 +443,12 @@ def count_tail(texts: DataFrame, head: list[bytes], words: np.ndarray, items: np
             found = np.array([0, *map(codes.__getitem__, words), 0], dtype=np.int64)
             classes = _classes(found, word_classes, items) + CLASSES * (found < 0)
             np.add.at(pairs, classes[:-1] * 2 * CLASSES + classes[1:], 1)
-            for k in np.flatnonzero(found < 0).tolist():
-                known[words[k - 1], None, int(classes[k - 1]), int(classes[k + 1])] += 1
-                if found[k + 1] < 0:
-                    known[words[k - 1], words[k], None, None] += 1
+            places = np.flatnonzero(found < 0)
+            for at in range(0, len(places), COUNTED):  # bounds what one text adds
+                k = places[at : at + COUNTED]
+                known.update(zip([words[j] for j in (k - 1).tolist()], repeat(None), classes[k - 1].tolist(), classes[k + 1].tolist()))
+                k = k[found[k + 1] < 0].tolist()
+                known.update(zip([words[j - 1] for j in k], [words[j] for j in k], repeat(None), repeat(None)))
                 if len(known) > COUNTED:
                     yield rows()
                     known.clear()
@@ -526,6 +583,12 @@ def score(docs: DataFrame, model: Model, table: DataFrame, held_out: Column) ->
     arrow = {"long": pa.int64(), "int": pa.int32(), "boolean": pa.bool_(), "double": pa.float64(), "binary": pa.binary()}
     names, kinds = [n for n, _ in fields], [arrow[k] for _, k in fields]
 
+    def nulls(size, of):
+        return [pa.nulls(size, kind) for kind in of]
+
+    def whole(columns):
+        return pa.RecordBatch.from_arrays([*columns, *nulls(len(columns[0]), kinds[len(columns) :])], names)
+
     def run(batches):
         known = shared.value
         codes = Codes(known.head)
@@ -535,7 +598,9 @@ def score(docs: DataFrame, model: Model, table: DataFrame, held_out: Column) ->
         row = TaskContext.get().partitionId() << 33
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
-                out: list[list] = [[] for _ in names]
+                lines: list[tuple] = []
+                tails: list[list] = [[] for _ in names[7:]]
+                sizes = []
                 for doc_id, held, raw in zip(*(c.to_pylist() for c in batch.slice(at, 500).columns)):
                     words = words_of(raw)
                     found = np.array([0, *map(codes.__getitem__, words), 0], dtype=np.int64)
@@ -546,24 +611,23 @@ def score(docs: DataFrame, model: Model, table: DataFrame, held_out: Column) ->
                     total = known.transitions[classes[:-1][both], classes[1:][both]].sum()
                     total += logs[own].sum() - known.norms[known.classes[own]].sum() - known.norms[0]
                     base = plus[own].sum() + plus[0] - (len(own) + 1) * divisor
-                    line = [row, doc_id, held, len(words) + 1, int(seen[own].sum() + seen[0]), float(base), float(total)]
-                    for column, value in zip(out, [*line, *[None] * 6]):
-                        column.append(value)
-                    tail: Counter[tuple] = Counter()
-                    for k in np.flatnonzero(~inside).tolist():
-                        # -1: the neighbour is outside the head, too, and counts as a pair
-                        before, after = (int(classes[j]) if inside[j] else -1 for j in (k - 1, k + 1))
-                        tail[words[k - 1], None, before, after, int(classes[k])] += 1
-                        if after < 0:
-                            tail[words[k - 1], words[k], int(classes[k]), int(classes[k + 1]), None] += 1
-                    out[0] += [row] * len(tail)
-                    for column in out[1:7]:
-                        column += [None] * len(tail)
-                    for column, values in zip(out[7:12], zip(*tail)):
+                    lines.append((doc_id, held, len(words) + 1, int(seen[own].sum() + seen[0]), float(base), float(total)))
+                    # -1: the neighbour is outside the head, too, and counts as a pair
+                    k, near = np.flatnonzero(~inside), np.where(inside, classes, -1)
+                    outside = [words[j] for j in (k - 1).tolist()]
+                    tail = Counter(zip(outside, repeat(None), near[k - 1].tolist(), near[k + 1].tolist(), classes[k].tolist()))
+                    k = k[~inside[k + 1]]
+                    first, second = ([words[j] for j in (k + step).tolist()] for step in (-1, 0))
+                    tail.update(zip(first, second, classes[k].tolist(), classes[k + 1].tolist(), repeat(None)))
+                    sizes.append(len(tail))
+                    for column, values in zip(tails, zip(*tail)):
                         column += values
-                    out[12] += tail.values()
-                    row += 1
-                yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(out, kinds)], names)
+                    tails[5] += tail.values()
+                rows = np.arange(row, row + len(lines))
+                row += len(lines)
+                columns = [rows, *zip(*lines)]
+                yield whole([pa.array(c, kind) for c, kind in zip(columns, kinds)])
+                yield whole([pa.array(np.repeat(rows, sizes)), *nulls(sum(sizes), kinds[1:7]), *(pa.array(c, kind) for c, kind in zip(tails, kinds[7:]))])
 
     def worth(batches):
         known = shared.value

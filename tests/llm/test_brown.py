@@ -214,3 +214,24 @@ def test_query_beats_the_base_on_held_out_texts(spark):
         assert math.isclose(r.base_score, want[r.doc_id], rel_tol=1e-9)
         assert math.isclose(r.perplexity, 10 ** (-r.score / r.n_tokens), rel_tol=1e-9)
     assert np.mean([r.score > r.base_score for r in rows if r.held_out]) > 0.9
+
+
+def test_counts_are_packed(spark, monkeypatch):
+    """Counts go through shuffles and rounds as a few rows of bytes, also where they are summed a part at a time."""
+    monkeypatch.setattr(brown, "HELD", 50)
+    rng = random.Random(8)
+    texts = [grammar(rng) for _ in range(60)] + [None, ""]
+    head = [b"", *sorted({t for text in texts for t in tokens(text)} - {b""})]
+    place = {word: k for k, word in enumerate(head)}
+    want = Counter()
+    for text in texts:
+        line = [0, *(place[t] for t in tokens(text))]
+        want.update(zip(line, line[1:]))
+    df = spark.createDataFrame([(t,) for t in texts], "text string").select(F.col("text").cast("binary"))
+    pairs = brown.count_pairs(df.repartition(3), head)
+    assert "Aggregate" not in pairs._jdf.queryExecution().optimizedPlan().toString()
+    assert {(r.a, r.b): r.n for r in pairs.collect()} == want
+    noted = {}
+    monkeypatch.setattr(brown, "materialize", lambda df, label, old=brown.materialize: noted.setdefault(label, old(df, label)))
+    assert brown.exchange(pairs, rounds=1)[1].sum() == sum(want.values())
+    assert noted["pair-sides"].count() < len(want) / 10
