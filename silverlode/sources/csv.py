@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import dataclass, field
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import check_on_error
+from ..functions.together import run_together
 from .csv_records import read_records
 from .tables import create_layers, layer, overwrite_table
 
@@ -51,6 +53,7 @@ CSV_FILES = {
 
 
 _LINE = "_whole_line"
+_FIRST = "_first_record"
 
 
 def _checked_lines(spark: SparkSession, path: str, line_breaks: bool, on_error: str = "fail") -> tuple[DataFrame, list[str]]:
@@ -64,12 +67,13 @@ def _checked_lines(spark: SparkSession, path: str, line_breaks: bool, on_error:
     if line_breaks and names:
         records = read_records(spark, path, "fail" if on_error == "fail" else "cut")
         fields = {"quote": '"', "escape": '"', "multiLine": "true", "mode": "PERMISSIVE", "columnNameOfCorruptRecord": _LINE}
-        read = records.select("first", F.from_csv("record", F.lit(schema), fields).alias("line"))
-        found = F.array(*[F.col(f"line.`{name}`") for name in names])
+        # a generator parses each record once; filters over a projection would be pushed below it and parse again
+        read = records.select(F.col("first").alias(_FIRST), F.inline(F.array(F.from_csv("record", F.lit(schema), fields))))
+        found = F.array(*[F.col(f"`{name}`") for name in names])
         other = F.concat(F.lit("CSV header is not that of the first file: "), F.array_join(found, ","))
-        is_header = F.when(F.col("first") & (found != F.array(*map(F.lit, names))), F.raise_error(other).cast("boolean"))
+        is_header = F.when(F.col(_FIRST) & (found != F.array(*map(F.lit, names))), F.raise_error(other).cast("boolean"))
         # the outcome of the check is part of the filter, so that no plan leaves it out
-        return read.where(~F.coalesce(is_header, F.col("first"))).select("line.*"), names
+        return read.where(~F.coalesce(is_header, F.col(_FIRST))).drop(_FIRST), names
     # with pruned columns the reader would not count the fields of a line
     lines = spark.read.option("columnPruning", False).csv(
         path, schema=schema, enforceSchema=False, mode="PERMISSIVE", columnNameOfCorruptRecord=_LINE, multiLine=line_breaks, **options
@@ -136,12 +140,14 @@ def load_csv(spark: SparkSession, path: str, table: str, types: Mapping[str, str
 
 
 def load_all_csv(spark: SparkSession, folder: str, files: Mapping[str, CsvFile] = CSV_FILES) -> dict[str, int | None]:
-    """Load every file that exists: rows per table, None for a missing file."""
-    rows: dict[str, int | None] = {}
-    for table, file in files.items():
+    """Load every file that exists, several at once: rows per table, None for a missing file. An error comes when the others are done."""
+    create_layers(spark)
+
+    def load(table: str, file: CsvFile) -> int | None:
         path = f"{folder.rstrip('/')}/{file.name}"
-        rows[table] = load_csv(spark, path, table, file.types, file.line_breaks) if path_exists(spark, path) else None
-    return rows
+        return load_csv(spark, path, table, file.types, file.line_breaks) if path_exists(spark, path) else None
+
+    return dict(zip(files, run_together(spark, [partial(load, table, file) for table, file in files.items()])))
 
 
 def total_rows(rows: Mapping[str, int | None]) -> int:

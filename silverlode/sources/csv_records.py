@@ -80,6 +80,12 @@ def _survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_pylist([dict(zip(names, (*current, outside, inside, closes)))])
 
 
+def _without_cr(records: pa.Array) -> pa.Array:
+    """The records without a carriage return at their end."""
+    ended = pc.ends_with(records, "\r")
+    return pc.if_else(ended, pc.utf8_slice_codeunits(records, 0, -1), records) if pc.any(ended).as_py() else records
+
+
 def _joined(lines: pa.Array, ends: np.ndarray) -> pa.Array:
     """The lines up to each end, joined."""
     offsets = pa.array(np.concatenate([[0], ends + 1]).astype(np.int32))
@@ -134,7 +140,7 @@ def _assembler(states, wanted_whole: bool):
                     records, first = records.slice(1), first[1:]
                 ended, origin = True, current[1]
                 if wanted_whole and len(records):
-                    yield rows(records, True, first)
+                    yield rows(_without_cr(records), True, first)
                 held = lines.slice(int(ends[-1]) + 1).to_pylist()
         if current is not None:
             yield from close()
@@ -185,9 +191,8 @@ def read_records(spark: SparkSession, path: str, on_unclosed: str = "fail") -> D
         parts = lines.join(F.broadcast(concerned), ["file", "block"], "left_semi").select("value", "file", "block")
         parts = parts.mapInArrow(_assembler(states, False), _RECORD_SCHEMA)
         in_order = F.array_sort(F.collect_list(F.struct("block", "record")))  # the splits one record goes over
-        text = F.array_join(F.transform(in_order, lambda part: part["record"]), "\n")
+        text = F.regexp_replace(F.array_join(F.transform(in_order, lambda part: part["record"]), "\n"), "\r$", "")
         stitched = parts.groupBy("file", "origin").agg(text.alias("record"), F.max("first").alias("first"))
         records = records.unionByName(stitched.select("record", "first"))
-    record = F.regexp_replace("record", "\r$", "")
-    record = F.when(F.col("first"), F.regexp_replace(record, "^\uFEFF", "")).otherwise(record)
+    record = F.when(F.col("first"), F.regexp_replace("record", "^\uFEFF", "")).otherwise(F.col("record"))
     return records.select(record.alias("record"), "first").where("record <> ''")

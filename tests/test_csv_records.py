@@ -132,3 +132,16 @@ def after(line, is_open):
             start = line[at] == ","
         at += 1
     return False
+
+
+def test_each_record_is_parsed_once(spark, tmp_path):
+    (tmp_path / "r.csv").write_text(written([("1", "a\nb", "x"), ("2", "c", "y")]), newline="")
+    df = csv.read_csv(spark, str(tmp_path / "r.csv"))
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_csv(") == plan.count("MapInArrow") == 1
+
+
+def test_a_column_may_be_called_first(spark, tmp_path):
+    (tmp_path / "r.csv").write_text('first,record\r\n1,"a\r\nb"\r\n2,"c"\r\n', newline="")
+    rows = csv.read_csv(spark, str(tmp_path / "r.csv")).collect()
+    assert sorted(map(tuple, rows)) == [("1", "a\r\nb"), ("2", "c")]
