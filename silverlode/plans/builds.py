@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 
 from ..functions.scratch import materialize, scratch_scope
+from ..functions.together import run_together
 from ..operators import annotate, answers, churn, features, gold, metrics, quality
 from ..operators.silver import CLEANED_BY, SILVER_TABLES, observed_losses
 from ..sources.csv import load_all_csv, total_rows
@@ -28,15 +30,15 @@ class SilverError(RuntimeError):
 
 
 def build_silver(spark: SparkSession, bronze: Mapping[str, DataFrame], write=overwrite_table) -> DataFrame:
-    """Build every silver table. One that fails is reported and does not stop the others; the error comes last.
+    """Build every silver table, all at once. One that fails is reported and does not stop the others; the error comes last.
 
     One row per table: rows written, rows read, duplicates removed and rows dropped for a NULL. Losses are counted as the table is
     written, so bronze is scanned once; ``write`` must run one job over the frame it is given, and add no shuffle to it. The rate
     history loses no rows to cleaning; its rows are counted without reading a column.
     """
     create_layers(spark)
-    rows: list[tuple] = []
-    for table, (source, transform) in SILVER_TABLES.items():
+
+    def build(table: str, source: str, transform) -> tuple:
         try:
             name = layer("silver", table)
             if table in CLEANED_BY:
@@ -46,9 +48,11 @@ def build_silver(spark: SparkSession, bronze: Mapping[str, DataFrame], write=ove
             else:
                 write(transform(bronze[source]), name)
                 lost = bronze[source].count(), 0, 0
-            rows.append((table, "success", spark.table(name).count(), None, lost[0], lost[1], lost[2]))
+            return table, "success", spark.table(name).count(), None, lost[0], lost[1], lost[2]
         except Exception as error:  # recorded per table
-            rows.append((table, "failed", None, f"{type(error).__name__}: {error}", None, None, None))
+            return table, "failed", None, f"{type(error).__name__}: {error}", None, None, None
+
+    rows = run_together(spark, [partial(build, table, *how) for table, how in SILVER_TABLES.items()])
     status = spark.createDataFrame(rows, STATUS_SCHEMA)
     failed = [row[0] for row in rows if row[1] == "failed"]
     if failed:
@@ -84,33 +88,42 @@ def build_gold(
     calendar: tuple[str, str] | None = None,
     **fact_options,
 ) -> int:
-    """Write the four gold tables and return the fact rows.
+    """Write the four gold tables, all at once, and return the fact rows.
 
     The calendar has the days given; by default the fixed span and all days of the orders.
     ``partition_fact`` lays the fact out by ``date_key``; a rebalance first gives each day few, even files.
     """
     create_layers(spark)
     staged = staging(spark)
-    write(gold.dim_customer(staged["stg_customers"], staged["stg_churn_scores"]), "gold.dim_customer")
-    write(gold.dim_product(staged["stg_products"]), "gold.dim_product")
-    span = gold.calendar_span(spark, *calendar) if calendar else gold.fixed_and(gold.span_of(staged["stg_orders"], "order_date"))
-    write(gold.dim_date(span), "gold.dim_date")
-    fact = gold.fact_orders(
-        staged["stg_orders"], staged["stg_order_items"], staged["stg_reviews"], staged["stg_exchange_rates"], **fact_options
+
+    def dates() -> None:
+        span = gold.calendar_span(spark, *calendar) if calendar else gold.fixed_and(gold.span_of(staged["stg_orders"], "order_date"))
+        write(gold.dim_date(span), "gold.dim_date")
+
+    def facts() -> None:
+        fact = gold.fact_orders(
+            staged["stg_orders"], staged["stg_order_items"], staged["stg_reviews"], staged["stg_exchange_rates"], **fact_options
+        )
+        if partition_fact:
+            write(fact.hint("rebalance", "date_key"), "gold.fact_orders", ["date_key"])
+        else:
+            write(fact, "gold.fact_orders")
+
+    run_together(
+        spark,
+        [
+            facts,
+            lambda: write(gold.dim_customer(staged["stg_customers"], staged["stg_churn_scores"]), "gold.dim_customer"),
+            lambda: write(gold.dim_product(staged["stg_products"]), "gold.dim_product"),
+            dates,
+        ],
     )
-    if partition_fact:
-        write(fact.hint("rebalance", "date_key"), "gold.fact_orders", ["date_key"])
-    else:
-        write(fact, "gold.fact_orders")
     return spark.table("gold.fact_orders").count()
 
 
 def check_gold(spark: SparkSession) -> DataFrame:
-    results = None
-    for table, suite in quality.GOLD_SUITES.items():
-        one = quality.run_checks(spark.table(layer("gold", table)), table, suite)
-        results = one if results is None else results.unionByName(one)
-    return results
+    checks = [partial(quality.run_checks, spark.table(layer("gold", table)), table, suite) for table, suite in quality.GOLD_SUITES.items()]
+    return reduce(DataFrame.unionByName, run_together(spark, checks))
 
 
 def answer_store(spark: SparkSession) -> str:

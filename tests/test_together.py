@@ -5,7 +5,11 @@ from pyspark.sql import functions as F
 
 from silverlode.functions.scratch import materialize, scratch_scope
 from silverlode.functions.together import run_together
+from silverlode.operators.silver import SILVER_TABLES
+from silverlode.plans import builds
 from silverlode.sources import csv
+from silverlode.sources.adapters import BRONZE, Tables
+from silverlode.sources.tables import overwrite_table
 
 
 def test_steps_run_at_once_in_the_scope_of_the_caller(spark):
@@ -43,3 +47,15 @@ def test_csv_files_are_loaded_at_once(spark, tmp_path, monkeypatch):
         (tmp_path / f"{name}.csv").write_text("x\n1\n")
     files = {name: csv.CsvFile(f"{name}.csv") for name in "abc"}
     assert csv.load_all_csv(spark, str(tmp_path), files) == {"a": 7, "b": 7, "c": None}
+
+
+def test_silver_tables_are_built_at_once(spark):
+    meet = threading.Barrier(len(SILVER_TABLES), timeout=60)
+
+    def write(df, name):
+        meet.wait()
+        overwrite_table(df, name)
+
+    bronze = {name: make(Tables(spark, "/root/testdata/sf0.001")) for name, make in BRONZE.items()}
+    status = builds.build_silver(spark, bronze, write).collect()
+    assert [(row["table"], row["status"]) for row in status] == [(table, "success") for table in SILVER_TABLES]
