@@ -26,6 +26,15 @@ def batches_of(columns, rows: int):
         yield [c.slice(start, rows) for c in columns]
 
 
+def growing(df: DataFrame) -> DataFrame:
+    """A side of a join that grows with the input: both sides are shuffled, neither is broadcast.
+
+    Spark takes the size of a table from its files and that of an explode from the rows before it, so it would broadcast tables
+    many times larger than it allows.
+    """
+    return df.hint("merge")
+
+
 def write_and_free(spark: SparkSession, make: Callable[[], DataFrame], label: str) -> DataFrame:
     """The result of ``make`` as a written table; what was materialised to make it is deleted.
 

@@ -6,6 +6,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+from silverlode.functions.scratch import materialize
 from silverlode.llm import spelling
 from silverlode.llm.registry import QUERIES
 
@@ -126,6 +127,22 @@ def test_a_ratio_that_allows_loops_is_refused(frame):
         spelling.variants(frame([], "doc_id long, text string"), ratio=1)
 
 
+def test_no_table_of_words_or_their_parts_is_broadcast(frame, monkeypatch):
+    """Spark takes the exploded parts of words for no larger than the words; the driver cannot hold them."""
+    plans = []
+
+    def recorded(df, label):
+        if label != "words":  # numbered with the offsets of ranges, one row each
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return materialize(df, label)
+
+    monkeypatch.setattr(spelling, "materialize", recorded)
+    result = spelling.variants(frame(made_up_rows(50, 4), "doc_id long, text string"))
+    plans.append(result._jdf.queryExecution().executedPlan().toString())
+    assert sum(plan.count("SortMergeJoin") for plan in plans) >= 6
+    assert not [plan for plan in plans if "Broadcast" in plan]
+
+
 def test_query(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     rows = [tuple(r) for r in docs.select("doc_id", "text").collect()]
