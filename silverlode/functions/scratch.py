@@ -7,6 +7,7 @@ under the warehouse is taken, which a cluster shares as well.
 
 from __future__ import annotations
 
+import gc
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -60,6 +61,15 @@ def scratch_scope(spark: SparkSession) -> Iterator[str]:
         delete_folder(spark, path)
 
 
+def free_shuffles(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of plans that nothing refers to any more.
+
+    It does so once the driver has collected such a plan as garbage, which a large heap may put off for the whole of a job.
+    """
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once and return a scan of the written table. It lasts as long as the application."""
     spark = df.sparkSession

@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import gc
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.scratch import scratch_path, scratch_scope
+from ..functions.scratch import free_shuffles, scratch_path, scratch_scope
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -36,16 +35,12 @@ def growing(df: DataFrame) -> DataFrame:
 
 
 def write_and_free(spark: SparkSession, make: Callable[[], DataFrame], label: str) -> DataFrame:
-    """The result of ``make`` as a written table; what was materialised to make it is deleted.
-
-    Spark deletes the shuffle files of a plan once the driver has collected it as garbage, so that is asked for, too.
-    """
+    """The result of ``make`` as a written table; what was materialised to make it is deleted, its shuffle files too."""
     path = scratch_path(spark, label)
     with scratch_scope(spark):
         result = make()
         schema = result.schema
         result.write.parquet(path)
     del result
-    gc.collect()
-    spark._jvm.System.gc()
+    free_shuffles(spark)
     return spark.read.schema(schema).parquet(path)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import MONEY, date_key
 from ..functions.numbering import number_rows, running_total
-from ..functions.scratch import materialize
+from ..functions.scratch import free_shuffles, materialize
 from ..functions.skew import count_keys, hot_counts, hot_keys, salted_join
 
 LOCAL_CURRENCY = "BRL"
@@ -261,6 +261,7 @@ def fact_orders(
         return _with_usd(numbered, rates).select(*FACT_COLUMNS)
     rows = F.col("_n0") * F.greatest(F.col("_n1"), F.lit(1)) * F.col("_n2")
     before = running_total(counted.select("order_id", rows.alias("_rows")).where("_rows > 0"), "order_id", "_rows", "_before")
+    free_shuffles(orders.sparkSession)  # those of the counts
     within = Window.partitionBy("order_id").orderBy(*[F.col(c).asc_nulls_first() for c in ("order_item_id", *LINE_COLUMNS)])
     numbered = lines.join(before, "order_id").withColumn("fact_id", F.col("_before") + F.row_number().over(within))
     return _with_usd(numbered, rates).select(*FACT_COLUMNS)

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Iterator, Mapping
+from contextlib import contextmanager
 from functools import partial, reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 
-from ..functions.scratch import materialize, scratch_scope
+from ..functions.scratch import free_shuffles, materialize, scratch_scope
 from ..functions.together import run_together
 from ..operators import annotate, answers, churn, features, gold, metrics, quality
 from ..operators.silver import CLEANED_BY, SILVER_TABLES, observed_losses
@@ -165,39 +166,52 @@ def run_everything(
     annotation_limit: int | None = None,
     annotation_pace: answers.Pace = answers.Pace(),
     calendar: tuple[str, str] | None = None,
+    csv_loaded: Callable[[], None] | None = None,
 ) -> DataFrame:
     """The whole batch run, one metrics row per stage, and the summary of its model.
 
     A failing stage is recorded and ends the run. ``annotation_limit`` bounds the reviews annotated in this run; None takes all
-    that wait. What the run materialises lies in a scratch folder of its own that goes with the run.
+    that wait. What a stage materialises lies in a scratch folder of its own that goes with the stage, as do its shuffle files.
+    ``csv_loaded`` is called once the CSV files are in their tables and no longer read, to delete or archive them.
     """
     metrics.setup_metrics_table(spark)
-    with scratch_scope(spark):
-        _run_stages(
-            spark, run_id, csv_folder, payload_path, model_path, expected_orders, annotator, model_options or {},
-            annotation_limit, annotation_pace, calendar,
-        )
+    _run_stages(
+        spark, run_id, csv_folder, payload_path, model_path, expected_orders, annotator, model_options or {},
+        annotation_limit, annotation_pace, calendar, csv_loaded,
+    )
     return metrics.model_summary(spark.table(metrics.METRICS_TABLE), run_id)
 
 
+@contextmanager
+def _stage(spark: SparkSession, run_id: str, name: str) -> Iterator[metrics.Stage]:
+    """A recorded stage that leaves its tables and no other files."""
+    try:
+        with scratch_scope(spark), metrics.Stage(spark, run_id, name) as stage:
+            yield stage
+    finally:
+        free_shuffles(spark)
+
+
 def _run_stages(
     spark, run_id, csv_folder, payload_path, model_path, expected_orders, annotator, model_options,
-    annotation_limit, annotation_pace, calendar,
+    annotation_limit, annotation_pace, calendar, csv_loaded,
 ) -> None:
 
-    with metrics.Stage(spark, run_id, "ingestion_csv") as stage:
+    with _stage(spark, run_id, "ingestion_csv") as stage:
         stage.rows = total_rows(load_all_csv(spark, csv_folder))
-    with metrics.Stage(spark, run_id, "ingestion_api") as stage:
+    if csv_loaded is not None:
+        csv_loaded()
+    with _stage(spark, run_id, "ingestion_api") as stage:
         before = spark.table("bronze.raw_exchange_rates").count() if spark.catalog.tableExists("bronze.raw_exchange_rates") else 0
         append_rates(flatten_rates(read_payloads(spark, payload_path)))
         stage.rows = spark.table("bronze.raw_exchange_rates").count() - before
-    with metrics.Stage(spark, run_id, "spark_etl") as stage:
+    with _stage(spark, run_id, "spark_etl") as stage:
         sources = {source for source, _ in SILVER_TABLES.values()}
         status = build_silver(spark, {s: spark.table(layer("bronze", s)) for s in sources})
         stage.rows = sum(row["rows"] for row in status.collect())  # one row per table
     silver = {t: spark.table(layer("silver", t)) for t in SILVER_TABLES}
 
-    with metrics.Stage(spark, run_id, "data_quality") as stage:
+    with _stage(spark, run_id, "data_quality") as stage:
         results = quality.validate(silver["orders"], silver["order_items"], silver["reviews"], expected_orders)
         stage.rows = 3
         try:
@@ -205,20 +219,20 @@ def _run_stages(
         except quality.QualityError as error:
             stage.extra.update(checks_passed=error.passed, checks_total=error.total)
             raise
-    with metrics.Stage(spark, run_id, "feature_engineering") as stage:
+    with _stage(spark, run_id, "feature_engineering") as stage:
         table = features.build_features(
             silver["orders"], silver["customers"], silver["order_items"], silver["reviews"], spark.table("bronze.raw_payments")
         )
         overwrite_table(table, "ml.feature_store")
         stage.rows = spark.table("ml.feature_store").count()
-    with metrics.Stage(spark, run_id, "churn_model") as stage:
+    with _stage(spark, run_id, "churn_model") as stage:
         scores, measured, _ = churn.train_and_score(spark.table("ml.feature_store"), model_path, **model_options)
         overwrite_table(scores, "ml.churn_scores")
         stage.rows = spark.table("ml.churn_scores").count()
         stage.extra.update({name: round(value, 4) for name, value in measured.items()})
-    with metrics.Stage(spark, run_id, "restore_annotation_columns") as stage:
+    with _stage(spark, run_id, "restore_annotation_columns") as stage:
         if annotator is not None:
             stage.rows = annotate_reviews(spark, annotator, annotation_limit, pace=annotation_pace).first()["annotations_saved"]
-    with metrics.Stage(spark, run_id, "gold_layer") as stage:
+    with _stage(spark, run_id, "gold_layer") as stage:
         stage.rows = build_gold(spark, calendar=calendar)
         stage.extra["checks"] = quality.require_quality(check_gold(spark))

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.scratch import materialize, scratch_path, scratch_root
+from ..functions.scratch import delete_folder, materialize, scratch_path, scratch_root
 from ..functions.selection import exact_median
 from ..functions.together import run_together
 from ..operators import annotate, answers, churn, features, gold, mapping, metrics, quality, silver
@@ -935,6 +935,7 @@ def whole_run(t: Tables) -> DataFrame:
     number = t["orders"].agg(F.count(F.lit(1)).cast("string").alias("n"))
     payload = F.concat(F.lit('{"timestamp": 1711843200, "base": "USD", "rates": {"BRL": 5.0, "XTS": '), "n", F.lit("}}"))
     number.select(payload).coalesce(1).write.text(landing)
-    builds.run_everything(t.spark, run, write_csv_files(t, lower_prices=True), landing, model)
+    files = write_csv_files(t, lower_prices=True)
+    builds.run_everything(t.spark, run, files, landing, model, csv_loaded=lambda: delete_folder(t.spark, files))
     log = t.spark.table(metrics.METRICS_TABLE).where(F.col("run_id") == run)
     return log.select("stage", "status", "rows_processed")

@@ -12,6 +12,9 @@ from ..functions.scratch import delete_folder
 # The layers a table name may start with.
 LAYERS = ("bronze", "silver", "gold", "ml", "monitoring")
 
+# Tables last, so they are packed closer than what Spark writes by default.
+CODEC = "zstd"
+
 # Table property: the folder of the version before the newest.
 _BEFORE = "version.before"
 
@@ -71,7 +74,7 @@ def overwrite_table(
     table = f"{database}.{name}"
     version = uuid.uuid4().hex
     folder = f"{_versions_folder(spark, table)}/{version}"
-    writer = df.write.format("parquet").option("path", folder)
+    writer = df.write.format("parquet").option("path", folder).option("compression", CODEC)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if bucket_by:

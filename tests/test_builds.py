@@ -1,9 +1,12 @@
 import csv as pycsv
 import json
+import os
+import shutil
 
 import pytest
 from pyspark.sql import functions as F
 
+from silverlode.functions.scratch import materialize
 from silverlode.operators import metrics, quality
 from silverlode.plans import builds
 from silverlode.plans.registry import QUERIES, keyword_annotator
@@ -91,6 +94,28 @@ def test_a_failed_stage_is_recorded_and_ends_the_run(spark, raw_files, payloads,
     assert "feature_engineering" not in rows
 
 
+def test_stages_leave_only_their_tables(spark, raw_files, payloads, tmp_path):
+    """What a stage materialises goes with it, and loaded CSV files may go before the next one."""
+    metrics.setup_metrics_table(spark)
+    with builds._stage(spark, "run-5", "demo") as stage:
+        held = materialize(spark.range(10), "held")
+        files = [path.removeprefix("file:") for path in held.inputFiles()]
+        stage.rows = held.count()
+        assert files and all(map(os.path.exists, files))
+    assert not any(map(os.path.exists, files))
+    assert spark.table(metrics.METRICS_TABLE).where("run_id = 'run-5'").first()["rows_processed"] == 10
+
+    landed = shutil.copytree(raw_files, tmp_path / "landed")
+    with pytest.raises(quality.QualityError):
+        builds.run_everything(
+            spark, "run-6", str(landed), str(payloads), str(tmp_path / "m"),
+            expected_orders=(10**6, 10**7), csv_loaded=lambda: shutil.rmtree(landed),
+        )
+    assert not landed.exists()
+    rows = {r["stage"]: r for r in spark.table(metrics.METRICS_TABLE).where("run_id = 'run-6'").collect()}
+    assert rows["spark_etl"]["status"] == "success" and rows["ingestion_csv"]["rows_processed"] == 1500 + 150 + 6000 + 200 + 1000 + 1500
+
+
 def test_write_stage_counts_the_written_rows(spark):
     metrics.setup_metrics_table(spark)
     assert metrics.write_stage(spark.range(7), "silver.stage_test", "run-3", "demo") == 7
